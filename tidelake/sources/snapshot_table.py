@@ -1,0 +1,278 @@
+"""A versioned Parquet table: atomic batches, history, time travel, added columns.
+
+Layout below the table path::
+
+    data/_snapshot_id=<n>/<partition columns>/...   rows of one commit
+    log/entry=<n>/...                               one row describing the commit
+
+A commit writes its data first and its log entry last. Readers take only logged
+ids, so a commit that dies half-way stays invisible and its id is written over
+by the next try. Ids are dense, hence a read is one partition range
+``first live id <= _snapshot_id <= version``, which Spark prunes like any other
+partition filter.
+
+Limits: one writer at a time, no row-level update.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass
+from datetime import UTC, datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidelake.schemas import struct
+
+SNAPSHOT_ID = "_snapshot_id"
+
+LOG_SCHEMA = struct(
+    "snapshot_id int, committed_at timestamp, operation string, added_records bigint, total_records bigint, "
+    "added_files int, batch_key string, schema_json string, partition_by array<string>, props map<string,string>"
+)
+
+DATA_OPERATIONS = ["append", "overwrite"]
+
+DEFAULT_PROPS = {"format": "parquet", "compression": "snappy", "min_snapshots": "10"}
+
+
+@dataclass(frozen=True)
+class TableState:
+    """What the log says about the table at one version."""
+
+    version: int
+    first_live: int
+    total_records: int
+    schema: T.StructType
+    partition_by: list[str]
+    props: dict[str, str]
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self._data = f"{self.path}/data"
+        self._log = f"{self.path}/log"
+
+    # -- definition ---------------------------------------------------------
+
+    def create(
+        self,
+        schema: T.StructType,
+        partition_by: list[str] | None = None,
+        props: dict[str, str] | None = None,
+        committed_at: datetime | None = None,
+    ) -> SnapshotTable:
+        """Define the table unless it is there already."""
+        if not self.exists():
+            state = TableState(0, 1, 0, schema, partition_by or [], {**DEFAULT_PROPS, **(props or {})})
+            self._commit(0, "create", 0, 0, 0, None, state, committed_at)
+        return self
+
+    def exists(self) -> bool:
+        path, fs = self._filesystem(self._log)
+        return fs.exists(path)
+
+    def drop(self) -> None:
+        path, fs = self._filesystem(self.path)
+        fs.delete(path, True)
+
+    def schema(self, version: int | None = None) -> T.StructType:
+        return self._state(version).schema
+
+    def add_column(self, name: str, dtype: T.DataType | str, comment: str = "") -> None:
+        """Add a column without touching data: older rows read it as NULL."""
+        state = self._state()
+        if name in state.schema.names:
+            raise ValueError(f"column {name} is already there")
+        if isinstance(dtype, str):
+            dtype = T.StructType.fromDDL(f"c {dtype}")[0].dataType
+        field = T.StructField(name, dtype, True, {"comment": comment} if comment else None)
+        wider = TableState(
+            state.version, state.first_live, state.total_records,
+            T.StructType([*state.schema.fields, field]), state.partition_by, state.props,
+        )
+        self._commit(state.version + 1, "alter", 0, state.total_records, 0, None, wider, None)
+
+    # -- writes -------------------------------------------------------------
+
+    def append(self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None) -> int | None:
+        """Add one batch as one snapshot; a batch key already in the table is skipped.
+
+        Returns the snapshot id, or None when the batch was skipped.
+        """
+        state = self._state()
+        if batch_key is not None and self.has_batch(batch_key, state.first_live):
+            return None
+        return self._write(df, "append", batch_key, state, committed_at)
+
+    def overwrite(
+        self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None
+    ) -> int | None:
+        """Replace the content with one snapshot; earlier ones stay readable by version."""
+        if batch_key is not None and self.has_batch(batch_key):
+            return None
+        return self._write(df, "overwrite", batch_key, self._state(), committed_at)
+
+    def has_batch(self, batch_key: str, since: int = 0) -> bool:
+        """Was the batch committed? Looks at the log only, never at the rows."""
+        seen = self._entries().filter((F.col("batch_key") == batch_key) & (F.col("snapshot_id") >= since))
+        return not seen.isEmpty()
+
+    def _write(
+        self, df: DataFrame, operation: str, batch_key: str | None, state: TableState, committed_at: datetime | None
+    ) -> int:
+        version = state.version + 1
+        missing = [f for f in state.schema.fields if f.name not in df.columns]
+        filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
+        rows = filled.select(*[F.col(f.name).cast(f.dataType) for f in state.schema.fields])
+        target = f"{self._data}/{SNAPSHOT_ID}={version}"
+        if state.partition_by:
+            # Even-sized files per partition value; a dominant value is split, not sent to one task.
+            rows = rows.hint("rebalance", *state.partition_by)
+        writer = rows.write.mode("overwrite").option("compression", state.props["compression"])
+        if state.partition_by:
+            writer = writer.partitionBy(*state.partition_by)
+        writer.format(state.props["format"]).save(target)
+        # Counted from the file footers of what was really written: no column is read, and
+        # unlike a running counter it cannot be off after a lost executor's tasks ran again.
+        added, files = (
+            self.spark.read.schema(state.schema)
+            .format(state.props["format"])
+            .load(target)
+            .agg(F.count(F.lit(1)), F.count_distinct("_metadata.file_path"))
+            .first()
+        )
+        total = added + (state.total_records if operation == "append" else 0)
+        self._commit(version, operation, added, total, files, batch_key, state, committed_at)
+        return version
+
+    def _commit(
+        self, version: int, operation: str, added: int, total: int, files: int,
+        batch_key: str | None, state: TableState, committed_at: datetime | None,
+    ) -> None:
+        at = committed_at or datetime.now(UTC)
+        row = (
+            version, int(at.timestamp() * 1000), operation, added, total, files, batch_key,
+            state.schema.json(), state.partition_by, state.props,
+        )
+        raw = T.StructType([T.StructField("committed_at", T.LongType()) if f.name == "committed_at" else f for f in LOG_SCHEMA])
+        entry = self.spark.createDataFrame([row], raw).withColumn("committed_at", F.timestamp_millis("committed_at"))
+        # "error" refuses an id that a second writer has just taken.
+        entry.coalesce(1).write.mode("error").parquet(f"{self._log}/entry={version}")
+
+    # -- reads --------------------------------------------------------------
+
+    def read(self, version: int | None = None, timestamp: Column | str | datetime | None = None) -> DataFrame:
+        """The rows now, at a snapshot id, or at the last commit not after ``timestamp``."""
+        if timestamp is not None:
+            version = self.version_at(timestamp)
+        state = self._state(version)
+        path, fs = self._filesystem(self._data)
+        if not fs.exists(path):
+            return self.spark.createDataFrame([], state.schema)
+        layout = T.StructType([*state.schema.fields, T.StructField(SNAPSHOT_ID, T.IntegerType())])
+        rows = self.spark.read.schema(layout).format(state.props["format"]).load(self._data)
+        return rows.filter(F.col(SNAPSHOT_ID).between(state.first_live, state.version)).select(*state.schema.names)
+
+    def version_at(self, timestamp: Column | str | datetime) -> int:
+        """Last commit at or before an instant (millisecond precision)."""
+        if isinstance(timestamp, datetime):
+            timestamp = timestamp.astimezone(UTC).strftime("%Y-%m-%d %H:%M:%S.%f") + "Z"
+        at = timestamp if isinstance(timestamp, Column) else F.lit(timestamp).cast("timestamp")
+        found = self._entries().filter(F.col("committed_at") <= at).agg(F.max("snapshot_id")).first()[0]
+        if found is None:
+            raise ValueError("the table has no snapshot that old")
+        return found
+
+    def snapshots(self) -> DataFrame:
+        """Data commits in order: id, time, operation, row counts, files, batch."""
+        return (
+            self._entries()
+            .filter(F.col("operation").isin(DATA_OPERATIONS))
+            .select(
+                "snapshot_id", "committed_at", "operation", "added_records", "total_records", "added_files", "batch_key",
+                F.create_map(
+                    F.lit("added-records"), F.col("added_records").cast("string"),
+                    F.lit("total-records"), F.col("total_records").cast("string"),
+                    F.lit("added-data-files"), F.col("added_files").cast("string"),
+                ).alias("summary"),
+            )
+            .orderBy("committed_at", "snapshot_id")
+        )
+
+    def expire(self, keep: int | None = None) -> int:
+        """Delete data no read at the newest ``keep`` snapshots can reach; returns dropped snapshots.
+
+        Only ids replaced by an overwrite can go: appended rows stay part of the table.
+        """
+        keep = keep or int(self._state().props["min_snapshots"])
+        recent = (
+            self._entries().filter(F.col("operation").isin(DATA_OPERATIONS)).orderBy(F.desc("snapshot_id")).limit(keep)
+        )
+        oldest = recent.agg(F.min("snapshot_id")).first()[0]
+        if oldest is None:
+            return 0
+        cut = self._state(oldest).first_live
+        dead = (
+            self._entries()
+            .filter(F.col("operation").isin(DATA_OPERATIONS) & (F.col("snapshot_id") < cut))
+            .select("snapshot_id")
+        )
+        # One small id per expired commit, never rows of the table.
+        gone = 0
+        for (version,) in dead.toLocalIterator():
+            path, fs = self._filesystem(f"{self._data}/{SNAPSHOT_ID}={version}")
+            gone += int(fs.delete(path, True))
+        return gone
+
+    # -- internals ----------------------------------------------------------
+
+    def _entries(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
+
+    def _state(self, version: int | None = None) -> TableState:
+        entries = self._entries()
+        if version is not None:
+            entries = entries.filter(F.col("snapshot_id") <= version)
+        row = entries.agg(
+            F.max("snapshot_id").alias("version"),
+            F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id"))).alias("replaced"),
+            F.max_by(F.struct("total_records", "schema_json", "partition_by", "props"), "snapshot_id").alias("last"),
+        ).first()
+        if row.version is None or (version is not None and row.version != version):
+            raise ValueError(f"no snapshot {version} in {self.path}")
+        return TableState(
+            row.version, row.replaced or 1, row.last.total_records,
+            T.StructType.fromJson(json.loads(row.last.schema_json)), list(row.last.partition_by), dict(row.last.props),
+        )
+
+    def _filesystem(self, location: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(location)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+
+def schema_diff(before: T.StructType, after: T.StructType) -> dict[str, list[str]]:
+    """Columns added, removed and retyped between two schemas."""
+    old = {f.name: f.dataType for f in before.fields}
+    new = {f.name: f.dataType for f in after.fields}
+    return {
+        "added": [n for n in new if n not in old],
+        "removed": [n for n in old if n not in new],
+        "retyped": [n for n in new if n in old and new[n] != old[n]],
+    }
+
+
+def snapshot_delta(table: SnapshotTable, older: int, newer: int) -> DataFrame:
+    """Row counts at two versions and their difference, in one row."""
+    ends = [(older, "rows_before"), (newer, "rows_after")]
+    counts = [table.read(v).agg(F.count(F.lit(1)).alias("n")).select(F.lit(tag).alias("tag"), "n") for v, tag in ends]
+    return (
+        counts[0]
+        .unionByName(counts[1])
+        .agg(*[F.max(F.when(F.col("tag") == tag, F.col("n"))).alias(tag) for _, tag in ends])
+        .withColumn("delta", F.col("rows_after") - F.col("rows_before"))
+    )
