@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelake.functions.events import before
+from tidelake.operators.dimensions import orphans
 
 CHECK_COLUMNS = "check string, status string, observed string, expected string"
 
@@ -51,7 +52,7 @@ def check_values(df: DataFrame, column: str, expected: list[str], name: str = "v
 
 
 def check_fk(child: DataFrame, parent: DataFrame, key: str, name: str = "fk") -> DataFrame:
-    missing = child.join(parent.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    missing = orphans(child, parent, key).agg(F.count(F.lit(1)).alias("n"))
     return missing.select(*_verdict(name, F.col("n") == 0, F.col("n"), F.lit(0)))
 
 

@@ -1,8 +1,8 @@
 """The stop catalog and its joins.
 
-No join here forces a broadcast. The catalog may be 57 rows or billions: Spark
-broadcasts it when its size estimate is below ``spark.sql.autoBroadcastJoinThreshold``
-and otherwise sorts and merges, where adaptive execution splits a dominant stop.
+The catalog may be 57 rows or billions. It is broadcast after its rows were counted
+and found few; otherwise the joins sort and merge, and adaptive execution splits a
+dominant stop.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.operators.sizing import broadcast_if_small, is_small
 from tidelake.schemas import ROLE_ATTRIBUTES
 
 
@@ -24,8 +25,9 @@ def as_role(dim: DataFrame, role: str, *shared: str) -> DataFrame:
     return dim.select(F.col("stop_id").alias(f"_stop_{role}"), *renamed, *shared)
 
 
-def join_role(trips: DataFrame, dim: DataFrame, role: str, *shared: str) -> DataFrame:
+def join_role(trips: DataFrame, dim: DataFrame, role: str, *shared: str, small: bool = False) -> DataFrame:
     view = as_role(dim, role, *shared)
+    view = F.broadcast(view) if small else view
     return trips.join(view, F.col(f"stop_id_{role}") == F.col(f"_stop_{role}"), "left").drop(f"_stop_{role}")
 
 
@@ -34,12 +36,13 @@ def enrich_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
 
     The service type comes from the origin stop only: both ends lie on one line.
     """
-    return join_role(join_role(trips, dim, "origen", "tipo_servicio"), dim, "destino")
+    small = is_small(dim)
+    return join_role(join_role(trips, dim, "origen", "tipo_servicio", small=small), dim, "destino", small=small)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of ``child`` whose key is missing in ``parent`` (a NULL key is missing too)."""
-    return child.join(parent.select(key), key, "left_anti")
+    return child.join(broadcast_if_small(parent.select(key)), key, "left_anti")
 
 
 def transfer_stations(stations: DataFrame) -> DataFrame:

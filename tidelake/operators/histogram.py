@@ -15,22 +15,24 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def percentile_from_counts(counts: DataFrame, key: str, value: str, q: float, name: str) -> DataFrame:
-    """Smallest value that at least a share ``q`` of its key's rows do not exceed.
+def with_percentile(counts: DataFrame, key: str, value: str, q: float, name: str) -> DataFrame:
+    """Add the smallest value that at least a share ``q`` of the key's rows do not exceed.
 
     Same definition as the discrete percentile, and exact for any group size,
-    where a sketch drifts beyond ten thousand rows. Expects an integer measure
-    of limited range, as passenger counts are (at most 400 after cleaning).
+    where a sketch drifts beyond ten thousand rows. ``value`` must have a bounded
+    range, as passenger counts do after cleaning (1 to 400): a key's counts meet
+    in one task, and there are at most range x blocks of them.
     """
-    per_value = counts.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.sum("n").alias("n"))
-    upto = Window.partitionBy(key).orderBy(value)
-    reached = F.sum("n").over(upto)
-    total = F.sum("n").over(Window.partitionBy(key))
-    # The share is compared in whole rows, free of binary fractions: q is taken in thousandths.
-    mille = round(q * 1000)
-    ranked = per_value.withColumns({"_reached": reached, "_total": total})
+    n, known = F.col("n"), F.col(value).isNotNull()
+    counted = F.when(known, n).otherwise(0)
+    upto = Window.partitionBy(key).orderBy(F.asc_nulls_last(value)).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    whole = Window.partitionBy(key)
+    # Shares are compared as whole thousandths of rows, free of binary fractions.
+    reached = F.sum(counted).over(upto) * 1000 >= F.sum(counted).over(whole) * round(q * 1000)
     return (
-        ranked.filter(F.col("_reached") * 1000 >= F.col("_total") * mille)
-        .groupBy(key)
-        .agg(F.min(value).alias(name))
+        counts.withColumn("_reached", reached & known)
+        .withColumn(name, F.min(F.when(F.col("_reached"), F.col(value))).over(whole))
+        .drop("_reached")
     )

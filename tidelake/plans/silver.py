@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidelake import schemas
 from tidelake.functions import calendar, trips
 from tidelake.operators.dimensions import enrich_trips
+from tidelake.operators.sizing import broadcast_if_small
 from tidelake.operators.rules import Rule, accounting, keep_clean, observe_discards
 from tidelake.sources.snapshot_table import SnapshotTable
 
@@ -83,7 +84,7 @@ def discard_accounting(bronze: DataFrame, dim: DataFrame) -> DataFrame:
 
     Only the known stop ids take part in the joins, not their attributes.
     """
-    known = dim.select("stop_id", "nombre")
+    known = broadcast_if_small(dim.select("stop_id", "nombre"))
     joined = bronze
     for role in ("origen", "destino"):
         view = known.select(F.col("stop_id").alias(f"_stop_{role}"), F.col("nombre").alias(f"nombre_{role}"))

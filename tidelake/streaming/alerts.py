@@ -11,6 +11,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from tidelake.functions.events import FULL_SHARE, HIGH_DELAY_SECONDS, capacity_of, service_type
 from tidelake.operators.dimensions import terminal_stops
+from tidelake.operators.sizing import broadcast_if_small
 from tidelake.operators.runs import running_sum_with_resets
 
 ALERT_COLUMNS = ["vehicle_id", "line", "stop_id", "event_id", "event_time", "accumulated_delay"]
@@ -21,7 +22,7 @@ ALERT_SCHEMA = (
 
 def mark_terminals(events: DataFrame, stops: DataFrame) -> DataFrame:
     """Arrivals and departures, with ``at_terminal`` for arrivals at the first or last stop of a line."""
-    ends = terminal_stops(stops).select(F.col("stop_id").alias("_terminal"))
+    ends = broadcast_if_small(terminal_stops(stops).select(F.col("stop_id").alias("_terminal")))
     moves = events.filter(F.col("event_type").isin("arrival", "departure"))
     return (
         moves.join(ends, F.col("stop_id") == F.col("_terminal"), "left")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.events import event_time
+from tidelake.operators.sizing import is_small
 
 INVALID = "_invalid"
 
@@ -73,12 +74,12 @@ def timed_events(raw: DataFrame, delay: str | None = None) -> DataFrame:
     return timed.withWatermark("event_time", delay) if delay else timed
 
 
-def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salts: int = 1) -> DataFrame:
+def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salts: int = 16) -> DataFrame:
     """Add ``station_id`` and ``stop_name``; an unknown stop stands for itself.
 
-    Streaming joins get no adaptive skew handling. With a catalog too large to
-    be broadcast and a stop that dominates the stream, ``salts`` > 1 spreads
-    each stop's events over that many tasks and repeats the catalog as often.
+    A catalog counted small is broadcast. Beyond that the join must shuffle, and
+    streaming joins get no adaptive skew handling: ``salts`` then spreads each
+    stop's events over that many tasks and repeats the catalog as often.
     """
     names = stations.select("station_id", "nombre")
     catalog = stops.select("stop_id", "station_id").join(names, "station_id", "left")
@@ -88,7 +89,9 @@ def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salt
         F.coalesce("nombre", "station_id").alias("_name"),
     )
     match = F.col("stop_id") == F.col("_stop")
-    if salts > 1:
+    if is_small(view):
+        view = F.broadcast(view)
+    elif salts > 1:
         events = events.withColumn("_salt", F.pmod(F.xxhash64("event_id", "vehicle_id", "event_time"), F.lit(salts)))
         copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
         view = view.withColumn("_copy", copies)

@@ -19,7 +19,7 @@ class StreamSettings:
     window: str = windows.WINDOW
     delay: str = windows.WATERMARK
     trigger: dict | None = None  # e.g. {"availableNow": True}; None means as fast as possible
-    salts: int = 1
+    salts: int = 16
     log: bool = False
 
 
