@@ -48,6 +48,7 @@ class TableState:
     schema: T.StructType
     partition_by: list[str]
     props: dict[str, str]
+    batch_at: int | None = None  # snapshot that holds the batch asked for
 
 
 class SnapshotTable:
@@ -99,32 +100,35 @@ class SnapshotTable:
 
     # -- writes -------------------------------------------------------------
 
-    def append(self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None) -> int | None:
-        """Add one batch as one snapshot; a batch key already in the table is skipped.
+    def append(
+        self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None, allow_empty: bool = True
+    ) -> int | None:
+        """Add one batch as one snapshot; a batch key the log already has is skipped.
 
-        Returns the snapshot id, or None when the batch was skipped.
+        Returns the snapshot id, or None when nothing was committed.
         """
-        state = self._state()
-        if batch_key is not None and self.has_batch(batch_key, state.first_live):
+        state = self._state(batch_key=batch_key)
+        if state.batch_at is not None:
             return None
-        return self._write(df, "append", batch_key, state, committed_at)
+        return self._write(df, "append", batch_key, state, committed_at, allow_empty)
 
     def overwrite(
         self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None
     ) -> int | None:
         """Replace the content with one snapshot; earlier ones stay readable by version."""
-        if batch_key is not None and self.has_batch(batch_key):
+        state = self._state(batch_key=batch_key)
+        if state.batch_at is not None:
             return None
-        return self._write(df, "overwrite", batch_key, self._state(), committed_at)
+        return self._write(df, "overwrite", batch_key, state, committed_at)
 
-    def has_batch(self, batch_key: str, since: int = 0) -> bool:
+    def has_batch(self, batch_key: str) -> bool:
         """Was the batch committed? Looks at the log only, never at the rows."""
-        seen = self._entries().filter((F.col("batch_key") == batch_key) & (F.col("snapshot_id") >= since))
-        return not seen.isEmpty()
+        return self._state(batch_key=batch_key).batch_at is not None
 
     def _write(
-        self, df: DataFrame, operation: str, batch_key: str | None, state: TableState, committed_at: datetime | None
-    ) -> int:
+        self, df: DataFrame, operation: str, batch_key: str | None, state: TableState,
+        committed_at: datetime | None, allow_empty: bool = True,
+    ) -> int | None:
         version = state.version + 1
         missing = [f for f in state.schema.fields if f.name not in df.columns]
         filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
@@ -146,6 +150,8 @@ class SnapshotTable:
             .agg(F.count(F.lit(1)), F.count_distinct("_metadata.file_path"))
             .first()
         )
+        if not added and not allow_empty:
+            return None
         total = added + (state.total_records if operation == "append" else 0)
         self._commit(version, operation, added, total, files, batch_key, state, committed_at)
         return version
@@ -205,36 +211,32 @@ class SnapshotTable:
         )
 
     def expire(self, keep: int | None = None) -> int:
-        """Delete data no read at the newest ``keep`` snapshots can reach; returns dropped snapshots.
+        """Delete what no read at the newest ``keep`` snapshots can reach; returns dropped snapshots.
 
-        Only ids replaced by an overwrite can go: appended rows stay part of the table.
+        Only ids replaced by an overwrite can go, with their log entries: appended
+        rows stay part of the table.
         """
         keep = keep or int(self._state().props["min_snapshots"])
-        recent = (
-            self._entries().filter(F.col("operation").isin(DATA_OPERATIONS)).orderBy(F.desc("snapshot_id")).limit(keep)
-        )
-        oldest = recent.agg(F.min("snapshot_id")).first()[0]
-        if oldest is None:
-            return 0
-        cut = self._state(oldest).first_live
-        dead = (
-            self._entries()
-            .filter(F.col("operation").isin(DATA_OPERATIONS) & (F.col("snapshot_id") < cut))
-            .select("snapshot_id")
-        )
+        commits = self._entries().filter(F.col("operation").isin(DATA_OPERATIONS))
+        recent = commits.orderBy(F.desc("snapshot_id")).limit(keep)
+        oldest = recent.agg(F.min("snapshot_id")).scalar()
+        replaced = (F.col("operation") == "overwrite") & (F.col("snapshot_id") <= oldest)
+        cut = commits.filter(replaced).agg(F.max("snapshot_id")).scalar()
         # One small id per expired commit, never rows of the table.
-        gone = 0
-        for (version,) in dead.toLocalIterator():
-            path, fs = self._filesystem(f"{self._data}/{SNAPSHOT_ID}={version}")
-            gone += int(fs.delete(path, True))
-        return gone
+        gone = [row.snapshot_id for row in commits.filter(F.col("snapshot_id") < cut).collect()]
+        for version in gone:
+            # The entry first: once it is gone, no reader looks for the data.
+            for location in (f"{self._log}/entry={version}", f"{self._data}/{SNAPSHOT_ID}={version}"):
+                path, fs = self._filesystem(location)
+                fs.delete(path, True)
+        return len(gone)
 
     # -- internals ----------------------------------------------------------
 
     def _entries(self) -> DataFrame:
         return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
 
-    def _state(self, version: int | None = None) -> TableState:
+    def _state(self, version: int | None = None, batch_key: str | None = None) -> TableState:
         entries = self._entries()
         if version is not None:
             entries = entries.filter(F.col("snapshot_id") <= version)
@@ -242,12 +244,14 @@ class SnapshotTable:
             F.max("snapshot_id").alias("version"),
             F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id"))).alias("replaced"),
             F.max_by(F.struct("total_records", "schema_json", "partition_by", "props"), "snapshot_id").alias("last"),
+            F.max(F.when(F.col("batch_key") == F.lit(batch_key), F.col("snapshot_id"))).alias("batch_at"),
         ).first()
         if row.version is None or (version is not None and row.version != version):
             raise ValueError(f"no snapshot {version} in {self.path}")
         return TableState(
             row.version, row.replaced or 1, row.last.total_records,
             T.StructType.fromJson(json.loads(row.last.schema_json)), list(row.last.partition_by), dict(row.last.props),
+            row.batch_at,
         )
 
     def _filesystem(self, location: str):

@@ -21,12 +21,15 @@ TEXT_FIELDS = {
 NUMBER_FIELDS = ["passenger_count", "delay_seconds"]
 
 
-def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get("_body", f"$.{name}", kind)
+# What JSON allows before the opening brace.
+JSON_SPACE = " \t\n\r"
 
 
-def _is_missing(name: str) -> Column:
-    return _field(name, "variant").isNull()
+def _field(name: str, kind: str, default: str | int) -> Column:
+    """A field of the body as ``kind``; the default where it is absent, NULL where it does not convert."""
+    path = f"$.{name}"
+    absent = F.try_variant_get("_body", path, "variant").isNull()
+    return F.coalesce(F.try_variant_get("_body", path, kind), F.when(absent, F.lit(default)))
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
@@ -41,14 +44,11 @@ def parse_events(raw: DataFrame) -> DataFrame:
     body many times over and outgrow the code generator. A generator's output it
     leaves alone.
     """
-    bodies = raw.select(F.try_parse_json("value").alias("_body"), F.col("timestamp").alias("source_ts"))
-    text = {
-        name: F.when(_is_missing(name), F.lit(default)).otherwise(_field(name, "string"))
-        for name, default in TEXT_FIELDS.items()
-    }
-    numbers = {name: F.when(_is_missing(name), F.lit(0)).otherwise(_field(name, "int")) for name in NUMBER_FIELDS}
-    is_object = F.coalesce(F.schema_of_variant("_body").startswith("OBJECT<"), F.lit(False))
-    record = F.struct(is_object.alias("_object"), *[c.alias(name) for name, c in {**text, **numbers}.items()])
+    is_object = F.ltrim("value", F.lit(JSON_SPACE)).startswith("{")
+    bodies = raw.select(F.when(is_object, F.try_parse_json("value")).alias("_body"), F.col("timestamp").alias("source_ts"))
+    text = {name: _field(name, "string", default) for name, default in TEXT_FIELDS.items()}
+    numbers = {name: _field(name, "int", 0) for name in NUMBER_FIELDS}
+    record = F.struct(F.col("_body").isNotNull().alias("_object"), *[c.alias(n) for n, c in {**text, **numbers}.items()])
     fields = bodies.select("source_ts", F.inline(F.array(record)))
 
     readable = F.col("_object")
@@ -89,7 +89,7 @@ def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salt
         F.coalesce("nombre", "station_id").alias("_name"),
     )
     match = F.col("stop_id") == F.col("_stop")
-    if is_small(view):
+    if is_small(stops):
         view = F.broadcast(view)
     elif salts > 1:
         events = events.withColumn("_salt", F.pmod(F.xxhash64("event_id", "vehicle_id", "event_time"), F.lit(salts)))

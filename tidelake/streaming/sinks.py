@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.events import iso_format
+from tidelake.operators.retention import retain
 from tidelake.sources.snapshot_table import SnapshotTable
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -18,24 +19,6 @@ def _batch_key(run: str, batch_id: int) -> str:
     return f"{run}/{batch_id}"
 
 
-def _guarded(table: SnapshotTable, run: str, write: Callable[[DataFrame, str], object]) -> BatchWriter:
-    """Write a batch once: replays after a failure are recognised by their key in the table's log."""
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        key = _batch_key(run, batch_id)
-        if table.has_batch(key):
-            return
-        # The emptiness test and the write must not run the stateful plan twice.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not batch.isEmpty():
-                write(batch, key)
-        finally:
-            batch.unpersist()
-
-    return sink
-
-
 def merge_latest(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
     """Newest row per key of both; at equal times the incoming row wins, an older one never does."""
     both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.select(*stored.columns).withColumn("_new", F.lit(1)))
@@ -46,23 +29,48 @@ def merge_latest(stored: DataFrame, incoming: DataFrame, key: str, order: str) -
 def upsert_latest(
     table: SnapshotTable, key: str, run: str, order: str = "window_end", keep: int | None = 5
 ) -> BatchWriter:
-    """``foreachBatch`` writer that keeps one row per key. ``run`` names the checkpointed query.
+    """``foreachBatch`` writer that keeps one row per key.
 
-    Every batch with closed windows becomes one overwrite snapshot of the keyed state;
-    older ones are expired down to ``keep``.
+    ``run`` names the checkpointed query: with the batch id it forms the key by
+    which a batch replayed after a failure is recognised. Every batch with closed
+    windows becomes one overwrite snapshot; older ones are expired down to ``keep``.
     """
 
-    def write(batch: DataFrame, batch_key: str) -> None:
-        table.overwrite(merge_latest(table.read(), batch, key, order), batch_key=batch_key)
-        if keep:
-            table.expire(keep)
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        # Counting and merging must not run the stateful plan twice.
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if batch.count() == 0:
+                return
+            merged = merge_latest(table.read(), batch, key, order)
+            if table.overwrite(merged, batch_key=_batch_key(run, batch_id)) is not None and keep:
+                table.expire(keep)
+        finally:
+            batch.unpersist()
 
-    return _guarded(table, run, write)
+    return sink
 
 
 def append_history(table: SnapshotTable, run: str) -> BatchWriter:
-    """``foreachBatch`` writer that adds every closed window once."""
-    return _guarded(table, run, lambda batch, key: table.append(batch, batch_key=key))
+    """``foreachBatch`` writer that adds every closed window once; batches without any leave no snapshot."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.append(batch, batch_key=_batch_key(run, batch_id), allow_empty=False)
+
+    return sink
+
+
+def apply_retention(table: SnapshotTable, ts_col: str, seconds: int, as_of: Column | str, keep: int = 2) -> int | None:
+    """Rewrite a table without its expired rows, and drop the files and log entries it replaced.
+
+    Readers filter by the same rule at any time; this keeps a long-running
+    history and its many small appends from growing. Run it between micro-batches
+    (one writer at a time); ``keep`` leaves the last append in the log, so that its
+    batch is still recognised when it is replayed.
+    """
+    version = table.overwrite(retain(table.read(), ts_col, seconds, as_of))
+    table.expire(keep)
+    return version
 
 
 def confirmation_log(rows: DataFrame) -> DataFrame:

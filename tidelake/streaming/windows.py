@@ -21,6 +21,9 @@ WATERMARK = "120 seconds"
 MOVEMENTS = ["arrival", "departure"]
 ALERTS = ["delay_alert", "capacity_alert"]
 
+# A station has one name, so the name can be part of the key instead of an aggregate.
+STATION_KEYS = ["station_id", "stop_name"]
+
 
 def _in_scope(events: DataFrame, scope: Column, columns: list[str]) -> DataFrame:
     """Blank the named columns of events outside the scope."""
@@ -32,8 +35,8 @@ def _in_scope(events: DataFrame, scope: Column, columns: list[str]) -> DataFrame
     )
 
 
-def _windowed(events: DataFrame, window: str, key: str, *aggregates: Column) -> DataFrame:
-    grouped = events.groupBy(F.window("event_time", window).alias("_window"), key).agg(
+def _windowed(events: DataFrame, window: str, keys: list[str], *aggregates: Column) -> DataFrame:
+    grouped = events.groupBy(F.window("event_time", window).alias("_window"), *keys).agg(
         F.count_if("_matched").alias("_events"), *aggregates
     )
     return grouped.filter("_events > 0").withColumns(
@@ -53,11 +56,10 @@ def station_occupancy(enriched: DataFrame, window: str = WINDOW, as_of: Column |
     """
     moves = _in_scope(
         enriched, F.col("event_type").isin(MOVEMENTS),
-        ["event_id", "station_id", "stop_name", "line", "passenger_count"],
+        [*STATION_KEYS, "line", "passenger_count"],
     )
     load = _windowed(
-        moves, window, "station_id",
-        _last("stop_name"),
+        moves, window, STATION_KEYS,
         F.array_sort(F.collect_set("line")).alias("lines_serving"),
         F.greatest(F.max("passenger_count"), F.lit(0)).alias("max_vehicle_occupancy"),
         F.round(F.avg("passenger_count"), 2).alias("avg_vehicle_occupancy"),
@@ -76,7 +78,7 @@ def line_delays(
     """Delay per line and window, from all events that report one; ``vehicles_seen`` counts events."""
     reports = _in_scope(events, F.col("delay_seconds") >= 0, ["line", "delay_seconds"])
     delays = _windowed(
-        reports, window, "line",
+        reports, window, ["line"],
         F.round(F.avg("delay_seconds"), 2).alias("avg_delay_seconds"),
         F.max("delay_seconds").alias("max_delay_seconds"),
         F.count_if(F.col("delay_seconds") > threshold).alias("vehicles_delayed"),
@@ -93,11 +95,10 @@ def line_delays(
 def station_alerts(enriched: DataFrame, window: str = WINDOW) -> DataFrame:
     """Delay and capacity alerts per station and window."""
     alerts = _in_scope(
-        enriched, F.col("event_type").isin(ALERTS), ["event_id", "event_type", "station_id", "stop_name", "line"]
+        enriched, F.col("event_type").isin(ALERTS), ["event_id", "event_type", *STATION_KEYS, "line"]
     )
     counts = _windowed(
-        alerts, window, "station_id",
-        _last("stop_name"),
+        alerts, window, STATION_KEYS,
         _last("line"),
         F.count_if(F.col("event_type") == "delay_alert").alias("delay_alerts"),
         F.count_if(F.col("event_type") == "capacity_alert").alias("capacity_alerts"),
@@ -108,9 +109,13 @@ def station_alerts(enriched: DataFrame, window: str = WINDOW) -> DataFrame:
     )
 
 
-def closed_windows(aggregates: DataFrame, events: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Of a batch aggregate, the windows a stream over the same events would have closed by now."""
-    newest = events.agg(F.max("event_time").alias("newest")).scalar()
+def newest_event(events: DataFrame) -> Column:
+    """Time of the newest event, as a scalar subquery."""
+    return events.agg(F.max("event_time")).scalar()
+
+
+def closed_windows(aggregates: DataFrame, newest: Column, delay: str = WATERMARK) -> DataFrame:
+    """Of a batch aggregate, the windows a stream that has seen ``newest`` would have closed."""
     return aggregates.filter(F.col("window_end") <= newest - F.expr(f"INTERVAL {delay}"))
 
 

@@ -15,7 +15,7 @@ from tidelake.plans import bronze as bronze_plan
 from tidelake.plans import gold, silver
 from tidelake.session import scratch
 from tidelake.sources.snapshot_table import SnapshotTable, snapshot_delta
-from workload import adapters
+from workload import adapters, stored
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
@@ -244,21 +244,17 @@ def _commit_time(n: int) -> datetime:
     return datetime(2024, 1, 1, 0, 0, 0, n * 1000, tzinfo=UTC)
 
 
-_ORDER_TABLES: dict[tuple[str, str], SnapshotTable] = {}
-
-
 def _orders_by_status(spark: SparkSession, sf: str) -> SnapshotTable:
-    """All orders, appended status by status within three milliseconds. Built once per session and input."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _ORDER_TABLES:
+    """All orders, appended status by status within three milliseconds."""
+
+    def build(path: str) -> SnapshotTable:
         orders = adapters.table(spark, sf, "orders")
-        table = SnapshotTable(spark, scratch(spark, "orders")).create(
-            orders.schema, ["o_orderpriority"], committed_at=_commit_time(0)
-        )
+        table = SnapshotTable(spark, path).create(orders.schema, ["o_orderpriority"], committed_at=_commit_time(0))
         for n, status in enumerate(["F", "O", "P"], 1):
             table.append(orders.filter(F.col("o_orderstatus") == status), f"orders_{status}", _commit_time(n))
-        _ORDER_TABLES[key] = table
-    return _ORDER_TABLES[key]
+        return table
+
+    return stored.table(spark, sf, "orders_by_status", build)
 
 
 def _by_priority(orders: DataFrame) -> DataFrame:

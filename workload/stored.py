@@ -1,0 +1,31 @@
+"""Tables the queries share: derived from the driver's tables once per session, kept in the shared folder."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidelake.session import scratch
+from tidelake.sources.snapshot_table import SnapshotTable
+
+_BUILT: dict[tuple[str, str, str], SnapshotTable] = {}
+
+
+def table(spark: SparkSession, sf: str, name: str, build: Callable[[str], SnapshotTable]) -> SnapshotTable:
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _BUILT:
+        _BUILT[key] = build(scratch(spark, name))
+    return _BUILT[key]
+
+
+def filled(spark: SparkSession, path: str, rows: DataFrame) -> SnapshotTable:
+    """A new table holding ``rows``."""
+    made = SnapshotTable(spark, path).create(rows.schema)
+    made.overwrite(rows)
+    return made
+
+
+def forget() -> None:
+    """Build everything anew from here on, e.g. to time a query with all it needs."""
+    _BUILT.clear()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,7 +18,7 @@ from tidelake.sources.snapshot_table import SnapshotTable
 from tidelake.streaming import alerts, jobs, windows
 from tidelake.streaming.events import enrich_events, parse_events, timed_events
 from tidelake.streaming.sinks import append_history, confirmation_log
-from workload import adapters
+from workload import adapters, stored
 from workload.batch_queries import volume, wall_clock
 
 HOURLY = jobs.StreamSettings(window="1 hour", trigger={"availableNow": True})
@@ -35,27 +37,47 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich_events(_events(spark, sf), *_catalog(spark, sf))
 
 
+def _stored(spark: SparkSession, sf: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """An operational table as the jobs leave it: written once, then asked many questions."""
+    return stored.table(spark, sf, name, lambda path: stored.filled(spark, path, rows())).read()
+
+
 def _newest(spark: SparkSession, sf: str) -> Column:
     """The instant of the newest event, standing in for "now"."""
-    return _events(spark, sf).agg(F.max("event_time")).scalar()
+    clock = _stored(spark, sf, "clock", lambda: _events(spark, sf).agg(F.max("event_time").alias("newest")))
+    return clock.agg(F.max("newest")).scalar()
 
 
 def _closed(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
-    return windows.closed_windows(rows, _events(spark, sf))
+    return windows.closed_windows(rows, _newest(spark, sf))
 
 
 def _occupancy(spark: SparkSession, sf: str) -> DataFrame:
     """Latest closed hour per station, computed on the table."""
-    hours = _closed(spark, sf, windows.station_occupancy(_enriched(spark, sf), "1 hour"))
-    return windows.latest_per_key(hours, "station_id")
+
+    def rows() -> DataFrame:
+        hours = windows.station_occupancy(_enriched(spark, sf), "1 hour")
+        return windows.latest_per_key(_closed(spark, sf, hours), "station_id")
+
+    return _stored(spark, sf, "station_occupancy", rows)
 
 
 def _delays(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.latest_per_key(_closed(spark, sf, windows.line_delays(_events(spark, sf), "1 hour")), "line")
+    def rows() -> DataFrame:
+        return windows.latest_per_key(_closed(spark, sf, windows.line_delays(_events(spark, sf), "1 hour")), "line")
+
+    return _stored(spark, sf, "line_delays", rows)
 
 
 def _alerts(spark: SparkSession, sf: str) -> DataFrame:
-    return _closed(spark, sf, windows.station_alerts(_enriched(spark, sf), "10 minutes"))
+    def rows() -> DataFrame:
+        return _closed(spark, sf, windows.station_alerts(_enriched(spark, sf), "10 minutes"))
+
+    return _stored(spark, sf, "station_alerts", rows)
+
+
+def _volume(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, sf, "station_volume", lambda: volume(spark, sf))
 
 
 # -- message bodies ---------------------------------------------------------
@@ -260,7 +282,7 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     now = _newest(spark, sf)
     return (
         integration.current_readings(_occupancy(spark, sf), now, seconds=DAY),
-        integration.history_slot(volume(spark, sf), now),
+        integration.history_slot(_volume(spark, sf), now),
     )
 
 
