@@ -1,0 +1,115 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelake.functions import calendar, events, trips
+
+
+def one(spark, *columns):
+    return spark.range(1).select(*columns).first()
+
+
+def test_hour_blocks_cover_the_day(spark):
+    hours = spark.range(24).select("id", F.make_timestamp(F.lit(2024), F.lit(1), F.lit(1), "id", F.lit(0), F.lit(0)).alias("ts"))
+    got = {r.id: r.b for r in hours.select("id", calendar.hour_block(F.col("ts")).alias("b")).collect()}
+    want = {0: "05-06", 4: "05-06", 5: "05-06", 6: "06-09", 8: "06-09", 9: "09-12", 12: "12-15", 15: "15-18",
+            18: "18-21", 20: "18-21", 21: "21-23", 23: "21-23"}
+    assert {h: got[h] for h in want} == want
+
+
+def test_hour_block_in_local_zone(spark):
+    ts = F.lit("2024-01-01 14:00:00").cast("timestamp")
+    row = one(spark, calendar.hour_block(ts).alias("utc"), calendar.hour_block(ts, "America/Bogota").alias("local"))
+    assert (row.utc, row.local) == ("12-15", "09-12")
+
+
+def test_hour_block_of_null_is_null(spark):
+    assert one(spark, calendar.hour_block(F.lit(None).cast("timestamp")).alias("b")).b is None
+
+
+@pytest.mark.parametrize("block, part", [
+    ("05-06", "madrugada"), ("06-09", "mañana"), ("09-12", "mañana"), ("12-15", "tarde"), ("15-18", "tarde"),
+    ("18-21", "noche"), ("21-23", "noche"), ("23-24", "desconocido"), (None, "desconocido"),
+])
+def test_time_of_day(spark, block, part):
+    assert one(spark, calendar.time_of_day(F.lit(block).cast("string")).alias("p")).p == part
+
+
+def test_weekdays(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-07')) AS d")  # Monday to Sunday
+    rows = days.select(
+        calendar.iso_dow(F.col("d")).alias("iso"),
+        calendar.iso_from_sunday_first(F.dayofweek("d")).alias("iso2"),
+        calendar.day_name(F.dayofweek("d")).alias("name"),
+        calendar.is_weekend(F.dayofweek("d")).alias("weekend"),
+    ).orderBy("iso")
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, 1, "Lunes", False), (2, 2, "Martes", False), (3, 3, "Miércoles", False), (4, 4, "Jueves", False),
+        (5, 5, "Viernes", False), (6, 6, "Sábado", True), (7, 7, "Domingo", True),
+    ]
+
+
+def test_months(spark):
+    rows = spark.range(0, 14).select(
+        F.col("id").cast("int").alias("m"),
+        calendar.month_name(F.col("id").cast("int")).alias("name"),
+        calendar.is_rainy(F.col("id")).alias("rainy"),
+    )
+    got = {r.m: (r.name, r.rainy) for r in rows.collect()}
+    assert got[0][0] is None and got[13][0] is None
+    assert got[1] == ("Enero", False) and got[12] == ("Diciembre", False)
+    assert [m for m in range(1, 13) if got[m][1]] == [4, 5, 9, 10, 11]
+
+
+def test_holidays(spark):
+    df = spark.createDataFrame([(dt.date(2024, 7, 20),), (dt.date(2024, 7, 21),), (None,)], "trip_date date")
+    marked = calendar.with_holiday(df, calendar.holiday_calendar(spark))
+    assert {(str(r.trip_date), r.is_holiday) for r in marked.collect()} == {
+        ("2024-07-20", True), ("2024-07-21", False), ("None", False)}
+    assert calendar.holiday_calendar(spark).count() == 18
+
+
+@pytest.mark.parametrize("seconds, label", [
+    (0, "puntual"), (30, "puntual"), (31, "leve"), (120, "leve"), (121, "moderado"), (300, "moderado"),
+    (301, "severo"), (None, "severo"),
+])
+def test_delay_category(spark, seconds, label):
+    assert one(spark, trips.delay_category(F.lit(seconds).cast("int")).alias("c")).c == label
+
+
+@pytest.mark.parametrize("origin, dest, stops, direction", [(1, 3, 2, "forward"), (3, 1, 2, "reverse"), (2, 2, 0, "reverse")])
+def test_direction(spark, origin, dest, stops, direction):
+    row = one(spark, trips.n_stops(F.lit(origin), F.lit(dest)).alias("n"), trips.trip_direction(F.lit(origin), F.lit(dest)).alias("d"))
+    assert (row.n, row.d) == (stops, direction)
+
+
+def test_service_and_capacity(spark):
+    df = spark.createDataFrame([("A",), ("K",), ("TA",), ("M",), ("ZZ",)], "line string")
+    rows = df.select("line", events.service_type(F.col("line")).alias("s"))
+    rows = rows.withColumn("c", events.capacity_of(F.col("s"))).collect()
+    assert {r.line: (r.s, r.c) for r in rows} == {
+        "A": ("metro", 1200), "K": ("cable", 50), "TA": ("tranvia", 300), "M": ("cable", 50), "ZZ": ("metro", 1200)}
+
+
+def test_iso_text(spark):
+    ts = F.lit("2026-05-18 14:32:59.954").cast("timestamp")
+    row = one(spark, events.iso_format(ts).alias("s"), events.iso_ms(ts).alias("ms"),
+              events.iso_parse(events.iso_format(ts)).cast("string").alias("back"))
+    assert tuple(row) == ("2026-05-18T14:32:59Z", "2026-05-18T14:32:59.954Z", "2026-05-18 14:32:59")
+
+
+@pytest.mark.parametrize("dz, flag", [(1.01, "▲▲"), (1.0, "▲"), (0.51, "▲"), (0.5, ""), (0.0, ""), (-0.5, ""),
+                                      (-0.51, "▼"), (-1.0, "▼"), (-1.01, "▼▼")])
+def test_delta_flag(spark, dz, flag):
+    assert one(spark, events.delta_flag(F.lit(dz)).alias("f")).f == flag
+
+
+@pytest.mark.parametrize("text, want", [
+    ("2026-05-18T14:32:59.9Z", "2026-05-18 14:32:59.9"), ("2026-05-18T14:32:59.954Z", "2026-05-18 14:32:59.954"),
+    ("2026-05-18T14:32:59.954321Z", "2026-05-18 14:32:59.954"), ("2026-05-18T14:32:59Z", "2000-01-01 00:00:00"),
+    ("2026-05-18T14:32:59.954+02:00", "2000-01-01 00:00:00"), ("", "2000-01-01 00:00:00"), (None, "2000-01-01 00:00:00"),
+])
+def test_event_time(spark, text, want):
+    source = F.lit("2000-01-01 00:00:00").cast("timestamp")
+    assert one(spark, events.event_time(F.lit(text).cast("string"), source).cast("string").alias("t")).t == want

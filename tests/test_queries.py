@@ -1,0 +1,27 @@
+"""Every registered query against its SQL twin on the smallest tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.oracle_check import compare, connect
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF)
+
+
+def test_every_query_has_a_twin():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query(spark, duck, name):
+    problems = compare(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name])
+    assert problems in ([], ["EMPTY"])

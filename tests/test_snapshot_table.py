@@ -1,0 +1,157 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidelake import schemas
+from tidelake.operators.inspect import plan_summary
+from tidelake.plans import bronze
+from tidelake.sources import namespaces
+from tidelake.sources.snapshot_table import SnapshotTable, schema_diff, snapshot_delta
+
+UTC = dt.UTC
+
+
+def at(ms):
+    return dt.datetime(2024, 1, 1, 12, 0, 0, ms * 1000, tzinfo=UTC)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    df = spark.createDataFrame([], "id long, line string")
+    return SnapshotTable(spark, str(tmp_path / "t")).create(df.schema, ["line"], committed_at=at(0))
+
+
+def rows(spark, lo, hi, line="A"):
+    return spark.range(lo, hi).withColumn("line", F.lit(line))
+
+
+def test_each_append_is_a_snapshot(spark, table):
+    table.append(rows(spark, 0, 50), "one", at(1))
+    table.append(rows(spark, 50, 100, "B"), "two", at(2))
+    got = [(r.snapshot_id, r.operation, r.added_records, r.total_records, r.batch_key) for r in table.snapshots().collect()]
+    assert got == [(1, "append", 50, 50, "one"), (2, "append", 50, 100, "two")]
+    assert table.snapshots().first().summary["added-records"] == "50"
+    assert table.read().count() == 100 and table.read(version=1).count() == 50
+    delta = snapshot_delta(table, 1, 2).first()
+    assert (delta.rows_before, delta.rows_after, delta.delta) == (50, 100, 50)
+
+
+def test_time_travel_by_millisecond(spark, table):
+    table.append(rows(spark, 0, 5), committed_at=at(100))
+    table.append(rows(spark, 5, 9), committed_at=at(101))
+    assert table.read(timestamp="2024-01-01 12:00:00.100").count() == 5
+    assert table.read(timestamp=at(101)).count() == 9
+    assert table.read(timestamp="2024-01-01 12:00:00.099").count() == 0  # created, still empty
+    with pytest.raises(ValueError):
+        table.read(timestamp="2024-01-01 11:59:59")
+
+
+def test_same_batch_is_loaded_once(spark, table):
+    assert table.append(rows(spark, 0, 5), "f.csv") == 1
+    assert table.append(rows(spark, 0, 5), "f.csv") is None
+    assert table.read().count() == 5 and table.snapshots().count() == 1
+
+
+def test_failed_write_stays_invisible(spark, table):
+    table.append(rows(spark, 0, 5))
+    # Data without a log entry is what a job that died before its commit leaves.
+    rows(spark, 100, 200).write.partitionBy("line").parquet(f"{table.path}/data/_snapshot_id=2")
+    assert table.read().count() == 5
+    table.append(rows(spark, 5, 7))
+    assert table.read().count() == 7
+
+
+def test_added_column_is_null_before_and_filled_after(spark, table):
+    before = table.schema()
+    table.append(rows(spark, 0, 5))
+    table.add_column("weather", "string", "from now on")
+    assert schema_diff(before, table.schema()) == {"added": ["weather"], "removed": [], "retyped": []}
+    assert table.schema()["weather"].metadata["comment"] == "from now on"
+    assert table.read().filter("weather IS NULL").count() == 5
+    table.append(rows(spark, 5, 8).withColumn("weather", F.lit("Nublado")))
+    table.append(rows(spark, 8, 9))
+    assert table.read().filter("weather IS NOT NULL").count() == 3 and table.read().count() == 9
+    assert "weather" not in table.read(version=1).columns
+    assert table.snapshots().count() == 3
+    with pytest.raises(ValueError):
+        table.add_column("weather", "string")
+
+
+def test_overwrite_keeps_history_until_expired(spark, table):
+    table.append(rows(spark, 0, 5))
+    table.overwrite(rows(spark, 0, 3))
+    table.overwrite(rows(spark, 0, 2))
+    assert [table.read(version=v).count() for v in (1, 2, 3)] == [5, 3, 2]
+    assert table.expire(keep=2) == 1
+    assert [table.read(version=v).count() for v in (2, 3)] == [3, 2]
+    assert table.expire(keep=1) == 1 and table.read().count() == 2
+    assert table.append(rows(spark, 2, 4)) == 4 and table.read().count() == 4
+
+
+def test_appends_never_expire(spark, table):
+    for n in range(4):
+        table.append(rows(spark, n, n + 1))
+    assert table.expire(keep=1) == 0 and table.read().count() == 4
+
+
+def test_reads_prune_partitions(spark, table):
+    table.append(rows(spark, 0, 5))
+    table.append(rows(spark, 5, 9, "B"))
+    summary = plan_summary(table.read(version=1).filter("line = 'A' AND id > 3").select("id"))
+    assert any("_snapshot_id" in f and "line" in f for f in summary["partition_filters"])
+    assert any("GreaterThan(id,3)" in f for f in summary["pushed_filters"])
+    assert summary["shuffles"] == 0 and summary["python"] == 0
+
+
+def test_empty_batches(spark, table):
+    assert table.append(rows(spark, 0, 0), allow_empty=False) is None
+    assert table.append(rows(spark, 0, 0)) == 1
+    assert table.read().count() == 0 and table.snapshots().first().added_records == 0
+
+
+def test_second_writer_is_refused(spark, table):
+    state = table._state()
+    table.append(rows(spark, 0, 5))
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._write(rows(spark, 5, 6), "append", None, state, None)
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        table._commit(1, "append", 1, 1, 1, None, state, None)
+    assert table.read().count() == 5
+
+
+def test_drop(table):
+    assert table.exists()
+    table.drop()
+    assert not table.exists()
+
+
+def test_bronze_from_csv(spark, tmp_path):
+    header = ",".join(schemas.TRIPS_CSV.names)
+    good = "T1,A1,A2,A,10,5,2024-01-01,06-09,true,trips_1.csv,2024-01-02T00:00:00Z"
+    broken = ",A1,A2,K,many,,2024-01-01,06-09,false,trips_1.csv,2024-01-02T00:00:00Z"
+    for name in ("trips_1.csv", "trips_2.csv"):
+        (tmp_path / name).write_text("\n".join([header, good, broken]) + "\n", encoding="utf-8")
+    table = bronze.bronze_table(spark, str(tmp_path / "bronze"))
+    assert bronze.ingest_trips(table, str(tmp_path / "trips_1.csv")) == 1
+    assert bronze.ingest_trips(table, str(tmp_path / "trips_1.csv")) is None
+    assert bronze.ingest_trips(table, str(tmp_path / "trips_2.csv")) == 2
+    got = table.read()
+    assert got.columns == schemas.BRONZE_TRIPS.names
+    assert bronze.missing_trip_ids(got).first()[0] == 2
+    assert got.filter("line = 'K' AND passenger_count IS NULL").count() == 2
+    assert table.schema()["line"].metadata["comment"]
+    summary = bronze.batch_summary(got, distinct="line", first_seen="bronze_ingestion_ts").collect()
+    assert [(r.source_file, r.rows, r.distinct_line) for r in summary] == [("trips_1.csv", 4, 2)]
+
+
+def test_namespace_round_trip(spark):
+    namespaces.ensure_namespace(spark, "smoke")
+    namespaces.ensure_namespace(spark, "smoke")
+    spark.sql("CREATE TABLE smoke.t (a INT COMMENT 'x', line STRING) USING parquet PARTITIONED BY (line)")
+    assert namespaces.table_exists(spark, "smoke.t")
+    assert [r.tableName for r in namespaces.list_tables(spark, "smoke").collect()] == ["t"]
+    assert {r.col_name for r in namespaces.describe(spark, "smoke.t").collect()} == {"a", "line"}
+    namespaces.drop_table(spark, "smoke.t")
+    assert not namespaces.table_exists(spark, "smoke.t")
+    namespaces.drop_namespace(spark, "smoke")

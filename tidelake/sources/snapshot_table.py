@@ -130,6 +130,9 @@ class SnapshotTable:
         committed_at: datetime | None, allow_empty: bool = True,
     ) -> int | None:
         version = state.version + 1
+        entry, fs = self._filesystem(f"{self._log}/entry={version}")
+        if fs.exists(entry):
+            raise RuntimeError(f"snapshot {version} of {self.path} was committed by another writer")
         missing = [f for f in state.schema.fields if f.name not in df.columns]
         filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
         rows = filled.select(*[F.col(f.name).cast(f.dataType) for f in state.schema.fields])
