@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,19 @@ def _batch_key(run: str, batch_id: int) -> str:
     return f"{run}/{batch_id}"
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[None]:
+    """Hold a batch's rows while several actions use them: the stateful plan must not run twice."""
+    if batch.is_cached:
+        yield
+        return
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 def merge_latest(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
     """Newest row per key of both; at equal times the incoming row wins, an older one never does."""
     both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.select(*stored.columns).withColumn("_new", F.lit(1)))
@@ -37,16 +51,12 @@ def upsert_latest(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        # Counting and merging must not run the stateful plan twice.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _kept(batch):
             if batch.count() == 0:
                 return
             merged = merge_latest(table.read(), batch, key, order)
             if table.overwrite(merged, batch_key=_batch_key(run, batch_id)) is not None and keep:
                 table.expire(keep)
-        finally:
-            batch.unpersist()
 
     return sink
 
@@ -84,7 +94,8 @@ def with_log(writer: BatchWriter, log_path: str) -> BatchWriter:
     """Also write each batch's confirmation lines as text; a replayed batch writes over its own."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        writer(batch, batch_id)
-        confirmation_log(batch).write.mode("overwrite").text(f"{log_path}/batch={batch_id}")
+        with _kept(batch):
+            writer(batch, batch_id)
+            confirmation_log(batch).write.mode("overwrite").text(f"{log_path}/batch={batch_id}")
 
     return sink
