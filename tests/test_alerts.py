@@ -84,6 +84,30 @@ def test_stream_edges(spark, catalog, tmp_path, cuts):
     assert sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in rows) == brute_force(RUN, TERMINALS)
 
 
+@pytest.mark.parametrize("cuts", [[], [2, 4, 7], [1, 2, 3, 4, 5, 6, 7, 8]])
+def test_carried_edges(spark, catalog, tmp_path, cuts):
+    bounds = [0, *cuts, len(RUN)]
+    carried(spark, catalog, tmp_path, [RUN[a:b] for a, b in zip(bounds, bounds[1:])], RUN)
+
+
+def test_carried_edges_match_brute_force(spark, catalog, tmp_path):
+    events = sorted(random_events(5), key=lambda e: (e["timestamp"], e["event_id"]))
+    carried(spark, catalog, tmp_path, [events[:150], events[150:160], events[160:]], events)
+
+
+def carried(spark, catalog, tmp_path, batches, events):
+    state, fired = alerts.edge_alert_tables(spark, scratch(spark, "carried"))
+    sink = alerts.edge_alert_writer(state, fired, "q", slice_by="MINUTE")
+    for n, batch in enumerate(batches):
+        write_files(tmp_path / f"in{n}", batch)
+        rows = timed_events(spark.read.schema(schemas.RAW_STREAM).json(str(tmp_path / f"in{n}")))
+        moves = alerts.mark_terminals(rows, catalog[0])
+        sink(moves, n)
+        sink(moves, n)  # a replay
+    got = sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in fired.read().collect())
+    assert got == brute_force(events, TERMINALS)
+
+
 def test_running_sum_over_a_dominant_key(spark):
     df = spark.range(2000).select(
         F.when(F.col("id") % 4 < 3, "hot").otherwise("cold").alias("k"), "id", (F.col("id") % 7).alias("x"),

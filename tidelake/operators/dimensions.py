@@ -63,7 +63,7 @@ def terminal_stops(stops: DataFrame) -> DataFrame:
         F.min("orden").alias("_first"), F.max("orden").alias("_last")
     )
     return (
-        stops.join(ends, F.col("linea") == F.col("_line"))
+        stops.join(broadcast_if_small(ends), F.col("linea") == F.col("_line"))
         .filter((F.col("orden") == F.col("_first")) | (F.col("orden") == F.col("_last")))
         .select("stop_id", "linea", "orden")
     )

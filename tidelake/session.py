@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -52,9 +54,10 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tidelake-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tidelake-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch(spark: SparkSession, name: str) -> str:

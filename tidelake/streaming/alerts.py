@@ -5,14 +5,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidelake.functions.events import FULL_SHARE, HIGH_DELAY_SECONDS, capacity_of, service_type
 from tidelake.operators.dimensions import terminal_stops
-from tidelake.operators.sizing import broadcast_if_small
 from tidelake.operators.runs import running_sum_with_resets
+from tidelake.operators.sizing import broadcast_if_small
+from tidelake.schemas import struct
+from tidelake.sources.snapshot_table import SnapshotTable
+from tidelake.streaming.sinks import BatchWriter
 
 ALERT_COLUMNS = ["vehicle_id", "line", "stop_id", "event_id", "event_time", "accumulated_delay"]
 ALERT_SCHEMA = (
@@ -35,22 +39,19 @@ def _segment_delay() -> Column:
     return F.when(F.col("event_type") == "departure", F.col("delay_seconds")).otherwise(0).cast("long")
 
 
-def delay_edge_alerts(
-    events: DataFrame, stops: DataFrame, threshold: int = HIGH_DELAY_SECONDS, slice_by: str = "HOUR"
-) -> DataFrame:
-    """One alert per vehicle run, at the departure where its accumulated delay first exceeds the threshold.
-
-    A run ends with the arrival at a terminal. ``slice_by`` is the time unit a
-    vehicle's history is cut into for parallel work; it does not change results.
-    """
-    summed = running_sum_with_resets(
-        mark_terminals(events, stops),
+def _sum_runs(moves: DataFrame, slice_by: str) -> DataFrame:
+    return running_sum_with_resets(
+        moves,
         "vehicle_id",
         ["event_time", "event_id"],
         _segment_delay(),
         F.col("at_terminal"),
         F.date_trunc(slice_by, "event_time"),
     )
+
+
+def _first_crossings(summed: DataFrame, threshold: int) -> DataFrame:
+    """Per vehicle and run, the departure at which the sum first exceeds the threshold."""
     over = summed.filter((F.col("running") > threshold) & (F.col("event_type") == "departure"))
     first = over.groupBy("vehicle_id", "run").agg(
         F.min_by(
@@ -58,7 +59,94 @@ def delay_edge_alerts(
             F.struct("event_time", "event_id"),
         ).alias("_first")
     )
-    return first.select("vehicle_id", "_first.*").select(*ALERT_COLUMNS)
+    return first.select("vehicle_id", "run", "_first.*")
+
+
+def delay_edge_alerts(
+    events: DataFrame, stops: DataFrame, threshold: int = HIGH_DELAY_SECONDS, slice_by: str = "HOUR"
+) -> DataFrame:
+    """One alert per vehicle run, at the departure where its accumulated delay first exceeds the threshold.
+
+    A run ends with the arrival at a terminal. ``slice_by`` is the time unit a
+    vehicle's history is cut into for parallel work; it does not change results.
+    """
+    summed = _sum_runs(mark_terminals(events, stops), slice_by)
+    return _first_crossings(summed, threshold).select(*ALERT_COLUMNS)
+
+
+RUN_STATE = struct("vehicle_id string, accumulated bigint, alerted boolean")
+
+# Sorts before any event, so that the carried delay opens its vehicle's sum.
+_OPENING_TIME = "0001-01-01 00:00:00"
+
+
+def carry_runs(summed: DataFrame, state: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Alerts of one micro-batch, and the state of its vehicles after it."""
+    crossings = _first_crossings(summed, threshold)
+    warned = state.filter("alerted").select(F.col("vehicle_id").alias("_warned"))
+    resumed = (F.col("vehicle_id") == F.col("_warned")) & (F.col("run") == 0)
+    fired = crossings.join(warned, resumed, "left_anti").select(*ALERT_COLUMNS)
+
+    ends = summed.groupBy("vehicle_id").agg(
+        F.max_by(F.struct("run", "running", "at_terminal"), F.struct("event_time", "event_id")).alias("_end")
+    )
+    ends = ends.select("vehicle_id", "_end.*")
+    crossed = crossings.select("vehicle_id", "run", F.lit(True).alias("_crossed"))
+    closed = F.col("at_terminal")
+    after = (
+        ends.join(crossed, ["vehicle_id", "run"], "left")
+        .join(warned, resumed, "left")
+        .select(
+            "vehicle_id",
+            F.when(closed, 0).otherwise(F.col("running")).cast("bigint").alias("accumulated"),
+            (~closed & (F.col("_crossed").isNotNull() | F.col("_warned").isNotNull())).alias("alerted"),
+        )
+    )
+    return fired, after
+
+
+def edge_alert_writer(
+    state: SnapshotTable, alerts: SnapshotTable, run: str, threshold: int = HIGH_DELAY_SECONDS,
+    slice_by: str = "HOUR", keep: int = 5,
+) -> BatchWriter:
+    """``foreachBatch`` writer over ``mark_terminals`` rows that carries each vehicle's open run in a table.
+
+    The sums are the sliced ones of the batch version: a vehicle that dominates a
+    micro-batch is worked on by many tasks. Alerts are committed before the state,
+    both under the batch's key, so a replay after any failure completes the pair.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        key = f"{run}/{batch_id}"
+        if state.has_batch(key):
+            return
+        before = state.read()
+        opening = before.select(
+            "vehicle_id",
+            F.lit("departure").alias("event_type"),
+            F.lit("").alias("event_id"),
+            F.lit(_OPENING_TIME).cast("timestamp").alias("event_time"),
+            F.col("accumulated").alias("delay_seconds"),
+            F.lit(False).alias("at_terminal"),
+        )
+        summed = _sum_runs(batch.unionByName(opening, allowMissingColumns=True), slice_by)
+        summed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fired, after = carry_runs(summed, before, threshold)
+            alerts.append(fired, batch_key=key, allow_empty=False)
+            state.overwrite(after, batch_key=key)
+            state.expire(keep)
+        finally:
+            summed.unpersist()
+
+    return sink
+
+
+def edge_alert_tables(spark: SparkSession, root: str) -> tuple[SnapshotTable, SnapshotTable]:
+    return (
+        SnapshotTable(spark, f"{root}/run_state").create(RUN_STATE),
+        SnapshotTable(spark, f"{root}/delay_alerts").create(struct(ALERT_SCHEMA)),
+    )
 
 
 class DelayEdge(StatefulProcessor):
@@ -92,10 +180,13 @@ class DelayEdge(StatefulProcessor):
 
 
 def delay_edge_alerts_stream(events: DataFrame, stops: DataFrame, threshold: int = HIGH_DELAY_SECONDS) -> DataFrame:
-    """The same alerts on a stream, with one small state row per vehicle.
+    """The same alerts from a stateful operator, with one small state row per vehicle.
 
-    Needs the RocksDB state store. Movements are ordered within a micro-batch;
-    one that arrives in a later batch than its successors counts when it arrives.
+    The quick form for fleets of evenly busy vehicles: one vehicle's movements of
+    a micro-batch meet in one task, so limit the trigger's input, or use
+    ``edge_alert_writer`` where a single vehicle can dominate. Needs the RocksDB
+    state store. Movements are ordered within a micro-batch; one that arrives in
+    a later batch than its successors counts when it arrives.
     """
     moves = mark_terminals(events, stops).select(
         "vehicle_id", "line", "stop_id", "event_id", "event_time", "at_terminal",

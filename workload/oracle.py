@@ -406,6 +406,7 @@ FROM events""",
     "event_type_running_counts": _events("SELECT event_type, count(*) AS events FROM ev GROUP BY event_type"),
     "delay_edge_alerts": _events("SELECT * FROM edges"),
     "delay_edge_alerts_stream": _events("SELECT * FROM edges"),
+    "delay_edge_alerts_carried": _events("SELECT * FROM edges"),
     "capacity_alerts": _events(
         """, places AS (
   SELECT * EXCLUDE (timestamp), CASE WHEN line IN ('K', 'J', 'L', 'H', 'M', 'P') THEN 50 WHEN line = 'TA' THEN 300

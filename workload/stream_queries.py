@@ -209,6 +209,21 @@ def delay_edge_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
     return wall_clock(spark.read.schema(fired.schema).parquet(f"{root}/alerts"))
 
 
+def delay_edge_alerts_carried(spark: SparkSession, sf: str) -> DataFrame:
+    """``delay_edge_alerts`` from micro-batches that carry open runs in a table."""
+    root = scratch(spark, "carried")
+    state, fired = alerts.edge_alert_tables(spark, root)
+    moves = alerts.mark_terminals(timed_events(adapters.message_stream(spark, sf)), adapters.stops(spark, sf))
+    query = (
+        moves.writeStream.option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .foreachBatch(alerts.edge_alert_writer(state, fired, "edges", slice_by="DAY"))
+        .start()
+    )
+    query.awaitTermination()
+    return wall_clock(fired.read())
+
+
 def capacity_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return wall_clock(alerts.capacity_alerts(_events(spark, sf)).drop("timestamp"))
 
@@ -311,7 +326,8 @@ QUERIES = {
     f.__name__: f
     for f in [
         event_json_parse, event_json_damaged, event_times, occupancy_stream, delay_stream, alert_stream,
-        occupancy_latest, event_type_running_counts, delay_edge_alerts, delay_edge_alerts_stream, capacity_alerts,
+        occupancy_latest, event_type_running_counts, delay_edge_alerts, delay_edge_alerts_stream,
+        delay_edge_alerts_carried, capacity_alerts,
         point_lookup, top_occupancy, critical_lines, alert_history_day, alert_history_station, alert_ranking,
         ttl_retention, freshness, document_rules, confirmation_lines, zscore_ranking, zscore_context,
         zscore_extremes, zscore_counts, matched_sides,
