@@ -29,7 +29,9 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
         builder = builder.master(master)
     settings = {
         **SQL_SETTINGS,
+        # Window state beyond memory, and commits that write changes only.
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **(conf or {}),
     }
     for key, value in settings.items():

@@ -16,9 +16,13 @@ TOPIC = "transport-events"
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str = TOPIC, group: str | None = None, starting: str = "latest"
-) -> DataFrame:
-    """Topic read from its newest messages on; needs the Kafka connector on the class path."""
+    spark: SparkSession, servers: str, topic: str = TOPIC, group: str | None = None, starting: str = "latest",
+    max_per_trigger: int | None = None,
+) -> DataFrame:
+    """Topic read from its newest messages on; needs the Kafka connector on the class path.
+
+    ``max_per_trigger`` bounds a micro-batch, e.g. while a backlog is worked off.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -27,6 +31,8 @@ def kafka_stream(
     )
     if group:
         reader = reader.option("kafka.group.id", group)
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     return reader.load().select(F.col("value").cast("string").alias("value"), "timestamp")
 
 
