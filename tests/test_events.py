@@ -54,6 +54,10 @@ def test_non_objects_are_invalid(spark, text):
     assert tuple(parse(spark, text)[0]) == INVALID
 
 
+def test_last_of_repeated_fields_counts(spark):
+    assert parse(spark, '{"event_type": "arrival", "line": "A", "line": "B"}')[0].line == "B"
+
+
 def test_empty_object_is_all_defaults(spark):
     assert tuple(parse(spark, " \n{}")[0]) == INVALID  # the absent type makes it invalid as well
 

@@ -89,6 +89,18 @@ def test_overwrite_keeps_history_until_expired(spark, table):
     assert table.append(rows(spark, 2, 4)) == 4 and table.read().count() == 4
 
 
+def test_overwrite_with_new_columns(spark, table):
+    table.append(rows(spark, 0, 5))
+    table.overwrite(spark.range(3).selectExpr("'A' AS line", "id * 0.5D AS half"), new_schema=True)
+    assert table.read().columns == ["line", "half"] and table.read().count() == 3
+    assert table.read(version=1).columns == ["id", "line"] and table.read(version=1).count() == 5
+
+
+def test_small_batches_make_few_files(spark, table):
+    table.append(rows(spark, 0, 100).repartition(8))
+    assert table.snapshots().first().added_files == 1
+
+
 def test_appends_never_expire(spark, table):
     for n in range(4):
         table.append(rows(spark, n, n + 1))

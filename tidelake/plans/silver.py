@@ -97,6 +97,6 @@ def refresh_silver(table: SnapshotTable, bronze: DataFrame, dim: DataFrame, as_o
     before, after = Observation(), Observation()
     silver = build_silver(bronze, dim, as_of, (before, after))
     table.create(silver.schema, ["line"], {"min_snapshots": "5"})
-    version = table.overwrite(silver)
+    version = table.overwrite(silver, new_schema=True)
     unmatched = {k: v for k, v in after.get.items() if k in ("orphan_origin", "orphan_dest")}
     return {"version": version, **before.get, **unmatched}

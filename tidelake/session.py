@@ -7,10 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Correctness: event times, calendar slots and window bounds are all UTC.
-# Scale: adaptive execution sizes shuffles and splits skewed join partitions.
-SQL_SETTINGS = {
+# Event times, calendar slots and window bounds are all UTC.
+CORRECTNESS_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # A repeated JSON field counts with its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+# Adaptive execution sizes shuffles and splits skewed join partitions.
+SQL_SETTINGS = {
+    **CORRECTNESS_SETTINGS,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -39,9 +45,10 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Apply the correctness setting to a session somebody else created."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the correctness settings to a session somebody else created."""
+    for key, value in CORRECTNESS_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

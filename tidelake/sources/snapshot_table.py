@@ -17,7 +17,7 @@ Limits: one writer at a time, no row-level update.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +35,8 @@ LOG_SCHEMA = struct(
 
 DATA_OPERATIONS = ["append", "overwrite"]
 
-DEFAULT_PROPS = {"format": "parquet", "compression": "snappy", "min_snapshots": "10"}
+# "distribution": "rebalance" shuffles what is written into even files, "none" writes each task's rows as they lie.
+DEFAULT_PROPS = {"format": "parquet", "compression": "snappy", "min_snapshots": "10", "distribution": "rebalance"}
 
 
 @dataclass(frozen=True)
@@ -92,10 +93,7 @@ class SnapshotTable:
         if isinstance(dtype, str):
             dtype = T.StructType.fromDDL(f"c {dtype}")[0].dataType
         field = T.StructField(name, dtype, True, {"comment": comment} if comment else None)
-        wider = TableState(
-            state.version, state.first_live, state.total_records,
-            T.StructType([*state.schema.fields, field]), state.partition_by, state.props,
-        )
+        wider = replace(state, schema=T.StructType([*state.schema.fields, field]))
         self._commit(state.version + 1, "alter", 0, state.total_records, 0, None, wider, None)
 
     # -- writes -------------------------------------------------------------
@@ -113,12 +111,17 @@ class SnapshotTable:
         return self._write(df, "append", batch_key, state, committed_at, allow_empty)
 
     def overwrite(
-        self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None
+        self, df: DataFrame, batch_key: str | None = None, committed_at: datetime | None = None, new_schema: bool = False
     ) -> int | None:
-        """Replace the content with one snapshot; earlier ones stay readable by version."""
+        """Replace the content with one snapshot; earlier ones stay readable by version.
+
+        With ``new_schema`` the columns are replaced as well, by those of ``df``.
+        """
         state = self._state(batch_key=batch_key)
         if state.batch_at is not None:
             return None
+        if new_schema:
+            state = replace(state, schema=df.schema)
         return self._write(df, "overwrite", batch_key, state, committed_at)
 
     def has_batch(self, batch_key: str) -> bool:
@@ -137,8 +140,9 @@ class SnapshotTable:
         filled = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
         rows = filled.select(*[F.col(f.name).cast(f.dataType) for f in state.schema.fields])
         target = f"{self._data}/{SNAPSHOT_ID}={version}"
-        if state.partition_by:
-            # Even-sized files per partition value; a dominant value is split, not sent to one task.
+        if state.props["distribution"] == "rebalance":
+            # A dominant partition value is split over several files instead of going to one task,
+            # and the few rows of a micro-batch end up in one file instead of one per task.
             rows = rows.hint("rebalance", *state.partition_by)
         writer = rows.write.mode("overwrite").option("compression", state.props["compression"])
         if state.partition_by:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.calendar import HOUR_BLOCKS
-from tidelake.session import pin_utc
+from tidelake.session import prepare
 
 TRANSFER_REGIONS = ["ASIA", "EUROPE"]
 SERVICES = {"AUTOMOBILE": "metro", "BUILDING": "metro", "FURNITURE": "tranvia"}  # all others: cable
@@ -25,7 +25,7 @@ EVENT_LINES = ["A", "B", "TA", "K", "J", "P", "H", "M", "L"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _numbered(prefix: str, key: str) -> Column:
