@@ -34,8 +34,8 @@ def catalog(spark):
         "stop_id string, station_id string, linea string, orden int, tipo_servicio string",
     )
     stations = spark.createDataFrame(
-        [("S1", "Niquía", 6.33, -75.54, "Bello", False), ("S2", "Acevedo", 6.3, -75.55, "Medellín", True),
-         ("S3", "Itagüí", 6.16, -75.6, "Itagüí", False), ("S4", "Popular", 6.29, -75.54, "Medellín", False)],
+        [("S1", "Niquía", 6.33, -75.54, "Bello", False), ("S2", "Acevedo", 6.3, -75.55, "Envigado", True),
+         ("S3", "Itagüí", 6.16, -75.6, "Itagüí", False), ("S4", "Popular", 6.29, -75.54, "Envigado", False)],
         "station_id string, nombre string, latitud double, longitud double, municipio string, es_transbordo boolean",
     )
     return stops, stations

@@ -20,7 +20,7 @@ K1b,S2,K,1,cable
 STATIONS = """station_id,nombre,latitud,longitud,municipio,es_transbordo
 S1,Niquía,6.33,-75.54,Bello,false
 S2,Itagüí,6.16,-75.60,Itagüí,true
-S3,Sola,6.16,-75.60,Medellín,false
+S3,Sola,6.16,-75.60,Envigado,false
 """
 
 

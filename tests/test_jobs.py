@@ -8,7 +8,7 @@ from tidelake import schemas
 STOPS = "stop_id,station_id,linea,orden,tipo_servicio\nA1,S1,A,1,metro\nA2,S2,A,2,metro\nK1,S2,K,1,cable\n"
 STATIONS = (
     "station_id,nombre,latitud,longitud,municipio,es_transbordo\n"
-    "S1,Niquía,6.33,-75.54,Bello,false\nS2,Acevedo,6.3,-75.55,Medellín,true\n"
+    "S1,Niquía,6.33,-75.54,Bello,false\nS2,Acevedo,6.3,-75.55,Envigado,true\n"
 )
 
 

@@ -49,7 +49,7 @@ def test_derived_columns(bad, dim):
     rows = {r.trip_id: r for r in silver.build_silver(bad, dim).collect()}
     good, ride = rows["good"], rows["transfer"]
     assert (good.n_stops, good.trip_direction, good.time_of_day, good.is_peak_hour) == (1, "forward", "mañana", True)
-    assert (good.nombre_origen, good.municipio_destino, good.is_transfer_trip) == ("Niquía", "Medellín", True)
+    assert (good.nombre_origen, good.municipio_destino, good.is_transfer_trip) == ("Niquía", "Envigado", True)
     assert (ride.tipo_servicio, ride.station_id_origen, ride.is_transfer_trip) == ("cable", "S2", True)
     assert rows["block"].time_of_day == "desconocido"
 
