@@ -10,7 +10,7 @@ from tidelake.session import scratch
 from tidelake.streaming import alerts
 from tidelake.streaming.events import timed_events
 from tests.test_streaming import START, message, write_files
-from tidelake.sources import streams
+from tidelake.sources import tables
 
 
 def brute_force(events, terminals, threshold=300):
@@ -70,20 +70,6 @@ def test_edges_match_brute_force(spark, catalog, tmp_path, seed, slice_by):
     assert got == brute_force(events, TERMINALS) and len(got) > 10
 
 
-@pytest.mark.parametrize("cuts", [[2, 4, 7]])
-def test_stream_edges(spark, catalog, tmp_path, cuts):
-    bounds = [0, *cuts, len(RUN)]
-    write_files(tmp_path / "in", *[RUN[a:b] for a, b in zip(bounds, bounds[1:])])
-    raw = streams.file_stream(spark, str(tmp_path / "in"), "json", files_per_trigger=1)
-    fired = alerts.delay_edge_alerts_stream(timed_events(raw), catalog[0])
-    root = scratch(spark, "edges")
-    fired.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{root}/cp").trigger(
-        availableNow=True
-    ).start(f"{root}/out").awaitTermination()
-    rows = spark.read.parquet(f"{root}/out").collect()
-    assert sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in rows) == brute_force(RUN, TERMINALS)
-
-
 @pytest.mark.parametrize("cuts", [[2, 4, 7]])
 def test_carried_edges(spark, catalog, tmp_path, cuts):
     bounds = [0, *cuts, len(RUN)]
@@ -96,18 +82,48 @@ def test_carried_edges_match_brute_force(spark, catalog, tmp_path):
 
 
 def carried(spark, catalog, tmp_path, batches, events):
-    state, fired = alerts.edge_alert_tables(spark, scratch(spark, "carried"))
-    sink = alerts.edge_alert_writer(state, fired, "q", slice_by="MINUTE")
+    root = scratch(spark, "carried")
+    sink = alerts.edge_alert_writer(f"{root}/state", f"{root}/alerts", slice_by="MINUTE", key=lambda batch, n: f"q-{n}")
     for n, batch in enumerate(batches):
         write_files(tmp_path / f"in{n}", batch)
         rows = timed_events(spark.read.schema(schemas.RAW_STREAM).json(str(tmp_path / f"in{n}")))
         moves = alerts.mark_terminals(rows, catalog[0])
         sink(moves, n)
         sink(moves, n)  # a replay
-    got = sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in fired.read().collect())
+        if n == 1:
+            alerts.compact_runs(spark, f"{root}/state")
+    fired = tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS))
+    got = sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in fired.collect())
     assert got == brute_force(events, TERMINALS)
 
 
+def test_movements_without_vehicle_are_no_vehicle(spark, catalog, tmp_path):
+    events = [message(0, "departure", delay=200, vehicle=""), message(60, "departure", delay=200, vehicle=""), message(70, "departure", delay=301, vehicle="V9")]
+    nameless = dict(message(80, "departure", delay=900))
+    del nameless["vehicle_id"]
+    write_files(tmp_path / "in", [*events, nameless])
+    rows = timed_events(spark.read.schema(schemas.RAW_STREAM).json(str(tmp_path / "in")))
+    assert [r.vehicle_id for r in alerts.delay_edge_alerts(rows, catalog[0]).collect()] == ["V9"]
+    assert alerts.without_vehicle(rows).first().without_vehicle == 3
+
+
+def test_a_terminal_of_two_lines_counts_once(spark, catalog, tmp_path, monkeypatch):
+    twice = catalog[0].unionByName(catalog[0].filter("stop_id = 'A1'").selectExpr("stop_id", "station_id", "'B' AS linea", "1 AS orden", "tipo_servicio"))
+    write_files(tmp_path / "in", [message(0, "departure", "A1", delay=200)])
+    rows = timed_events(spark.read.schema(schemas.RAW_STREAM).json(str(tmp_path / "in")))
+    assert alerts.delay_edge_alerts(rows, twice).count() == 0
+    monkeypatch.setattr(alerts, "broadcast_if_small", lambda df: df)
+    marked = alerts.mark_terminals(rows, twice)
+    assert marked.count() == 1 and set(marked.columns) == {*rows.columns, "at_terminal"}
+
+
+def test_one_vehicle_with_most_events(spark, catalog, tmp_path):
+    rng = random.Random(8)
+    events = [message(rng.randrange(200_000), "departure", rng.choice(["A2", "X"]), delay=rng.randrange(-50, 60),
+                      vehicle="V1" if i % 10 else f"V{i}", event_id=f"e{i:05}") for i in range(1500)]
+    assert batch_alerts(spark, tmp_path, catalog, events, slice_by="HOUR") == brute_force(events, TERMINALS)
+
+
 def test_running_sum_over_a_dominant_key(spark):
     df = spark.range(2000).select(
         F.when(F.col("id") % 4 < 3, "hot").otherwise("cold").alias("k"), "id", (F.col("id") % 7).alias("x"),

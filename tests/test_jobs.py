@@ -12,6 +12,10 @@ STATIONS = (
 )
 
 
+def cli_out(job, *argv):
+    return job(*argv)
+
+
 def trips(n, seed, name):
     rng = random.Random(seed)
     lines = [",".join(schemas.TRIPS_CSV.names)]
@@ -36,17 +40,22 @@ def test_all_jobs(spark, tmp_path, capsys):
         cli.main(["--root", root, "--catalog", str(catalog), "--as-of", "2026-05-18 14:03:00", *argv])
         return capsys.readouterr().out
 
-    assert "snapshot 1" in job("ingest", str(tmp_path / "batch_1.csv"))
-    assert "snapshot 2" in job("ingest", str(tmp_path / "batch_2.csv"))
-    assert "already loaded" in job("ingest", str(tmp_path / "batch_1.csv"))
-    assert job("history").count("append") == 2
-    assert "'version': 1" in job("silver")
+    assert "MISSING" in job("health") and not (tmp_path / "lake" / "ops").exists()
+    assert "loaded batch_1.csv" in job("ingest", str(tmp_path / "batch_1.csv"), "--landing", str(tmp_path))
+    assert "loaded batch_2.csv" in job("ingest", str(tmp_path / "batch_2.csv"), "--landing", str(tmp_path))
+    assert "already loaded" in job("ingest", str(tmp_path / "batch_1.csv"), "--landing", str(tmp_path))
+    assert "2 of 2 rows" in job("history")
+    assert "'_read': 120" in job("silver")
     out = job("gold")
     assert "'estaciones_volumen': 2" in out and "Niquía" in out
     assert "stops:count" in job("validate")
+    reports = str(tmp_path / "reports")
+    assert "1 of 2 rows" in cli_out(job, "--rows", "1", "--out", reports, "history")
+    assert spark.read.json(f"{reports}/loads").count() == 2
     job("stream", "--format", "json", "--source", str(tmp_path / "in"), "--once")
     out = job("compare")
     assert "Acevedo" in out and "Niquía" in out
     out = job("serve", "--station", "S1")
     assert "400" in out and "most alerts" in out
     assert "OK_EXISTS" in job("health")
+    assert "station_alerts" in job("clean")

@@ -1,11 +1,15 @@
-"""Every registered query against its SQL twin on the smallest tables."""
+"""Every registered query of the core library against its SQL twin on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_check import compare, connect
+from workload import batch_queries, stream_queries
 
 SF = "/root/testdata/sf0.001"
+OWN = {**batch_queries.QUERIES, **stream_queries.QUERIES}
+#: Queries that rightly find nothing on tables this small.
+EMPTY_HERE = {"point_lookup", "critical_lines", "alert_history_station"}
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +18,15 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.queries())
+    assert set(OWN) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(OWN))
 def test_query(spark, duck, name):
-    problems = compare(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name])
-    assert problems in ([], ["EMPTY"])
+    problems = compare(OWN[name](spark, SF), duck, entry.oracle_sql()[name])
+    assert problems == (["EMPTY"] if name in EMPTY_HERE else [])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidelake import schemas
 from tidelake.sources import streams
-from tidelake.sources.snapshot_table import SnapshotTable
 from tidelake.streaming import jobs, sinks, windows
 from tidelake.streaming.events import enrich_events, timed_events
 
@@ -36,7 +35,7 @@ def run(spark, catalog, folder, root, only=None, **settings):
     queries = jobs.start_all(raw, *catalog, str(root), options, only=only)
     for q in queries:
         q.awaitTermination()
-    return queries, {n: t.read() for n, t in jobs.operational_tables(spark, str(root)).items()}
+    return queries, jobs.operational_tables(spark, str(root))
 
 
 BATCHES = [
@@ -67,9 +66,6 @@ def test_windows_close_and_upsert(spark, catalog, tmp_path):
     alerts = {r.station_id: r for r in tables["station_alerts"].collect()}
     assert (alerts["S1"].delay_alerts, alerts["S1"].capacity_alerts, alerts["S1"].total_alerts) == (1, 0, 1)
     assert (alerts["S2"].line, alerts["S2"].total_alerts) == ("K", 1)
-    # The file of minute 0 that came ten minutes late was dropped, and counted.
-    by_name = {q.name: q for q in queries}
-    assert jobs.late_rows(by_name["station_occupancy"]) == 1
     log = spark.read.text(str(tmp_path / "out" / "log" / "station_alerts"))
     lines = [json.loads(r.value) for r in log.collect()]
     assert {"2026-05-18T14:01:00Z"} == {x["window_start"] for x in lines} and len(lines) == 2
@@ -80,12 +76,12 @@ def test_late_within_watermark_counts(spark, catalog, tmp_path):
     root = tmp_path / "history"
     raw = streams.file_stream(spark, str(tmp_path / "in"), "json", files_per_trigger=1)
     rows = windows.station_occupancy(enrich_events(timed_events(raw, "120 seconds"), *catalog))
-    table = SnapshotTable(spark, str(root / "t")).create(schemas.STATION_OCCUPANCY)
     settings = jobs.StreamSettings(trigger={"availableNow": True})
-    jobs.start_window_query(rows, "history", sinks.append_history(table, "history"), str(root), settings).awaitTermination()
-    first = table.read().filter((F.col("station_id") == "S1") & (F.col("window_start") == F.lit(START))).first()
+    jobs.start_window_query(rows, "history", sinks.window_writer(str(root / "t")), str(root), settings).awaitTermination()
+    stored = sinks.history(spark, str(root / "t"), schemas.STATION_OCCUPANCY)
+    first = stored.filter((F.col("station_id") == "S1") & (F.col("window_start") == F.lit(START))).first()
     assert (first.event_count, first.max_vehicle_occupancy, first.avg_vehicle_occupancy) == (3, 20, 13.67)
-    assert table.read().groupBy("station_id", "window_start").count().filter("count > 1").isEmpty()
+    assert stored.groupBy("station_id", "window_start").count().filter("count > 1").isEmpty()
 
 
 def test_quiet_station_closes_with_the_stream(spark, catalog, tmp_path):
@@ -131,45 +127,114 @@ def test_stream_equals_batch(spark, catalog, tmp_path):
         assert want.exceptAll(got).isEmpty() and got.exceptAll(want).isEmpty(), name
 
 
+def named(run):
+    return lambda batch, n: f"{run}-{n}"
+
+
+def alert(station, end):
+    return (station, "n", "A", end - dt.timedelta(minutes=1), end, 1, 0, 1)
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t")).create(schemas.STATION_ALERTS)
-    row = ("S1", "n", "A", START, START + dt.timedelta(minutes=1), 1, 0, 1)
-    batch = spark.createDataFrame([row], schemas.STATION_ALERTS)
-    sink = sinks.append_history(table, "q")
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([alert("S1", START)], schemas.STATION_ALERTS)
+    sink = sinks.window_writer(path, named("q"))
     sink(batch, 0)
     sink(batch, 0)
     sink(batch.limit(0), 1)
-    assert table.read().count() == 1 and table.snapshots().count() == 1
+    assert sinks.history(spark, path, schemas.STATION_ALERTS).count() == 1
+
 
+def test_new_checkpoint_loses_nothing(spark, catalog, tmp_path):
+    """Batch numbers begin again with a new checkpoint over kept tables; no batch may be taken for an old one."""
+    write_files(tmp_path / "in1", [message(5, "delay_alert")], [message(600)])
+    write_files(tmp_path / "in2", [message(5, "delay_alert", stop="K1", line="K")], [message(600)])
+    for n in (1, 2):
+        raw = streams.file_stream(spark, str(tmp_path / f"in{n}"), "json", files_per_trigger=1)
+        rows = windows.station_alerts(enrich_events(timed_events(raw, "120 seconds"), *catalog))
+        root = str(tmp_path / f"checkpoints{n}")
+        settings = jobs.StreamSettings(trigger={"availableNow": True}, log=True)
+        writer = sinks.with_log(sinks.window_writer(str(tmp_path / "kept")), str(tmp_path / "lines"))
+        jobs.start_window_query(rows, "again", writer, root, jobs.StreamSettings(trigger=settings.trigger)).awaitTermination()
+    kept = sinks.history(spark, str(tmp_path / "kept"), schemas.STATION_ALERTS)
+    assert {r.station_id for r in kept.collect()} == {"S1", "S2"}
+    assert spark.read.text(str(tmp_path / "lines")).count() == 2
 
-def test_upsert_never_goes_back(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t")).create(schemas.LINE_DELAYS)
+
+def test_latest_never_goes_back(spark, tmp_path):
+    path = str(tmp_path / "t")
 
     def batch(minute, seen):
         end = START + dt.timedelta(minutes=minute)
-        return spark.createDataFrame([("A", "metro", START, end, 1.0, 1, seen, 0, False, end)], schemas.LINE_DELAYS)
+        return spark.createDataFrame([("A", "metro", START, end, 1.0, 1, seen, 0, False, end + dt.timedelta(seconds=seen))], schemas.LINE_DELAYS)
 
-    sink = sinks.upsert_latest(table, "line", "q", keep=2)
+    sink = sinks.window_writer(path, named("q"))
     for n, (minute, seen) in enumerate([(5, 1), (3, 2), (5, 3), (6, 4), (6, 5)]):
         sink(batch(minute, seen), n)
-    row = table.read().collect()
+    row = sinks.latest(sinks.history(spark, path, schemas.LINE_DELAYS), "line").collect()
     assert len(row) == 1 and row[0].vehicles_seen == 5
-    sink(batch(9, 9), 4)  # batch 4 again
-    assert table.read().first().vehicles_seen == 5
-    assert table.snapshots().count() <= 3
 
 
-def test_retention_rewrite(spark, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t")).create(schemas.STATION_ALERTS)
+def test_retention_on_read_and_for_good(spark, tmp_path):
+    path = str(tmp_path / "station_alerts")
     ends = [START + dt.timedelta(minutes=m) for m in (0, 30, 59)]
     for n, end in enumerate(ends):
-        row = ("S1", "n", "A", end, end, 1, 0, 1)
-        sinks.append_history(table, "q")(spark.createDataFrame([row], schemas.STATION_ALERTS), n)
+        sinks.window_writer(path, named("q"))(spark.createDataFrame([alert("S1", end)], schemas.STATION_ALERTS), n)
     as_of = str(START + dt.timedelta(minutes=60))
-    sinks.apply_retention(table, "window_end", 3600, as_of)
-    assert sorted(r.window_end for r in table.read().collect()) == ends[1:]
-    sinks.append_history(table, "q")(table.read(), 2)  # the last batch, replayed after the rewrite
-    assert table.read().count() == 2
+    assert jobs.operational_table(spark, str(tmp_path), "station_alerts", as_of).count() == 2
+    assert jobs.operational_table(spark, str(tmp_path), "station_alerts").count() == 3
+    jobs.purge_all(spark, str(tmp_path), as_of)
+    spark.catalog.refreshByPath(path)
+    left = jobs.operational_table(spark, str(tmp_path), "station_alerts")
+    assert sorted(r.window_end for r in left.collect()) == ends[1:]
+    sinks.window_writer(path, named("q"))(spark.createDataFrame([alert("S1", ends[2])], schemas.STATION_ALERTS), 2)  # replayed
+    assert jobs.operational_table(spark, str(tmp_path), "station_alerts").count() == 2
+    jobs.purge_all(spark, str(tmp_path), str(START + dt.timedelta(days=1)))
+    assert jobs.operational_table(spark, str(tmp_path), "station_alerts").count() == 0
+
+
+def test_reading_creates_nothing(spark, tmp_path):
+    found = jobs.operational_tables(spark, str(tmp_path / "ops"), "2026-05-18 14:00:00")
+    assert {n: df.count() for n, df in found.items()} == dict.fromkeys(found, 0)
+    assert not (tmp_path / "ops").exists()
+
+
+def test_late_rows_of_more_batches_than_progress_keeps(spark, catalog, tmp_path):
+    """Every second file is late; progress records of a query are bounded, the count is not."""
+    path = str(tmp_path / "late")
+    listener = jobs.LateRows(spark, path)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    spark.streams.addListener(listener)
+    try:
+        batches = [[message(100_000 + n)] if n % 2 else [message(n)] for n in range(1, 21)]
+        write_files(tmp_path / "in", *batches)
+        (query,), _ = run(spark, catalog, tmp_path / "in", tmp_path / "out", only=["station_occupancy"])
+        kept = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        deadline = dt.datetime.now() + dt.timedelta(seconds=60)
+        while dt.datetime.now() < deadline and (jobs.late_rows(spark, path).first() or {"dropped": 0})["dropped"] < 9:
+            pass
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert [r.asDict() for r in jobs.late_rows(spark, path).collect()] == [{"query": "station_occupancy", "dropped": 9}]
+    assert kept < 9
+
+
+def test_one_failing_query_fails_the_job(spark, catalog, tmp_path):
+    write_files(tmp_path / "in", [message(0)], [message(900)])
+    raw = streams.file_stream(spark, str(tmp_path / "in"), "json")
+    events = timed_events(raw, "120 seconds")
+
+    def broken(batch, batch_id):
+        raise ValueError("disk on fire")
+
+    settings = jobs.StreamSettings()
+    good = jobs.start_window_query(windows.line_delays(events), "good", sinks.window_writer(str(tmp_path / "a")), str(tmp_path), settings)
+    bad = jobs.start_window_query(windows.line_delays(events), "bad", broken, str(tmp_path), settings)
+    with pytest.raises(Exception, match="disk on fire"):
+        jobs.await_all([good, bad])
+    assert not good.isActive
 
 
 def test_running_type_counts(spark, tmp_path):

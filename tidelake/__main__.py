@@ -1,7 +1,7 @@
 """Jobs for ``spark-submit``:
 
     python -m tidelake --root <lake> --catalog <folder> ingest <batch.csv>
-    python -m tidelake --root <lake> --catalog <folder> silver | gold | history | validate | compare | serve | health
+    python -m tidelake --root <lake> --catalog <folder> silver | gold | history | validate | compare | serve | health | clean
     python -m tidelake --root <lake> --catalog <folder> stream --format kafka --source <servers>
 """
 
@@ -9,51 +9,56 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.operators import checks
 from tidelake.plans import gold, integration, serving
 from tidelake.plans.bronze import batch_summary
-from tidelake.plans.lake import Lake
+from tidelake.plans.lake import GOLD, Lake
 from tidelake.session import build_session
-from tidelake.sources import streams
+from tidelake.sources import streams, tables
 from tidelake.streaming import jobs
 
-REPORT_ROWS = 50
+def show(title: str, df: DataFrame, args: argparse.Namespace) -> None:
+    """Write a report in full below ``--out``, and print its first ``--rows`` rows with the total."""
+    if args.out:
+        df.write.mode("overwrite").json(f"{args.out.rstrip('/')}/{title.replace(' ', '_')}")
+    total = df.count()
+    print(f"\n{title}: {min(total, args.rows)} of {total} rows")
+    df.show(args.rows, truncate=False)
 
 
-def show(title: str, df: DataFrame) -> None:
-    print(f"\n{title}")
-    df.show(REPORT_ROWS, truncate=False)
+def now(args: argparse.Namespace) -> Column:
+    return F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
 
 
 def ingest(lake: Lake, args: argparse.Namespace) -> None:
-    version = lake.ingest(args.csv)
-    print("skipped, already loaded" if version is None else f"snapshot {version}")
-    show("batches", batch_summary(lake.bronze().read(), first_seen="bronze_ingestion_ts"))
+    key = lake.ingest(args.csv, landing=args.landing)
+    print("skipped, already loaded" if key is None else f"loaded {key}")
+    show("batches", batch_summary(lake.bronze(), first_seen="bronze_ingestion_ts"), args)
 
 
 def history(lake: Lake, args: argparse.Namespace) -> None:
-    show("snapshots", lake.bronze().snapshots())
+    """Loads, newest first."""
+    loads = batch_summary(lake.bronze(), first_seen="bronze_ingestion_ts")
+    show("loads", loads.orderBy(F.desc("first_ingested"), "source_file"), args)
 
 
 def refresh_silver(lake: Lake, args: argparse.Namespace) -> None:
     print(lake.refresh_silver())
-    show("batches", batch_summary(lake.silver().read(), distinct="line"))
+    show("batches", batch_summary(lake.silver(), distinct="line"), args)
 
 
 def refresh_gold(lake: Lake, args: argparse.Namespace) -> None:
     print(lake.refresh_gold())
-    volume, delays, shares = (
-        lake.gold(n).read() for n in ("estaciones_volumen", "retraso_por_linea_mes", "demanda_rutas")
-    )
-    show("busiest slots", gold.top_slots(volume))
-    show("busiest stations", gold.station_rollup(volume))
-    show("line A by month", gold.line_evolution(delays, "A"))
-    show("services and rain", gold.season_rollup(delays))
-    show("high demand", gold.top_demand(shares))
-    show("thresholds", gold.threshold_rollup(shares))
+    volume, delays, shares = (lake.gold(n) for n in GOLD)
+    show("busiest slots", gold.top_slots(volume), args)
+    show("busiest stations", gold.station_rollup(volume), args)
+    show("line A by month", gold.line_evolution(delays, "A"), args)
+    show("services and rain", gold.season_rollup(delays), args)
+    show("high demand", gold.top_demand(shares), args)
+    show("thresholds", gold.threshold_rollup(shares), args)
 
 
 def validate(lake: Lake, args: argparse.Namespace) -> None:
@@ -81,54 +86,64 @@ def validate(lake: Lake, args: argparse.Namespace) -> None:
             lines,
         ]
     )
-    show("catalog", results)
-    show("totals", checks.report_totals(results))
+    show("catalog", results, args)
+    show("totals", checks.report_totals(results), args)
 
 
 def stream(lake: Lake, args: argparse.Namespace) -> None:
     if args.format == "kafka":
-        raw = streams.kafka_stream(lake.spark, args.source, args.topic, args.group)
+        raw = streams.kafka_stream(lake.spark, args.source, args.topic, args.group, max_per_trigger=args.max_per_trigger)
     else:
-        raw = streams.file_stream(lake.spark, args.source, args.format)
+        raw = streams.file_stream(lake.spark, args.source, args.format, files_per_trigger=args.max_per_trigger)
     settings = jobs.StreamSettings(
         window=args.window, delay=args.delay, trigger={"availableNow": True} if args.once else None, log=True
     )
-    queries = jobs.start_all(raw, lake.stops(), lake.stations(), f"{lake.root}/ops", settings)
-    for query in queries:
-        query.awaitTermination()
+    late = jobs.LateRows(lake.spark, f"{lake.ops}/late_rows")
+    lake.spark.streams.addListener(late)
+    try:
+        jobs.await_all(jobs.start_all(raw, lake.stops(), lake.stations(), lake.ops, settings))
+    finally:
+        lake.spark.streams.removeListener(late)
+
+
+def clean(lake: Lake, args: argparse.Namespace) -> None:
+    """Remove expired rows of the operational tables for good; schedule it between micro-batches."""
+    jobs.purge_all(lake.spark, lake.ops, now(args))
+    show("rows", checks.row_counts(lake.operational()), args)
 
 
 def compare(lake: Lake, args: argparse.Namespace) -> None:
-    now = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
-    current = integration.current_readings(lake.operational()["station_occupancy"].read(), now)
-    past = integration.history_slot(lake.gold("estaciones_volumen").read(), now, zone=args.zone)
+    current = integration.current_readings(lake.operational(now(args))["station_occupancy"], now(args))
+    past = integration.history_slot(lake.gold("estaciones_volumen"), now(args), zone=args.zone)
     ranking = integration.zscore_ranking(current, past)
-    show("network", integration.zscore_context(current, past))
-    show("moved most", integration.rank_delta(ranking))
-    show("totals", integration.delta_counts(ranking))
+    show("network", integration.zscore_context(current, past), args)
+    show("moved most", integration.rank_delta(ranking), args)
+    show("totals", integration.delta_counts(ranking), args)
 
 
 def serve(lake: Lake, args: argparse.Namespace) -> None:
-    now = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
-    tables = {name: table.read() for name, table in lake.operational().items()}
-    rollup = serving.alert_rollup(tables["station_alerts"], now)
-    show("one station", serving.occupancy_of(tables["station_occupancy"], args.station))
-    show("fullest stations", serving.top_occupancy(tables["station_occupancy"]))
-    show("critical lines", serving.critical_lines(tables["line_delays"]))
-    show("alerts of one station", serving.alert_rollup(tables["station_alerts"], now, args.station))
-    show("most alerts", serving.top_alerts(rollup))
-    show("rows", checks.row_counts(tables))
+    found = lake.operational(now(args))
+    rollup = serving.alert_rollup(found["station_alerts"], now(args))
+    show("one station", serving.occupancy_of(found["station_occupancy"], args.station), args)
+    show("fullest stations", serving.top_occupancy(found["station_occupancy"]), args)
+    show("critical lines", serving.critical_lines(found["line_delays"]), args)
+    show("alerts of one station", serving.alert_rollup(found["station_alerts"], now(args), args.station), args)
+    show("most alerts", serving.top_alerts(rollup), args)
+    show("rows", checks.row_counts(found), args)
+    show("late rows", jobs.late_rows(lake.spark, f"{lake.ops}/late_rows"), args)
 
 
 def health(lake: Lake, args: argparse.Namespace) -> None:
-    now = F.lit(args.as_of).cast("timestamp") if args.as_of else F.current_timestamp()
-    tables = {name: table.read() for name, table in lake.operational().items()}
-    fresh = [
-        checks.check_fresh(tables[name], "last_updated", 300, now, name) for name in ("station_occupancy", "line_delays")
-    ]
-    show("freshness", checks.report([*fresh, checks.check_exists(tables["station_alerts"], "window_end", "station_alerts").drop("n")]))
-    names = ("estaciones_volumen", "retraso_por_linea_mes", "demanda_rutas")
-    show("aggregates", checks.check_nonempty({n: lake.gold(n).read() for n in names if lake.gold(n).exists()}))
+    """State of every table; one that was never written is MISSING, and stays so."""
+    spark, found = lake.spark, lake.operational(now(args))
+    there = {name: found[name] if tables.exists(spark, f"{lake.ops}/{name}") else None for name in found}
+    fresh = [checks.check_fresh(there[name], "last_updated", 300, now(args), name, spark) for name in ("station_occupancy", "line_delays")]
+    alerts = checks.check_exists(there["station_alerts"], "window_end", "station_alerts", spark).drop("n")
+    show("freshness", checks.report([*fresh, alerts]), args)
+    built = {n: lake.gold(n) for n in GOLD}
+    results = [checks.check_nonempty({n: df for n, df in built.items() if df is not None})] if any(df is not None for df in built.values()) else []
+    absent = [(f"nonempty:{n}", "MISSING", None, ">0") for n, df in built.items() if df is None]
+    show("aggregates", checks.report([*results, spark.createDataFrame(absent, checks.CHECK_COLUMNS)]), args)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -136,9 +151,13 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--root", required=True, help="shared folder of the lake")
     top.add_argument("--catalog", required=True, help="folder with the stop and station files")
     top.add_argument("--as-of", help="instant to use as now, UTC")
+    top.add_argument("--out", help="folder to which every report is written in full")
+    top.add_argument("--rows", type=int, default=50, help="rows of a report that are printed, with the total")
     commands = top.add_subparsers(dest="command", required=True)
-    commands.add_parser("ingest").add_argument("csv")
-    for name in ("history", "silver", "gold", "validate", "health"):
+    load = commands.add_parser("ingest")
+    load.add_argument("csv")
+    load.add_argument("--landing", help="folder below which a file's path is its batch key")
+    for name in ("history", "silver", "gold", "validate", "health", "clean"):
         commands.add_parser(name)
     commands.add_parser("serve").add_argument("--station", default="EST-015")
     commands.add_parser("compare").add_argument("--zone", help="local time zone of the service blocks")
@@ -149,13 +168,14 @@ def parser() -> argparse.ArgumentParser:
     live.add_argument("--group")
     live.add_argument("--window", default="1 minute")
     live.add_argument("--delay", default="120 seconds")
+    live.add_argument("--max-per-trigger", type=int, help="messages (kafka) or files of a micro-batch at most")
     live.add_argument("--once", action="store_true", help="stop when the source is read to its end")
     return top
 
 
 JOBS = {
     "ingest": ingest, "history": history, "silver": refresh_silver, "gold": refresh_gold, "validate": validate,
-    "stream": stream, "compare": compare, "serve": serve, "health": health,
+    "stream": stream, "compare": compare, "serve": serve, "health": health, "clean": clean,
 }
 
 

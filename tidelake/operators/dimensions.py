@@ -1,7 +1,7 @@
 """The stop catalog and its joins.
 
-The catalog may be 57 rows or billions. It is broadcast after its rows were counted
-and found few; otherwise the joins sort and merge, and adaptive execution splits a
+The catalog may be 57 rows or billions. It is broadcast after it was measured and
+found small; otherwise the joins sort and merge, and adaptive execution splits a
 dominant stop.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.sizing import broadcast_if_small, is_small
+from tidelake.operators.sizing import is_small
 from tidelake.schemas import ROLE_ATTRIBUTES
 
 
@@ -36,13 +36,18 @@ def enrich_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
 
     The service type comes from the origin stop only: both ends lie on one line.
     """
-    small = is_small(dim)
-    return join_role(join_role(trips, dim, "origen", "tipo_servicio", small=small), dim, "destino", small=small)
+    used = dim.select("stop_id", *ROLE_ATTRIBUTES, "tipo_servicio")
+    small = is_small(used)
+    return join_role(join_role(trips, used, "origen", "tipo_servicio", small=small), used, "destino", small=small)
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Rows of ``child`` whose key is missing in ``parent`` (a NULL key is missing too)."""
-    return child.join(broadcast_if_small(parent.select(key)), key, "left_anti")
+    """Rows of ``child`` whose key is missing in ``parent`` (a NULL key is missing too).
+
+    Either side may be facts, so neither is measured: distinct parent keys are combined inside their tasks, and the
+    join is left to adaptive execution, which broadcasts what turns out small.
+    """
+    return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def transfer_stations(stations: DataFrame) -> DataFrame:
@@ -58,12 +63,15 @@ def lines_per_station(stops: DataFrame, stations: DataFrame | None = None) -> Da
 
 
 def terminal_stops(stops: DataFrame) -> DataFrame:
-    """Stops that are first or last on their line."""
+    """Stops that are first or last on their line.
+
+    A line's limits are one row; adaptive execution broadcasts them or splits a dominant line.
+    """
     ends = stops.groupBy(F.col("linea").alias("_line")).agg(
         F.min("orden").alias("_first"), F.max("orden").alias("_last")
     )
     return (
-        stops.join(broadcast_if_small(ends), F.col("linea") == F.col("_line"))
+        stops.join(ends, F.col("linea") == F.col("_line"))
         .filter((F.col("orden") == F.col("_first")) | (F.col("orden") == F.col("_last")))
         .select("stop_id", "linea", "orden")
     )

@@ -1,8 +1,7 @@
 """Deciding on a broadcast by looking at the data, not at the planner's guess.
 
-The planner multiplies the file sizes of joined inputs, so it takes even a
-57-row catalog joined from two files for a large table and would shuffle the
-facts to meet it. Adaptive execution notices only after that shuffle.
+The planner multiplies the file sizes of joined inputs, so it takes even a 57-row catalog joined from two files for a large
+table and would shuffle the facts to meet it. Adaptive execution notices only after that shuffle.
 """
 
 from __future__ import annotations
@@ -10,16 +9,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Catalog rows are a few short strings and numbers: this many stay well below 100 MB.
-MAX_BROADCAST_ROWS = 400_000
+#: Bytes that every executor and the driver can hold of one catalog.
+MAX_BROADCAST_BYTES = 64 << 20
+#: What a row and a field cost in memory beside their text.
+ROW_BYTES, FIELD_BYTES = 24, 16
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Has the table at most ``max_rows`` rows? Each task stops counting once it has seen more."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def held_bytes(df: DataFrame) -> int:
+    """About the memory that the rows take: fixed parts, and the length of every text.
 
+    One aggregate with a partial sum in each task, so each task sends one row. Meant for catalogs: it reads ``df``
+    once, which for a table of facts would be a pass of its own.
+    """
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() == "string"]
+    row = F.lit(ROW_BYTES + FIELD_BYTES * len(df.columns))
+    width = sum(text, row) if text else row
+    return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("n")).first()["n"]
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast if it is counted small; otherwise leave the join to sort-merge,
-    where adaptive execution splits dominant keys."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+
+def is_small(df: DataFrame, most: int = MAX_BROADCAST_BYTES) -> bool:
+    """Does exactly this table fit the bound?"""
+    return held_bytes(df) <= most
+
+
+def broadcast_if_small(df: DataFrame, most: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark a catalog for broadcast if it is measured small; otherwise it comes back as it is, and the join sorts and
+    merges, where adaptive execution splits dominant keys."""
+    return F.broadcast(df) if is_small(df, most) else df

@@ -1,4 +1,4 @@
-"""Raw layer: batch files appended to the versioned trips table."""
+"""Raw layer: batch files added to the trips table."""
 
 from __future__ import annotations
 
@@ -7,31 +7,40 @@ import posixpath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake import schemas
 from tidelake.functions.trips import audit_ts
+from tidelake.sources import tables
 from tidelake.sources.files import read_trips
-from tidelake.sources.snapshot_table import SnapshotTable
-
-
-def bronze_table(spark: SparkSession, path: str) -> SnapshotTable:
-    return SnapshotTable(spark, path).create(schemas.BRONZE_TRIPS, ["line"], {"min_snapshots": "10"})
 
 
 def to_bronze(raw: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     return raw.withColumn("bronze_ingestion_ts", audit_ts(as_of))
 
 
-def ingest_trips(table: SnapshotTable, csv_path: str, as_of: Column | str | None = None) -> int | None:
-    """Append one batch file as one snapshot.
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """All trips loaded so far; columns that a batch added are NULL in the others."""
+    return tables.read(spark, path, merge=True).drop(tables.BATCH)
+
+
+def batch_key(csv_path: str, landing: str | None = None) -> str:
+    """The file's path below the landing folder, or its whole path: equal names in other folders are other batches."""
+    path = csv_path.rstrip("/")
+    return posixpath.relpath(path, landing.rstrip("/")) if landing else path
+
+
+def ingest_trips(
+    spark: SparkSession, path: str, csv_path: str, as_of: Column | str | None = None, landing: str | None = None
+) -> str | None:
+    """Add one batch file as one partition; returns its key.
 
-    The file name is the batch key: loading a file again changes nothing and
-    returns None. Rows are taken as they come, also those without a trip id;
-    ``missing_trip_ids`` counts them.
+    A batch that is there already is not read again, and None is returned. A load that died is repeated
+    over its own partition. Rows are taken as they come, also those without a trip id; ``missing_trip_ids``
+    counts them.
     """
-    key = posixpath.basename(csv_path.rstrip("/"))
-    if table.has_batch(key):
+    key = batch_key(csv_path, landing)
+    if tables.has_batch(spark, path, key):
         return None
-    return table.append(to_bronze(read_trips(table.spark, csv_path), as_of), batch_key=key)
+    tables.put_batch(to_bronze(read_trips(spark, csv_path), as_of), path, key)
+    return key
 
 
 def missing_trip_ids(trips: DataFrame) -> DataFrame:

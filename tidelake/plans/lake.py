@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidelake.operators.dimensions import build_stop_dim
 from tidelake.plans import bronze, gold, silver
+from tidelake.sources import tables
 from tidelake.sources.files import read_stations, read_stops
-from tidelake.sources.snapshot_table import SnapshotTable
 from tidelake.streaming.jobs import operational_tables
 
+GOLD = ("estaciones_volumen", "retraso_por_linea_mes", "demanda_rutas")
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -30,30 +32,35 @@ class Lake:
     def dim(self) -> DataFrame:
         return build_stop_dim(self.stops(), self.stations())
 
-    def bronze(self) -> SnapshotTable:
-        return bronze.bronze_table(self.spark, f"{self.root}/bronze/trips")
+    def path(self, layer: str, name: str = "trips") -> str:
+        return f"{self.root}/{layer}/{name}"
+
+    def bronze(self) -> DataFrame:
+        return bronze.read_bronze(self.spark, self.path("bronze"))
+
+    def silver(self) -> DataFrame:
+        return tables.read(self.spark, self.path("silver"))
 
-    def silver(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/silver/trips")
+    def gold(self, name: str) -> DataFrame | None:
+        """An aggregate table, or None if it was never built."""
+        path = self.path("gold", name)
+        return tables.read(self.spark, path) if tables.exists(self.spark, path) else None
 
-    def gold(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/gold/{name}")
+    @property
+    def ops(self) -> str:
+        return f"{self.root}/ops"
 
-    def operational(self) -> dict[str, SnapshotTable]:
-        return operational_tables(self.spark, f"{self.root}/ops")
+    def operational(self, as_of: Column | str | None = None) -> dict[str, DataFrame]:
+        return operational_tables(self.spark, self.ops, as_of)
 
-    def ingest(self, csv_path: str, as_of: Column | str | None = None) -> int | None:
-        return bronze.ingest_trips(self.bronze(), csv_path, as_of)
+    def ingest(self, csv_path: str, as_of: Column | str | None = None, landing: str | None = None) -> str | None:
+        return bronze.ingest_trips(self.spark, self.path("bronze"), csv_path, as_of, landing)
 
     def refresh_silver(self, as_of: Column | str | None = None) -> dict:
-        return silver.refresh_silver(self.silver(), self.bronze().read(), self.dim(), as_of)
+        return silver.refresh_silver(self.path("silver"), self.bronze(), self.dim(), as_of)
 
     def refresh_gold(self, as_of: Column | str | None = None) -> dict[str, int]:
         """The three aggregate tables and their row counts."""
-        clean = self.silver().read()
-        built = {
-            "estaciones_volumen": gold.station_volume(clean, as_of),
-            "retraso_por_linea_mes": gold.line_month_delay(clean, as_of),
-            "demanda_rutas": gold.high_demand_share(clean, as_of=as_of),
-        }
-        return {name: gold.write_gold(self.gold(name), df) for name, df in built.items()}
+        clean = self.silver()
+        built = (gold.station_volume(clean, as_of), gold.line_month_delay(clean, as_of), gold.high_demand_share(clean, as_of=as_of))
+        return {name: gold.write_gold(self.path("gold", name), df) for name, df in zip(GOLD, built, strict=True)}

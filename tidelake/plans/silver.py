@@ -13,7 +13,7 @@ from tidelake.functions import calendar, trips
 from tidelake.operators.dimensions import enrich_trips
 from tidelake.operators.sizing import broadcast_if_small
 from tidelake.operators.rules import Rule, accounting, keep_clean, observe_discards
-from tidelake.sources.snapshot_table import SnapshotTable
+from tidelake.sources import tables
 
 # Accepted ranges.
 PASSENGERS = (1, 400)
@@ -92,11 +92,9 @@ def discard_accounting(bronze: DataFrame, dim: DataFrame) -> DataFrame:
     return accounting(joined, [*trip_rules(), *catalog_rules()])
 
 
-def refresh_silver(table: SnapshotTable, bronze: DataFrame, dim: DataFrame, as_of: Column | str | None = None) -> dict:
-    """Full refresh of the clean table; returns rows written and discards seen on the way."""
+def refresh_silver(path: str, bronze: DataFrame, dim: DataFrame, as_of: Column | str | None = None) -> dict:
+    """Full refresh of the clean table; returns the discards seen on the way."""
     before, after = Observation(), Observation()
-    silver = build_silver(bronze, dim, as_of, (before, after))
-    table.create(silver.schema, ["line"], {"min_snapshots": "5"})
-    version = table.overwrite(silver, new_schema=True)
+    tables.replace(build_silver(bronze, dim, as_of, (before, after)), path)
     unmatched = {k: v for k, v in after.get.items() if k in ("orphan_origin", "orphan_dest")}
-    return {"version": version, **before.get, **unmatched}
+    return {**before.get, **unmatched}

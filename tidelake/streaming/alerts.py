@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidelake.functions.events import FULL_SHARE, HIGH_DELAY_SECONDS, capacity_of, service_type
 from tidelake.operators.dimensions import terminal_stops
 from tidelake.operators.runs import running_sum_with_resets
 from tidelake.operators.sizing import broadcast_if_small
 from tidelake.schemas import struct
-from tidelake.sources.snapshot_table import SnapshotTable
-from tidelake.streaming.sinks import BatchWriter
+from tidelake.sources import tables
+from tidelake.streaming.sinks import BatchWriter, batch_key
 
 ALERT_COLUMNS = ["vehicle_id", "line", "stop_id", "event_id", "event_time", "accumulated_delay"]
 ALERT_SCHEMA = (
@@ -24,24 +21,50 @@ ALERT_SCHEMA = (
 )
 
 
-def mark_terminals(events: DataFrame, stops: DataFrame) -> DataFrame:
-    """Arrivals and departures, with ``at_terminal`` for arrivals at the first or last stop of a line."""
-    ends = broadcast_if_small(terminal_stops(stops).select(F.col("stop_id").alias("_terminal")))
+#: Copies of the terminal list over which a stop's movements are spread where the list is too large to broadcast.
+SALTS = 16
+
+
+def mark_terminals(events: DataFrame, stops: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Arrivals and departures of known vehicles, with ``at_terminal`` for arrivals at the first or last stop of a line.
+
+    Events without a vehicle id belong to no vehicle's sum and are left out; ``without_vehicle`` counts them. A stop that ends
+    several lines is one terminal.
+    """
+    ends = terminal_stops(stops).select(F.col("stop_id").alias("_terminal")).distinct()
+    moves = events.filter(F.col("event_type").isin("arrival", "departure") & _has_vehicle())
+    small = broadcast_if_small(ends)
+    match = F.col("stop_id") == F.col("_terminal")
+    if small is ends and salts > 1:
+        moves = moves.withColumn("_salt", F.pmod(F.xxhash64("event_id", "vehicle_id", "event_time"), F.lit(salts)))
+        small = ends.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+        match = match & (F.col("_salt") == F.col("_copy"))
+    marked = moves.join(small, match, "left")
+    arrived = (F.col("event_type") == "arrival") & F.col("_terminal").isNotNull()
+    return marked.withColumn("at_terminal", arrived).drop("_terminal", "_salt", "_copy")
+
+
+def _has_vehicle() -> Column:
+    return F.coalesce(F.col("vehicle_id") != "", F.lit(False))
+
+
+def without_vehicle(events: DataFrame) -> DataFrame:
+    """How many movements name no vehicle."""
     moves = events.filter(F.col("event_type").isin("arrival", "departure"))
-    return (
-        moves.join(ends, F.col("stop_id") == F.col("_terminal"), "left")
-        .withColumn("at_terminal", (F.col("event_type") == "arrival") & F.col("_terminal").isNotNull())
-        .drop("_terminal")
-    )
+    return moves.agg(F.count_if(~_has_vehicle()).alias("without_vehicle"))
 
 
 def _segment_delay() -> Column:
     return F.when(F.col("event_type") == "departure", F.col("delay_seconds")).otherwise(0).cast("long")
 
 
+#: What the sums and the alerts need of a movement; nothing else is shuffled.
+MOVE_COLUMNS = ["vehicle_id", "event_time", "event_id", "event_type", "line", "stop_id", "delay_seconds", "at_terminal"]
+
+
 def _sum_runs(moves: DataFrame, slice_by: str) -> DataFrame:
     return running_sum_with_resets(
-        moves,
+        moves.select(*MOVE_COLUMNS),
         "vehicle_id",
         ["event_time", "event_id"],
         _segment_delay(),
@@ -74,7 +97,8 @@ def delay_edge_alerts(
     return _first_crossings(summed, threshold).select(*ALERT_COLUMNS)
 
 
-RUN_STATE = struct("vehicle_id string, accumulated bigint, alerted boolean")
+RUN_STATE = struct("vehicle_id string, accumulated bigint, alerted boolean, seq bigint")
+ALERTS = struct(ALERT_SCHEMA)
 
 # Sorts before any event, so that the carried delay opens its vehicle's sum.
 _OPENING_TIME = "0001-01-01 00:00:00"
@@ -102,105 +126,63 @@ def carry_runs(summed: DataFrame, state: DataFrame, threshold: int) -> tuple[Dat
             (~closed & (F.col("_crossed").isNotNull() | F.col("_warned").isNotNull())).alias("alerted"),
         )
     )
-    return fired, after
+    counted = state.select("vehicle_id", F.col("seq").alias("_before"))
+    seq = (F.coalesce("_before", F.lit(0)) + 1).cast("bigint").alias("seq")
+    return fired, after.join(counted, "vehicle_id", "left").select("vehicle_id", "accumulated", "alerted", seq)
+
+
+def open_runs(states: DataFrame) -> DataFrame:
+    """The newest state of each vehicle."""
+    newest = states.groupBy("vehicle_id").agg(F.max_by(F.struct("accumulated", "alerted", "seq"), "seq").alias("_s"))
+    return newest.select("vehicle_id", "_s.*")
+
+
+def compact_runs(spark: SparkSession, state: str) -> None:
+    """Rewrite the state table to the vehicles with an open delay. Run it between micro-batches.
+
+    A vehicle that leaves it starts again from nothing, as it would with its closed run.
+    """
+    stored = tables.read(spark, state, tables.batched(RUN_STATE))
+    newest = stored.groupBy("vehicle_id").agg(F.max_by(F.struct(*stored.columns), "seq").alias("_s")).select("_s.*")
+    kept = newest.filter((F.col("accumulated") != 0) | F.col("alerted")).checkpoint()
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.BATCH).parquet(state)
 
 
 def edge_alert_writer(
-    state: SnapshotTable, alerts: SnapshotTable, run: str, threshold: int = HIGH_DELAY_SECONDS,
-    slice_by: str = "HOUR", keep: int = 5,
+    state: str, alerts: str, threshold: int = HIGH_DELAY_SECONDS, slice_by: str = "HOUR",
+    key: Callable[[DataFrame, int], str] = batch_key,
 ) -> BatchWriter:
-    """``foreachBatch`` writer over ``mark_terminals`` rows that carries each vehicle's open run in a table.
+    """``foreachBatch`` writer over ``mark_terminals`` rows that carries each vehicle's open run in the table ``state``.
 
-    The sums are the sliced ones of the batch version: a vehicle that dominates a
-    micro-batch is worked on by many tasks. Alerts are committed before the state,
-    both under the batch's key, so a replay after any failure completes the pair.
+    The sums are the sliced ones of the batch version: a vehicle that dominates a micro-batch is worked on by many
+    tasks. A batch reads and writes the states of its own vehicles only. It writes alerts and states under its key and reads
+    the states of other batches, so a replay after any failure completes the pair with the same rows.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        key = f"{run}/{batch_id}"
-        if state.has_batch(key):
-            return
-        before = state.read()
-        opening = before.select(
-            "vehicle_id",
-            F.lit("departure").alias("event_type"),
-            F.lit("").alias("event_id"),
-            F.lit(_OPENING_TIME).cast("timestamp").alias("event_time"),
-            F.col("accumulated").alias("delay_seconds"),
+        spark, name = batch.sparkSession, key(batch, batch_id)
+        moves = batch.select(*MOVE_COLUMNS)
+        stored = tables.read(spark, state, tables.batched(RUN_STATE)).filter(F.col(tables.BATCH) != name)
+        seen = moves.select("vehicle_id").distinct()
+        before = open_runs(stored.join(seen, "vehicle_id", "left_semi")).checkpoint()
+        opening = before.filter("accumulated <> 0").select(
+            "vehicle_id", F.lit(_OPENING_TIME).cast("timestamp").alias("event_time"), F.lit("").alias("event_id"),
+            F.lit("departure").alias("event_type"), F.lit(None).cast("string").alias("line"),
+            F.lit(None).cast("string").alias("stop_id"), F.col("accumulated").alias("delay_seconds"),
             F.lit(False).alias("at_terminal"),
-        )
-        summed = _sum_runs(batch.unionByName(opening, allowMissingColumns=True), slice_by)
-        summed.persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        summed = _sum_runs(moves.unionByName(opening), slice_by)
+        summed.persist()
         try:
             fired, after = carry_runs(summed, before, threshold)
-            alerts.append(fired, batch_key=key, allow_empty=False)
-            state.overwrite(after, batch_key=key)
-            state.expire(keep)
+            tables.put_batch(fired, alerts, name)
+            tables.put_batch(after, state, name)
         finally:
             summed.unpersist()
 
     return sink
 
 
-def edge_alert_tables(spark: SparkSession, root: str) -> tuple[SnapshotTable, SnapshotTable]:
-    return (
-        SnapshotTable(spark, f"{root}/run_state").create(RUN_STATE),
-        SnapshotTable(spark, f"{root}/delay_alerts").create(struct(ALERT_SCHEMA)),
-    )
-
-
-class DelayEdge(StatefulProcessor):
-    """Per vehicle: the delay accumulated in the current run, and whether it has alerted."""
-
-    def __init__(self, threshold: int):
-        self.threshold = threshold
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("run", "accumulated bigint, alerted boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.state.get() if self.state.exists() else (0, False)
-        accumulated, alerted = int(stored[0]), bool(stored[1])
-        # One vehicle's movements of one micro-batch, put into time order.
-        moves = pd.concat(list(rows)).sort_values(["event_time", "event_id"])
-        fired: list[tuple] = []
-        for move in moves.itertuples(index=False):
-            accumulated += int(move.segment_delay)
-            if move.is_departure and accumulated > self.threshold and not alerted:
-                fired.append((key[0], move.line, move.stop_id, move.event_id, move.event_time, accumulated))
-                alerted = True
-            if move.at_terminal:
-                accumulated, alerted = 0, False
-        self.state.update((accumulated, alerted))
-        if fired:
-            yield pd.DataFrame(fired, columns=ALERT_COLUMNS)
-
-    def close(self) -> None:
-        pass
-
-
-def delay_edge_alerts_stream(events: DataFrame, stops: DataFrame, threshold: int = HIGH_DELAY_SECONDS) -> DataFrame:
-    """The same alerts from a stateful operator, with one small state row per vehicle.
-
-    The quick form for fleets of evenly busy vehicles: one vehicle's movements of
-    a micro-batch meet in one task, so limit the trigger's input, or use
-    ``edge_alert_writer`` where a single vehicle can dominate. Needs the RocksDB
-    state store. Movements are ordered within a micro-batch; one that arrives in
-    a later batch than its successors counts when it arrives.
-    """
-    moves = mark_terminals(events, stops).select(
-        "vehicle_id", "line", "stop_id", "event_id", "event_time", "at_terminal",
-        (F.col("event_type") == "departure").alias("is_departure"),
-        _segment_delay().alias("segment_delay"),
-    )
-    return moves.groupBy("vehicle_id").transformWithStateInPandas(
-        statefulProcessor=DelayEdge(threshold),
-        outputStructType=ALERT_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
-    )
-
-
 def capacity_alerts(events: DataFrame, share: float = FULL_SHARE) -> DataFrame:
     """Arrivals whose load exceeds a share of what a vehicle of their line's service can hold."""
     places = capacity_of(service_type(F.col("line")))

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidelake import schemas
-from tidelake.sources.snapshot_table import SnapshotTable
-from tidelake.streaming import windows
+from tidelake.sources import tables
+from tidelake.streaming import sinks, windows
 from tidelake.streaming.events import enrich_events, timed_events
-from tidelake.streaming.sinks import BatchWriter, append_history, upsert_latest, with_log
+from tidelake.streaming.sinks import BatchWriter, with_log
 
 
 @dataclass(frozen=True)
@@ -23,13 +24,33 @@ class StreamSettings:
     log: bool = False
 
 
-def operational_tables(spark: SparkSession, root: str) -> dict[str, SnapshotTable]:
-    """Current occupancy by station, current delays by line, and the alert history."""
-    return {
-        "station_occupancy": SnapshotTable(spark, f"{root}/station_occupancy").create(schemas.STATION_OCCUPANCY),
-        "line_delays": SnapshotTable(spark, f"{root}/line_delays").create(schemas.LINE_DELAYS),
-        "station_alerts": SnapshotTable(spark, f"{root}/station_alerts").create(schemas.STATION_ALERTS),
-    }
+#: The operational tables: schema, and the key of which the newest window is the current state (None: a history).
+OPERATIONAL = {
+    "station_occupancy": (schemas.STATION_OCCUPANCY, "station_id"),
+    "line_delays": (schemas.LINE_DELAYS, "line"),
+    "station_alerts": (schemas.STATION_ALERTS, None),
+}
+
+
+def operational_table(spark: SparkSession, root: str, name: str, as_of: Column | str | None = None) -> DataFrame:
+    """Current occupancy by station, current delays by line, or the alert history; with ``as_of`` without expired rows.
+
+    A table that no stream has written yet is empty; reading never creates one.
+    """
+    schema, key = OPERATIONAL[name]
+    rows = sinks.history(spark, f"{root}/{name}", schema)
+    rows = rows if as_of is None else sinks.alive(rows, name, as_of)
+    return rows if key is None else sinks.latest(rows, key)
+
+
+def operational_tables(spark: SparkSession, root: str, as_of: Column | str | None = None) -> dict[str, DataFrame]:
+    return {name: operational_table(spark, root, name, as_of) for name in OPERATIONAL}
+
+
+def purge_all(spark: SparkSession, root: str, as_of: Column | str) -> None:
+    """The scheduled cleanup of what has expired."""
+    for name, (schema, _) in OPERATIONAL.items():
+        sinks.purge(spark, f"{root}/{name}", schema, name, as_of)
 
 
 def start_window_query(
@@ -58,33 +79,63 @@ def start_all(
     only: list[str] | None = None,
 ) -> list[StreamingQuery]:
     """Start the occupancy, delay and alert queries (or some of them) below ``root``."""
-    spark = raw.sparkSession
-    tables = operational_tables(spark, root)
     events = timed_events(raw, settings.delay)
     enriched = enrich_events(events, stops, stations, settings.salts)
     jobs = {
-        "station_occupancy": (
-            lambda: windows.station_occupancy(enriched, settings.window),
-            lambda t: upsert_latest(t, "station_id", "station_occupancy"),
-        ),
-        "line_delays": (
-            lambda: windows.line_delays(events, settings.window),
-            lambda t: upsert_latest(t, "line", "line_delays"),
-        ),
-        "station_alerts": (
-            lambda: windows.station_alerts(enriched, settings.window),
-            lambda t: append_history(t, "station_alerts"),
-        ),
+        "station_occupancy": lambda: windows.station_occupancy(enriched, settings.window),
+        "line_delays": lambda: windows.line_delays(events, settings.window),
+        "station_alerts": lambda: windows.station_alerts(enriched, settings.window),
     }
     return [
-        start_window_query(rows(), name, sink(tables[name]), root, settings)
-        for name, (rows, sink) in jobs.items()
+        start_window_query(rows(), name, sinks.window_writer(f"{root}/{name}"), root, settings)
+        for name, rows in jobs.items()
         if only is None or name in only
     ]
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped so far because their window was already closed."""
-    return sum(
-        op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators
-    )
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Wait until all queries have ended. If one fails, stop the others and fail with its error."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    failed = None
+    while failed is None and any(q.isActive for q in queries):
+        for query in queries:
+            if query.isActive and query.awaitTermination(1):
+                spark.streams.resetTerminated()
+        failed = next((q.exception() for q in queries if not q.isActive and q.exception()), None)
+    failed = failed or next((q.exception() for q in queries if q.exception()), None)
+    if failed:
+        for query in queries:
+            query.stop()
+        raise failed
+
+
+LATE = "run_id string, query string, batch_id bigint, dropped bigint"
+
+
+class LateRows(StreamingQueryListener):
+    """Adds the rows that each batch dropped because their window was closed: one row a batch in a table of their own.
+
+    Progress records are bounded in a query's memory, so a sum over those would forget; the table does not.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        if dropped:
+            row = [(str(progress.runId), progress.name, progress.batchId, dropped)]
+            rows = self.spark.createDataFrame(row, LATE)
+            tables.put_batch(rows, self.path, f"{progress.id}-{progress.batchId}")
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows dropped so far, by query."""
+    return tables.read(spark, path, schemas.struct(LATE)).groupBy("query").agg(F.sum("dropped").alias("dropped"))

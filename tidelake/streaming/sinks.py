@@ -1,86 +1,68 @@
-"""Stream sinks: keyed current state, append history, and the confirmation log."""
+"""Stream sinks: closed windows by batch, current state on read, retention, and the confirmation log."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake import schemas
 from tidelake.functions.events import iso_format
 from tidelake.operators.retention import retain
-from tidelake.sources.snapshot_table import SnapshotTable
+from tidelake.sources import tables
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 
-def _batch_key(run: str, batch_id: int) -> str:
-    return f"{run}/{batch_id}"
-
-
-@contextmanager
-def _kept(batch: DataFrame) -> Iterator[None]:
-    """Hold a batch's rows while several actions use them: the stateful plan must not run twice."""
-    if batch.is_cached:
-        yield
-        return
-    batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield
-    finally:
-        batch.unpersist()
-
-
-def merge_latest(stored: DataFrame, incoming: DataFrame, key: str, order: str) -> DataFrame:
-    """Newest row per key of both; at equal times the incoming row wins, an older one never does."""
-    both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.select(*stored.columns).withColumn("_new", F.lit(1)))
-    newest = both.groupBy(key).agg(F.max_by(F.struct(*stored.columns), F.struct(order, "_new")).alias("_row"))
-    return newest.select("_row.*")
+def batch_key(batch: DataFrame, batch_id: int) -> str:
+    """A name for a micro-batch that no other one has.
 
+    Batch numbers restart with a new checkpoint, so the id that Spark keeps in the checkpoint comes first: a replay has
+    the same name, and the first batch of a new checkpoint has another one than that of the old.
+    """
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("not called by a streaming query")
+    return f"{query}-{batch_id}"
 
-def upsert_latest(
-    table: SnapshotTable, key: str, run: str, order: str = "window_end", keep: int | None = 5
-) -> BatchWriter:
-    """``foreachBatch`` writer that keeps one row per key.
 
-    ``run`` names the checkpointed query: with the batch id it forms the key by
-    which a batch replayed after a failure is recognised. Every batch with closed
-    windows becomes one overwrite snapshot; older ones are expired down to ``keep``.
-    """
+def window_writer(path: str, key: Callable[[DataFrame, int], str] = batch_key) -> BatchWriter:
+    """``foreachBatch`` writer that adds the windows a batch closed; a replayed batch writes over its own rows."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch):
-            if batch.count() == 0:
-                return
-            merged = merge_latest(table.read(), batch, key, order)
-            if table.overwrite(merged, batch_key=_batch_key(run, batch_id)) is not None and keep:
-                table.expire(keep)
+        tables.put_batch(batch, path, key(batch, batch_id))
 
     return sink
 
 
-def append_history(table: SnapshotTable, run: str) -> BatchWriter:
-    """``foreachBatch`` writer that adds every closed window once; batches without any leave no snapshot."""
+def history(spark, path: str, schema) -> DataFrame:
+    """Every window written so far."""
+    return tables.read(spark, path, tables.batched(schema)).drop(tables.BATCH)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_key=_batch_key(run, batch_id), allow_empty=False)
 
-    return sink
+def latest(rows: DataFrame, key: str, order: str = "window_end") -> DataFrame:
+    """Newest row per key, at equal times the one updated last; combined inside every task before the shuffle."""
+    tie = ["last_updated"] if "last_updated" in rows.columns else []
+    newest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(order, *tie)).alias("_row"))
+    return newest.select("_row.*")
+
+
+def alive(rows: DataFrame, name: str, as_of: Column | str, limits: dict[str, tuple[str, int]] = schemas.RETENTION) -> DataFrame:
+    """Rows of an operational table that have not expired."""
+    column, seconds = limits[name]
+    return retain(rows, column, seconds, as_of)
 
 
-def apply_retention(table: SnapshotTable, ts_col: str, seconds: int, as_of: Column | str, keep: int = 2) -> int | None:
-    """Rewrite a table without its expired rows, and drop the files and log entries it replaced.
+def purge(spark, path: str, schema, name: str, as_of: Column | str, limits: dict[str, tuple[str, int]] = schemas.RETENTION) -> None:
+    """Rewrite an operational table without its expired rows.
 
-    Readers filter by the same rule at any time; this keeps a long-running
-    history and its many small appends from growing. Run it between micro-batches
-    (one writer at a time); ``keep`` leaves the last append in the log, so that its
-    batch is still recognised when it is replayed.
+    Readers filter by the same rule at any time; this keeps the folder from growing. The rows that stay are few
+    (minutes of windows) and held in the checkpoint folder while the table is overwritten. Run it between micro-batches.
     """
-    version = table.overwrite(retain(table.read(), ts_col, seconds, as_of))
-    table.expire(keep)
-    return version
+    stored = tables.read(spark, path, tables.batched(schema))
+    kept = alive(stored, name, as_of, limits).checkpoint()
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.BATCH).parquet(path)
 
 
 def confirmation_log(rows: DataFrame) -> DataFrame:
@@ -90,12 +72,17 @@ def confirmation_log(rows: DataFrame) -> DataFrame:
     return shown.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def with_log(writer: BatchWriter, log_path: str) -> BatchWriter:
+def with_log(writer: BatchWriter, path: str, key: Callable[[DataFrame, int], str] = batch_key) -> BatchWriter:
     """Also write each batch's confirmation lines as text; a replayed batch writes over its own."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        with _kept(batch):
+        # Both writes use the rows: the stateful plan must not run twice.
+        batch.persist()
+        try:
             writer(batch, batch_id)
-            confirmation_log(batch).write.mode("overwrite").text(f"{log_path}/batch={batch_id}")
+            lines = confirmation_log(batch).withColumn(tables.BATCH, F.lit(key(batch, batch_id)))
+            lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(tables.BATCH).text(path)
+        finally:
+            batch.unpersist()
 
     return sink

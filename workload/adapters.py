@@ -18,9 +18,10 @@ from tidelake.functions.calendar import HOUR_BLOCKS
 from tidelake.session import prepare
 
 TRANSFER_REGIONS = ["ASIA", "EUROPE"]
-SERVICES = {"AUTOMOBILE": "metro", "BUILDING": "metro", "FURNITURE": "tranvia"}  # all others: cable
-
-EVENT_TYPES = {"click": "arrival", "view": "departure", "error": "delay_alert", "purchase": "capacity_alert"}
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+    "labels", "conversations",
+]
 EVENT_LINES = ["A", "B", "TA", "K", "J", "P", "H", "M", "L"]
 
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions import calendar
@@ -14,8 +12,8 @@ from tidelake.operators.rules import reject_reason
 from tidelake.plans import bronze as bronze_plan
 from tidelake.plans import gold, silver
 from tidelake.session import scratch
-from tidelake.sources.snapshot_table import SnapshotTable, snapshot_delta
-from workload import adapters, stored
+from tidelake.sources import files, tables
+from workload import adapters
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
@@ -233,28 +231,72 @@ def catalog_checks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-    return checks.row_counts({n: adapters.table(spark, sf, n) for n in names})
+    return checks.row_counts({n: adapters.table(spark, sf, n) for n in adapters.TABLES})
+
+
+def catalog_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The catalog exported as CSV and read back, with its schema and with inferred types."""
+    root = scratch(spark, "catalog")
+    adapters.stops(spark, sf).write.option("header", "true").csv(f"{root}/paradas.csv")
+    adapters.stations(spark, sf).write.option("header", "true").csv(f"{root}/estaciones.csv")
+    stops, stations = files.read_stops(spark, f"{root}/paradas.csv"), files.read_stations(spark, f"{root}/estaciones.csv")
+    inferred = files.read_csv(spark, f"{root}/estaciones.csv")
+    typed = checks.check_types(
+        inferred, {"station_id": ("string",), "latitud": ("double",), "es_transbordo": ("boolean",), "nombre": ("int",)}, "inferred"
+    )
+    per_station = stops.join(stations, "station_id").groupBy("station_id", "nombre").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("orden").alias("orden"), F.max("latitud").alias("latitud")
+    )
+    rows = per_station.select(
+        F.concat("station_id", F.lit(" "), "nombre").alias("check"), F.lit("read").alias("status"),
+        F.concat_ws(" ", F.col("n").cast("string"), F.col("orden").cast("string")).alias("observed"), F.col("latitud").cast("string").alias("expected"),
+    )
+    return checks.report([typed, rows])
 
 
-# -- versioned tables -------------------------------------------------------
+def freshness_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Every state that a table can be in."""
+    orders = adapters.table(spark, sf, "orders").select(F.col("o_orderdate").cast("timestamp").alias("at"), "o_orderstatus")
+    newest = orders.agg(F.max("at")).scalar()
+    absent = scratch(spark, "absent")
+    found = tables.read(spark, absent) if tables.exists(spark, absent) else None
+    blank = orders.withColumn("at", F.lit(None).cast("timestamp"))
+    reports = checks.report(
+        [
+            checks.check_fresh(orders, "at", 60, newest, "fresh"),
+            checks.check_fresh(orders, "at", 60, newest + F.expr("INTERVAL 1 HOUR"), "stale"),
+            checks.check_fresh(orders.filter("o_orderstatus = '-'"), "at", 60, newest, "empty"),
+            checks.check_fresh(blank, "at", 60, newest, "no_time"),
+            checks.check_fresh(found, "at", 60, newest, "missing", spark),
+            checks.check_exists(orders, "at", "present").drop("n"),
+            checks.check_exists(orders.filter("o_orderstatus = '-'"), "at", "vacant").drop("n"),
+            checks.check_exists(found, "at", "gone", spark).drop("n"),
+        ]
+    )
+    return wall_clock(reports)
 
 
-def _commit_time(n: int) -> datetime:
-    return datetime(2024, 1, 1, 0, 0, 0, n * 1000, tzinfo=UTC)
+def busiest_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The busiest slots with the place at which each came out."""
+    top = gold.top_slots(volume(spark, sf))
+    return top.select((F.monotonically_increasing_id() + 1).alias("place"), "*")
 
 
-def _orders_by_status(spark: SparkSession, sf: str) -> SnapshotTable:
-    """All orders, appended status by status within three milliseconds."""
+# -- stored tables ----------------------------------------------------------
 
-    def build(path: str) -> SnapshotTable:
-        orders = adapters.table(spark, sf, "orders")
-        table = SnapshotTable(spark, path).create(orders.schema, ["o_orderpriority"], committed_at=_commit_time(0))
-        for n, status in enumerate(["F", "O", "P"], 1):
-            table.append(orders.filter(F.col("o_orderstatus") == status), f"orders_{status}", _commit_time(n))
-        return table
+FIRST_LOAD = "2024-01-01 00:00:00"
 
-    return stored.table(spark, sf, "orders_by_status", build)
+
+def _orders_by_status(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as a growing table: a batch per status in order, loaded a millisecond apart."""
+    orders = adapters.table(spark, sf, "orders")
+    status = F.coalesce("o_orderstatus", F.lit("none"))
+    numbered = orders.select(status.alias("_status")).distinct().withColumn("version", F.row_number().over(Window.orderBy("_status")))
+    loads = numbered.withColumn("loaded_at", F.timestamp_add("MILLISECOND", F.col("version"), F.lit(FIRST_LOAD).cast("timestamp")))
+    rows = orders.join(loads, status == F.col("_status")).withColumn(tables.BATCH, F.concat(F.lit("orders_"), "_status")).drop("_status")
+    path = scratch(spark, "orders")
+    rows.write.partitionBy(tables.BATCH).parquet(path)
+    return tables.read(spark, path)
 
 
 def _by_priority(orders: DataFrame) -> DataFrame:
@@ -264,55 +306,75 @@ def _by_priority(orders: DataFrame) -> DataFrame:
 
 
 def as_of_version(spark: SparkSession, sf: str) -> DataFrame:
-    return _by_priority(_orders_by_status(spark, sf).read(version=2))
+    """The table as its first two loads left it."""
+    return _by_priority(_orders_by_status(spark, sf).filter("version <= 2"))
 
 
 def as_of_timestamp(spark: SparkSession, sf: str) -> DataFrame:
-    return _by_priority(_orders_by_status(spark, sf).read(timestamp="2024-01-01 00:00:00.001"))
+    """The table as it stood at an instant."""
+    return _by_priority(_orders_by_status(spark, sf).filter("loaded_at <= timestamp'2024-01-01 00:00:00.001'"))
 
 
 def as_of_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per date as the table stood after its first commit."""
-    first = _orders_by_status(spark, sf).read(version=1)
+    """Rows per date after the first load."""
+    first = _orders_by_status(spark, sf).filter("version <= 1")
     return first.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def version_delta(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshot_delta(_orders_by_status(spark, sf), 1, 3)
+    """Rows after the first and after the third load."""
+    loads = _orders_by_status(spark, sf).filter("version <= 3")
+    counts = loads.agg(F.count_if(F.col("version") <= 1).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+    return counts.withColumn("delta", F.col("rows_after") - F.col("rows_before"))
 
 
 def snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
-    history = _orders_by_status(spark, sf).snapshots()
-    return history.select(
-        "snapshot_id", F.col("committed_at").cast("timestamp_ntz").alias("committed_at"), "operation",
-        F.col("summary")["added-records"].cast("bigint").alias("added_records"), "total_records", "batch_key",
+    """What each load added, and the total after it."""
+    loads = _orders_by_status(spark, sf).groupBy("version", "loaded_at", tables.BATCH).agg(F.count(F.lit(1)).alias("added_records"))
+    total = F.sum("added_records").over(Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0))
+    return loads.select(
+        F.col("version").alias("snapshot_id"), F.col("loaded_at").cast("timestamp_ntz").alias("committed_at"), F.lit("append").alias("operation"),
+        "added_records", total.alias("total_records"), F.col(tables.BATCH).alias("batch_key"),
     )
 
 
-def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
-    """A column added between two appends: NULL before, filled after, nothing rewritten."""
-    orders = adapters.table(spark, sf, "orders")
-    table = SnapshotTable(spark, scratch(spark, "evolving")).create(orders.schema)
-    table.append(orders.filter("o_orderstatus = 'F'"), "before")
-    table.add_column("weather_condition", "string", "weather at the time, NULL for older rows")
+def _evolving(spark: SparkSession, sf: str) -> str:
+    """A table whose second batch has one column more."""
+    orders, path = adapters.table(spark, sf, "orders"), scratch(spark, "evolving")
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    tables.put_batch(orders.filter(first), path, "before")
     weather = by_code(
         F.col("o_orderpriority"), {"1-URGENT": "Lluvioso", "2-HIGH": "Tormenta", "3-MEDIUM": "Nublado"}, "Soleado"
     )
-    later = orders.filter("o_orderstatus <> 'F'").withColumns(
+    later = orders.filter(~first).withColumns(
         {"o_orderpriority": tagged("WX-", F.col("o_orderpriority")), "weather_condition": weather}
     )
-    table.append(later, "after")
-    return table.read().groupBy("o_orderpriority", "weather_condition").agg(F.count(F.lit(1)).alias("n"))
+    tables.put_batch(later, path, "after")
+    return path
+
+
+def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """A column added between two batches: NULL before, filled after, nothing rewritten."""
+    rows = tables.read(spark, _evolving(spark, sf), merge=True)
+    return rows.groupBy("o_orderpriority", "weather_condition").agg(F.count(F.lit(1)).alias("n"))
+
+
+def column_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """What the later schema has and the earlier one has not."""
+    path = _evolving(spark, sf)
+    older = tables.read(spark, f"{path}/{tables.BATCH}=before").withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    return tables.schema_diff(older, tables.read(spark, f"{path}/{tables.BATCH}=after"))
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    """Replaced content, with the replaced version still readable."""
-    orders = adapters.table(spark, sf, "orders")
-    table = SnapshotTable(spark, scratch(spark, "refreshed")).create(orders.schema)
-    table.overwrite(orders.filter("o_orderstatus = 'F'"))
-    table.overwrite(orders.filter("o_orderstatus <> 'F'"))
-    now = table.read().select(F.lit("now").alias("version"), "o_orderstatus")
-    then = table.read(version=1).select(F.lit("before").alias("version"), "o_orderstatus")
+    """Replaced content, beside a copy of what it replaced."""
+    orders, path, copy = adapters.table(spark, sf, "orders"), scratch(spark, "refreshed"), scratch(spark, "copy")
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    tables.replace(orders.filter(first), path)
+    tables.replace(tables.read(spark, path), copy)
+    tables.replace(orders.filter(~first), path)
+    now = tables.read(spark, path).select(F.lit("now").alias("version"), "o_orderstatus")
+    then = tables.read(spark, copy).select(F.lit("before").alias("version"), "o_orderstatus")
     return now.unionByName(then).groupBy("version", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -320,13 +382,12 @@ def idempotent_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Trips exported as two CSV batches and loaded, one of them twice."""
     root = scratch(spark, "ingest")
     trips = adapters.trips(spark, sf)
-    table = bronze_plan.bronze_table(spark, f"{root}/bronze")
-    for status in ("F", "O"):
-        batch = trips.filter(F.col("line").endswith(status))
-        batch.write.option("header", "true").csv(f"{root}/trips_{status}.csv")
-    for status in ("F", "O", "F"):
-        bronze_plan.ingest_trips(table, f"{root}/trips_{status}.csv")
-    return table.read().groupBy("line", "source_file").agg(
+    closed = F.coalesce(F.col("line").endswith("F"), F.lit(False))
+    for name, part in (("closed", closed), ("open", ~closed)):
+        trips.filter(part).write.option("header", "true").csv(f"{root}/in/trips_{name}.csv")
+    for name in ("closed", "open", "closed"):
+        bronze_plan.ingest_trips(spark, f"{root}/bronze", f"{root}/in/trips_{name}.csv", landing=f"{root}/in")
+    return bronze_plan.read_bronze(spark, f"{root}/bronze").groupBy("line", "source_file").agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("passenger_count").alias("passengers"),
         F.sum("delay_seconds").alias("delay_seconds"),
@@ -338,13 +399,10 @@ def idempotent_ingest(spark: SparkSession, sf: str) -> DataFrame:
 def lakehouse_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Raw to clean to aggregate through stored tables."""
     root = scratch(spark, "lakehouse")
-    raw = bronze_plan.bronze_table(spark, f"{root}/bronze")
-    raw.append(adapters.bronze(spark, sf), "all")
-    clean = SnapshotTable(spark, f"{root}/silver")
-    silver.refresh_silver(clean, raw.read(), stop_dim(spark, sf))
-    report = SnapshotTable(spark, f"{root}/gold")
-    gold.write_gold(report, gold.line_month_delay(clean.read()))
-    return wall_clock(report.read())
+    tables.put_batch(adapters.bronze(spark, sf), f"{root}/bronze", "all")
+    silver.refresh_silver(f"{root}/silver", bronze_plan.read_bronze(spark, f"{root}/bronze"), stop_dim(spark, sf))
+    gold.write_gold(f"{root}/gold", gold.line_month_delay(tables.read(spark, f"{root}/silver")))
+    return wall_clock(tables.read(spark, f"{root}/gold"))
 
 
 QUERIES = {
@@ -354,7 +412,8 @@ QUERIES = {
         sample_trips, station_volume, line_month_delay, line_p90, high_demand_share, service_season_rollup,
         line_threshold_rollup, station_rollup, top_station_slots, top_demand_slots, line_evolution, calendar_enrich,
         orphan_stops, childless_parents, lines_per_station, terminal_stops, transfer_stations, distinct_lines,
-        sequence_check, sequence_offenders, catalog_checks, table_row_counts, as_of_version, as_of_timestamp,
+        sequence_check, sequence_offenders, catalog_checks, table_row_counts, catalog_files, freshness_states,
+        busiest_in_order, column_diff, as_of_version, as_of_timestamp,
         as_of_daily_counts, version_delta, snapshot_history, schema_evolution, full_refresh, idempotent_ingest,
         lakehouse_refresh,
     ]

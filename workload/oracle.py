@@ -6,6 +6,8 @@ between two hundredths is rounded up in both engines.
 
 from __future__ import annotations
 
+from workload.adapters import TABLES as ALL_TABLES
+
 
 def avg2(value: str, condition: str | None = None) -> str:
     """Average of non-negative whole numbers, rounded half up to two digits."""
@@ -357,7 +359,7 @@ SELECT "check", CASE WHEN ok THEN 'OK' ELSE 'FAIL' END AS status, observed, expe
     ).replace("\n, found", ", found"),
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS n FROM {t}"
-        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+        for t in ALL_TABLES
     ),
     "as_of_version": f"{STATUS_COUNT} WHERE o_orderstatus IN ('F', 'O') GROUP BY ALL",
     "as_of_timestamp": f"{STATUS_COUNT} WHERE o_orderstatus = 'F' GROUP BY ALL",
@@ -378,6 +380,25 @@ FROM orders GROUP BY o_orderstatus""",
   count(*) AS n FROM orders GROUP BY 1, 2""",
     "full_refresh": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'before' ELSE 'now' END AS version, o_orderstatus,
   count(*) AS n FROM orders GROUP BY ALL""",
+    "catalog_files": _batch(
+        """SELECT 'inferred:' || c AS "check", s AS status, o AS observed, e AS expected FROM (VALUES
+  ('station_id', 'OK', 'string', 'string'), ('latitud', 'OK', 'double', 'double'), ('es_transbordo', 'OK', 'boolean', 'boolean'),
+  ('nombre', 'FAIL', 'string', 'int')) v(c, s, o, e)
+UNION ALL SELECT station_id || ' ' || nombre, 'read', count(*) || ' ' || sum(orden), max(latitud)::VARCHAR
+FROM stops JOIN stations USING (station_id) GROUP BY station_id, nombre"""
+    ),
+    "freshness_states": """WITH n AS (SELECT max(o_orderdate)::TIMESTAMP AS newest FROM orders)
+SELECT t AS "table", s AS status, CASE WHEN k THEN newest END AS newest FROM n, (VALUES ('fresh', 'OK', true), ('stale', 'STALE', true),
+  ('empty', 'EMPTY', false), ('no_time', 'NO_TS', false), ('missing', 'MISSING', false), ('present', 'OK_EXISTS', true),
+  ('vacant', 'EMPTY', false), ('gone', 'MISSING', false)) v(t, s, k)""",
+    "busiest_in_order": _batch(
+        f"""SELECT row_number() OVER () AS place, * FROM (SELECT {TOP_SLOT_COLUMNS} FROM volume
+WHERE hour_block IN ('06-09', '15-18') AND NOT is_weekend
+ORDER BY avg_passengers DESC, station_id, hour_block, day_of_week_num LIMIT 10)"""
+    ),
+    "column_diff": """WITH n AS (SELECT count(*) AS n FROM orders)
+SELECT 'o_orderkey' AS "column", 'string' AS older, 'bigint' AS newer FROM n
+UNION ALL SELECT 'weather_condition', NULL, 'string' FROM n""",
     "idempotent_ingest": _batch(
         """SELECT line, source_file, count(*) AS trips, sum(passenger_count)::BIGINT AS passengers,
   sum(delay_seconds)::BIGINT AS delay_seconds, count(*) FILTER (WHERE is_holiday) AS holiday_trips,
@@ -427,6 +448,19 @@ FROM latest ORDER BY rank LIMIT 5"""
   delay_alerts, capacity_alerts, total_alerts, windows_seen FROM rollup_day ORDER BY rank LIMIT 5"""
     ),
     "ttl_retention": _events("SELECT * FROM alerts WHERE window_end > (SELECT now FROM newest) - INTERVAL 1 DAY"),
+    "ttl_all_tables": _events(
+        """SELECT t AS "table", s AS state, n FROM (
+  SELECT 'station_occupancy' AS t, 'all' AS s, count(*) AS n FROM latest
+  UNION ALL SELECT 'station_occupancy', 'alive', count(*) FROM latest WHERE window_end > (SELECT now FROM newest) - INTERVAL 2 DAY
+  UNION ALL SELECT 'line_delays', 'all', count(*) FROM latest_delays
+  UNION ALL SELECT 'line_delays', 'alive', count(*) FROM latest_delays WHERE window_end > (SELECT now FROM newest) - INTERVAL 3 HOUR
+  UNION ALL SELECT 'station_alerts', 'all', count(*) FROM alerts
+  UNION ALL SELECT 'station_alerts', 'alive', count(*) FROM alerts WHERE window_end > (SELECT now FROM newest) - INTERVAL 1 DAY)"""
+    ),
+    "message_bodies": _events(
+        """SELECT '{"event_id":"' || event_id || '","line":"' || line || '","passenger_count":' || passenger_count || '}' AS value
+FROM messages WHERE event_type <> '_invalid'"""
+    ),
     "freshness": _events(
         """SELECT 'station_occupancy' AS "table", CASE WHEN max(window_end) >= (SELECT now FROM newest)
   - INTERVAL 3720 SECOND THEN 'OK' ELSE 'STALE' END AS status, max(window_end) AS newest FROM latest

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -11,14 +9,13 @@ from pyspark.sql.types import StructType
 from tidelake import schemas
 from tidelake.functions.events import event_time, iso_format, iso_ms, iso_parse
 from tidelake.operators import checks
-from tidelake.operators.retention import retain
 from tidelake.plans import integration, serving
-from tidelake.session import ROCKSDB_PROVIDER, scratch
-from tidelake.sources.snapshot_table import SnapshotTable
-from tidelake.streaming import alerts, jobs, windows
+from tidelake.session import scratch
+from tidelake.sources import streams, tables
+from tidelake.streaming import alerts, jobs, sinks, windows
 from tidelake.streaming.events import enrich_events, parse_events, timed_events
-from tidelake.streaming.sinks import append_history, confirmation_log
-from workload import adapters, stored
+from tidelake.streaming.sinks import confirmation_log
+from workload import adapters
 from workload.batch_queries import volume, wall_clock
 
 HOURLY = jobs.StreamSettings(window="1 hour", trigger={"availableNow": True})
@@ -37,15 +34,9 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich_events(_events(spark, sf), *_catalog(spark, sf))
 
 
-def _stored(spark: SparkSession, sf: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
-    """An operational table as the jobs leave it: written once, then asked many questions."""
-    return stored.table(spark, sf, name, lambda path: stored.filled(spark, path, rows())).read()
-
-
 def _newest(spark: SparkSession, sf: str) -> Column:
-    """The instant of the newest event, standing in for "now"."""
-    clock = _stored(spark, sf, "clock", lambda: _events(spark, sf).agg(F.max("event_time").alias("newest")))
-    return clock.agg(F.max("newest")).scalar()
+    """The instant of the newest event, standing in for "now". Messages carry the time of their row."""
+    return adapters.table(spark, sf, "events").agg(F.max(F.col("ts").cast("timestamp"))).scalar()
 
 
 def _closed(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
@@ -54,30 +45,20 @@ def _closed(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
 
 def _occupancy(spark: SparkSession, sf: str) -> DataFrame:
     """Latest closed hour per station, computed on the table."""
-
-    def rows() -> DataFrame:
-        hours = windows.station_occupancy(_enriched(spark, sf), "1 hour")
-        return windows.latest_per_key(_closed(spark, sf, hours), "station_id")
-
-    return _stored(spark, sf, "station_occupancy", rows)
+    hours = windows.station_occupancy(_enriched(spark, sf), "1 hour")
+    return windows.latest_per_key(_closed(spark, sf, hours), "station_id")
 
 
 def _delays(spark: SparkSession, sf: str) -> DataFrame:
-    def rows() -> DataFrame:
-        return windows.latest_per_key(_closed(spark, sf, windows.line_delays(_events(spark, sf), "1 hour")), "line")
-
-    return _stored(spark, sf, "line_delays", rows)
+    return windows.latest_per_key(_closed(spark, sf, windows.line_delays(_events(spark, sf), "1 hour")), "line")
 
 
 def _alerts(spark: SparkSession, sf: str) -> DataFrame:
-    def rows() -> DataFrame:
-        return _closed(spark, sf, windows.station_alerts(_enriched(spark, sf), "10 minutes"))
-
-    return _stored(spark, sf, "station_alerts", rows)
+    return _closed(spark, sf, windows.station_alerts(_enriched(spark, sf), "10 minutes"))
 
 
 def _volume(spark: SparkSession, sf: str) -> DataFrame:
-    return _stored(spark, sf, "station_volume", lambda: volume(spark, sf))
+    return volume(spark, sf)
 
 
 # -- message bodies ---------------------------------------------------------
@@ -127,7 +108,6 @@ def event_times(spark: SparkSession, sf: str) -> DataFrame:
 def _run_history(spark: SparkSession, sf: str, name: str, schema: StructType) -> DataFrame:
     """Run one windowed query over the event stream to its end and return every window it closed."""
     root = scratch(spark, name)
-    table = SnapshotTable(spark, f"{root}/{name}").create(schema)
     events = timed_events(adapters.message_stream(spark, sf), HOURLY.delay)
     enriched = enrich_events(events, *_catalog(spark, sf))
     rows = {
@@ -135,9 +115,9 @@ def _run_history(spark: SparkSession, sf: str, name: str, schema: StructType) ->
         "line_delays": lambda: windows.line_delays(events, HOURLY.window),
         "station_alerts": lambda: windows.station_alerts(enriched, HOURLY.window),
     }[name]()
-    query = jobs.start_window_query(rows, f"{name}_{root[-12:]}", append_history(table, name), root, HOURLY)
-    query.awaitTermination()
-    return wall_clock(table.read())
+    path = f"{root}/{name}"
+    jobs.start_window_query(rows, f"{name}_{root[-12:]}", sinks.window_writer(path), root, HOURLY).awaitTermination()
+    return wall_clock(sinks.history(spark, path, schema))
 
 
 def occupancy_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,13 +134,13 @@ def alert_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def occupancy_latest(spark: SparkSession, sf: str) -> DataFrame:
-    """Current occupancy as the upserting stream job leaves it."""
+    """Current occupancy as the stream job leaves it."""
     root = scratch(spark, "latest")
     for query in jobs.start_all(
         adapters.message_stream(spark, sf), *_catalog(spark, sf), root, HOURLY, only=["station_occupancy"]
     ):
         query.awaitTermination()
-    rows = wall_clock(jobs.operational_tables(spark, root)["station_occupancy"].read())
+    rows = wall_clock(jobs.operational_table(spark, root, "station_occupancy"))
     return rows.withColumn("lines_serving", F.array_join("lines_serving", ","))
 
 
@@ -183,45 +163,47 @@ def delay_edge_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return wall_clock(alerts.delay_edge_alerts(_events(spark, sf), adapters.stops(spark, sf), slice_by="DAY"))
 
 
-def delay_edge_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The stateful stream version of ``delay_edge_alerts``."""
-    root = scratch(spark, "edge")
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    previous = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB_PROVIDER)
-    try:
-        fired = alerts.delay_edge_alerts_stream(
-            timed_events(adapters.message_stream(spark, sf)), adapters.stops(spark, sf)
-        )
-        query = (
-            fired.writeStream.outputMode("append")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .format("parquet")
-            .start(f"{root}/alerts")
-        )
-        query.awaitTermination()
-    finally:
-        if previous is None:
-            spark.conf.unset(provider)
-        else:
-            spark.conf.set(provider, previous)
-    return wall_clock(spark.read.schema(fired.schema).parquet(f"{root}/alerts"))
-
-
-def delay_edge_alerts_carried(spark: SparkSession, sf: str) -> DataFrame:
-    """``delay_edge_alerts`` from micro-batches that carry open runs in a table."""
-    root = scratch(spark, "carried")
-    state, fired = alerts.edge_alert_tables(spark, root)
-    moves = alerts.mark_terminals(timed_events(adapters.message_stream(spark, sf)), adapters.stops(spark, sf))
+def _run_edges(spark: SparkSession, messages: DataFrame, sf: str, root: str) -> None:
+    """Read a stream of messages to its present end, carrying open runs from batch to batch."""
+    moves = alerts.mark_terminals(timed_events(messages), adapters.stops(spark, sf))
     query = (
         moves.writeStream.option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True)
-        .foreachBatch(alerts.edge_alert_writer(state, fired, "edges", slice_by="DAY"))
+        .foreachBatch(alerts.edge_alert_writer(f"{root}/state", f"{root}/alerts", slice_by="DAY"))
         .start()
     )
     query.awaitTermination()
-    return wall_clock(fired.read())
+
+
+def delay_edge_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """``delay_edge_alerts`` from messages that arrive as files in three parts of time, the job restarted for each."""
+    root = scratch(spark, "edge")
+    messages = adapters.messages(spark, sf)
+    days = adapters.table(spark, sf, "events").agg(F.min("ts").cast("timestamp").alias("a"), F.max("ts").cast("timestamp").alias("b")).first()
+    step = (days.b - days.a) / 3
+    bounds = [None, days.a + step, days.a + 2 * step, None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        after = F.lit(True) if low is None else F.col("timestamp") >= F.lit(low)
+        before = F.lit(True) if high is None else F.col("timestamp") < F.lit(high)
+        messages.filter(after & before).write.mode("append").json(f"{root}/in")
+        _run_edges(spark, streams.file_stream(spark, f"{root}/in"), sf, root)
+    return wall_clock(tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS)).drop(tables.BATCH))
+
+
+def delay_edge_alerts_carried(spark: SparkSession, sf: str) -> DataFrame:
+    """``delay_edge_alerts`` from one large micro-batch."""
+    root = scratch(spark, "carried")
+    _run_edges(spark, adapters.message_stream(spark, sf), sf, root)
+    return wall_clock(tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS)).drop(tables.BATCH))
+
+
+def message_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """Events published as keyed JSON bodies by a stream of files, and read back."""
+    root = scratch(spark, "published")
+    adapters.messages(spark, sf).write.json(f"{root}/in")
+    events = timed_events(streams.file_stream(spark, f"{root}/in")).select("event_id", "line", "passenger_count")
+    streams.publish_stream(events, "text", f"{root}/checkpoint", path=f"{root}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.text(f"{root}/out")
 
 
 def capacity_alerts(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,9 +239,22 @@ def alert_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return serving.top_alerts(serving.alert_rollup(_alerts(spark, sf), _newest(spark, sf), seconds=DAY))
 
 
+TTL = {"station_occupancy": ("window_end", 2 * DAY), "line_delays": ("window_end", 3 * 3600), "station_alerts": ("window_end", DAY)}
+
+
 def ttl_retention(spark: SparkSession, sf: str) -> DataFrame:
     """Alert windows that have not expired a day after their end."""
-    return wall_clock(retain(_alerts(spark, sf), "window_end", DAY, _newest(spark, sf)))
+    return wall_clock(sinks.alive(_alerts(spark, sf), "station_alerts", _newest(spark, sf), TTL))
+
+
+def ttl_all_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each operational table under its own limit, before and after."""
+    now = _newest(spark, sf)
+    counts = []
+    for name, rows in (("station_occupancy", _occupancy(spark, sf)), ("line_delays", _delays(spark, sf)), ("station_alerts", _alerts(spark, sf))):
+        for state, kept in (("all", rows), ("alive", sinks.alive(rows, name, now, TTL))):
+            counts.append(kept.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), F.lit(state).alias("state"), "n"))
+    return checks.report(counts)
 
 
 def freshness(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,7 +324,7 @@ QUERIES = {
         occupancy_latest, event_type_running_counts, delay_edge_alerts, delay_edge_alerts_stream,
         delay_edge_alerts_carried, capacity_alerts,
         point_lookup, top_occupancy, critical_lines, alert_history_day, alert_history_station, alert_ranking,
-        ttl_retention, freshness, document_rules, confirmation_lines, zscore_ranking, zscore_context,
+        ttl_retention, ttl_all_tables, message_bodies, freshness, document_rules, confirmation_lines, zscore_ranking, zscore_context,
         zscore_extremes, zscore_counts, matched_sides,
     ]
 }
