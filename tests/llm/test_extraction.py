@@ -26,7 +26,7 @@ def test_article_without_its_frame():
 
 def test_page_without_article_uses_densities():
     page = """<div><a href=a>One link</a> <a href=b>Another link</a></div>
-    <div>The man of the house was in the garden for most of the day and it was good to be there.</div><div>Yes.</div>
+    <div>The man of the house was in the garden for most of the day and it was good to be there.</div><div>Yes.</div><div>Sure.</div>
     <div>Kjhgf lkjhg poiuy trewq asdfg zxcvb mnbvc lkjhg fdsaq wertz uiopl kjhgf dsayx cvbnm qwert zuiop.</div><div>No.</div>"""
     assert html_extract.main_text(page).split("\n") == [
         "The man of the house was in the garden for most of the day and it was good to be there.",

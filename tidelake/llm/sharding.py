@@ -59,7 +59,7 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], grown: Sequence[f
     Null or repeated ids go where their key goes; rows equal in all columns get slots of their own. An empty
     table gives no rows. Other columns of ``docs`` are not read.
     """
-    grown = list(grown) if grown else [*weights, weights[-1]]
+    grown = list(grown) if grown else [*weights, *weights[-1:]]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
