@@ -158,7 +158,8 @@ def good_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``edges`` has distinct (pattern, value, kind), kind -1 for values that no fixed pattern knows. A pattern belongs to the kind
     of most of its seeds. Scores: of a pattern the mean belief in its values, with some doubt added; of an unknown
-    value the belief that not all its patterns err. Values that are seeds of another kind count against a pattern.
+    value that of its best pattern, if it reaches the limit (a value's patterns share a context, so they are no independent
+    witnesses). Values that are seeds of another kind count against a pattern.
     """
     seeds = edges.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
     owned = seeds.groupBy("pattern").agg(F.max_by("kind", F.struct("seeds", -F.col("kind"))).alias("of"), F.max("seeds").alias("seeds"))
@@ -170,8 +171,7 @@ def good_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         patterns = scored.groupBy("pattern", "of", "seeds").agg(F.count(F.lit(1)).alias("n"), F.sum("belief").alias("good"))
         patterns = settle(patterns.select("pattern", "of", "seeds", "n", (F.col("good") / (F.col("n") + DOUBT)).alias("score")))
         backed = graph.join(patterns.select("pattern", "score", "n"), "pattern").filter(F.col("n") >= MIN_INSTANCES)
-        doubt = F.sum(F.log(1 - F.least("score", F.lit(0.999))))
-        values = backed.groupBy("value", "of").agg((1 - F.exp(doubt)).alias("back"))
+        values = backed.groupBy("value", "of").agg(F.max("score").alias("back"))
         scored = graph.join(values, ["value", "of"], "left")
         scored = scored.withColumn("belief", F.coalesce(belief, F.when(F.col("back") >= CONFIDENCE, F.col("back")), F.lit(0.0)))
     return patterns.filter((F.col("n") >= MIN_INSTANCES) & (F.col("score") >= CONFIDENCE)).select("pattern", "of", "score")
