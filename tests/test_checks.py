@@ -112,3 +112,9 @@ def test_plan_summary(spark, tmp_path):
     assert "unused" not in found["read_schema"][0] and "GreaterThan(id,5)" in found["pushed_filters"][0]
     dim = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "k long, d date")
     assert plan_summary(df.join(F.broadcast(dim), "k"))["joins"] == ["BroadcastHashJoin"]
+
+
+def test_repeated_keys(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,)], "k string")
+    assert checks.check_unique(df, "k").first().observed == "2"
+    assert checks.check_unique(df.filter("k = 'a'"), "k").first().status == "OK"

@@ -80,6 +80,8 @@ def validate(lake: Lake, args: argparse.Namespace) -> None:
             checks.check_count(stations, 49, "stations:count"),
             checks.check_count(stops, 57, "stops:count"),
             checks.check_count(stations.filter("es_transbordo"), 6, "stations:transfer"),
+            checks.check_unique(stops, "stop_id", "stops:unique"),
+            checks.check_unique(stations, "station_id", "stations:unique"),
             checks.check_fk(stops, stations, "station_id", "stops:station"),
             checks.check_fk(stations, stops, "station_id", "stations:stop"),
             checks.check_values(stations, "nombre", names, "stations:nombre"),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# First hour past each block, and the block that closes the day.
+# First hour past each block, the block that closes the day, all blocks, and those of peak hours.
 HOUR_BLOCK_LIMITS = [(6, "05-06"), (9, "06-09"), (12, "09-12"), (15, "12-15"), (18, "15-18"), (21, "18-21")]
 LAST_HOUR_BLOCK = "21-23"
 HOUR_BLOCKS = ["05-06", "06-09", "09-12", "12-15", "15-18", "18-21", "21-23"]
@@ -30,6 +30,7 @@ MONTH_NAMES = [
 ]
 DAY_NAMES = ["Domingo", "Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado"]
 
+# Months of the two rainy seasons.
 RAINY_MONTHS = [4, 5, 9, 10, 11]
 
 # Colombian public holidays of 2024.

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 CABLE_LINES = ["K", "J", "L", "H", "M", "P"]
 TRAM_LINES = ["TA"]
 
+# Fixed value: seconds of delay beyond which a line or vehicle is badly late.
 HIGH_DELAY_SECONDS = 300
 
 # Places per vehicle, and the share that counts as full.
 CAPACITY = {"metro": 1200, "tranvia": 300, "cable": 50}
 FULL_SHARE = 0.9
 
+# Fixed value: the time format of messages.
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 

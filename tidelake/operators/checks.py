@@ -56,6 +56,12 @@ def check_fk(child: DataFrame, parent: DataFrame, key: str, name: str = "fk") ->
     return missing.select(*_verdict(name, F.col("n") == 0, F.col("n"), F.lit(0)))
 
 
+def check_unique(df: DataFrame, key: str, name: str = "unique") -> DataFrame:
+    """Does every key value come once? A repeated key of a catalog would multiply the facts joined with it."""
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").agg(F.count(F.lit(1)).alias("n"))
+    return repeated.select(*_verdict(name, F.col("n") == 0, F.col("n"), F.lit(0)))
+
+
 def check_sequence(df: DataFrame, part: str, order: str) -> DataFrame:
     """One row per partition: does ``order`` run 1..n? Duplicates are reported before gaps.
 

@@ -23,6 +23,7 @@ def struct(spec: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (part.split() for part in spec.split(", "))])
 
 
+# Fixed values from here on: names, types and order of the columns of all files and tables.
 STOPS = struct("stop_id string, station_id string, linea string, orden int, tipo_servicio string")
 
 STATIONS = struct(
@@ -40,7 +41,7 @@ TRIP_COMMENTS = {
     "trip_id": "trip identifier (not unique by contract)",
     "stop_id_origen": "boarding stop",
     "stop_id_destino": "alighting stop",
-    "line": "line code, partition column",
+    "line": "line code",
     "passenger_count": "passengers on the trip",
     "delay_seconds": "reported delay in seconds",
     "trip_date": "service date",

@@ -36,7 +36,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 def _newest(spark: SparkSession, sf: str) -> Column:
     """The instant of the newest event, standing in for "now". Messages carry the time of their row."""
-    return adapters.table(spark, sf, "events").agg(F.max(F.col("ts").cast("timestamp"))).scalar()
+    newest = F.date_trunc("MILLISECOND", F.max(F.col("ts").cast("timestamp")))
+    return adapters.table(spark, sf, "events").agg(newest).scalar()
 
 
 def _closed(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
