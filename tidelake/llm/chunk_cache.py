@@ -9,17 +9,21 @@ from collections.abc import Callable
 _IRREGULAR = re.compile(r" \s|\s | $")
 #: Before a space that has no white space on either side.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: Signs that are no letters, digits, white space or apostrophes.
+_SIGNS = ".,;:!?*#$%&|"
 
 
 class ChunkCache:
     """``encode`` maps pieces of text to id bytes; pieces are cut before spaces between two non-white characters.
 
-    A splitter that lets a space stand only at the start of a match or inside white space has a boundary there in any text,
-    so the ids of a text are those of its pieces in order. The table is emptied when it is full.
+    The splitter must let a space stand only at the start of a match or inside white space, and must part letters and digits
+    from the signs behind them, as the byte-level patterns do. Then the ids of a text are those of its pieces in order, and
+    those of a piece are those of its word and of its closing signs. Two tables of up to ``most`` pieces are held: what is
+    not asked for while the younger one fills is forgotten with the older one.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 400_000):
-        self.encode, self.most, self.known = encode, most, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 300_000):
+        self.encode, self.most, self.young, self.old = encode, most, {}, {}
 
     def _pieces(self, text: str) -> list[str]:
         """Pieces by key: a later piece that starts with a space is held without it, the first one behind a NUL."""
@@ -33,17 +37,30 @@ class ChunkCache:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(text) for text in texts]
-        if len(self.known) > self.most:
-            self.known = {}
-        fresh = list({piece for pieces in cut for piece in pieces} - self.known.keys())
-        # A piece that itself starts with NUL cannot be told from a first one: it is encoded in its place below.
-        coded = self.encode([piece[1:] if piece[0] == "\0" else " " + piece for piece in fresh]) if fresh else []
-        self.known.update(zip(fresh, coded, strict=True))
-        known = self.known.__getitem__
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            if " \0" in text:
-                out.append(self.encode([text])[0])
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        missing = set().union(*cut) - self.young.keys()
+        again = missing & self.old.keys()
+        self.young.update((piece, self.old[piece]) for piece in again)
+        self._learn(missing - again)
+        known = self.young.__getitem__
+        # A later piece that itself starts with NUL looks like a first one: such texts are encoded whole.
+        return [self.encode([t])[0] if " \0" in t else b"".join(map(known, pieces)) for t, pieces in zip(texts, cut, strict=True)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        parts: list[tuple[str, str, str]] = []
+        fresh: set[str] = set()
+        for piece in pieces:
+            word = piece.rstrip(_SIGNS)
+            if len(word) < len(piece) and word and word[-1].isalnum():
+                signs = "\0" + piece[len(word) :]
+                parts.append((piece, word, signs))
+                fresh.add(word)
+                fresh.add(signs)
             else:
-                out.append(b"".join(map(known, pieces)))
-        return out
+                fresh.add(piece)
+        todo = list(fresh - self.young.keys())
+        coded = self.encode([piece[1:] if piece.startswith("\0") else " " + piece for piece in todo]) if todo else []
+        self.young.update(zip(todo, coded, strict=True))
+        for piece, word, signs in parts:
+            self.young[piece] = self.young[word] + self.young[signs]

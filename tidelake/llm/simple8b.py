@@ -29,16 +29,17 @@ def _choices(padded: np.ndarray, block: int) -> np.ndarray:
     # The exponent of a value as a float is its width; above 2**53 rounding can only make it one bit wider.
     exponent = (padded.astype(np.float64).view(np.int64) >> 52) - 1022
     widest = np.maximum(exponent, 0).astype(np.uint8)
-    chosen = np.full(padded.shape, ESCAPE, np.uint8)
+    fits = np.zeros(padded.shape, np.uint8)
     run = 1
-    for selector in range(len(FIELDS) - 1, 0, -1):
-        fields, bits = FIELDS[selector]
+    for fields, bits in FIELDS[:0:-1]:
         while run < fields:
             step = min(run, fields - run)
             widest[:, : padded.shape[1] - step] = np.maximum(widest[:, : padded.shape[1] - step], widest[:, step:])
             run += step
-        chosen[widest <= bits] = selector
-    return chosen[:, :block]
+        fits += widest <= bits
+    # More and narrower fields fit only where fewer and wider ones do, so the number of selectors that fit names the best.
+    fits = fits[:, :block]
+    return np.where(fits == 0, np.uint8(ESCAPE), np.uint8(len(FIELDS)) - fits)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:

@@ -44,8 +44,12 @@ class LibraryIds:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        # The model's own table costs more than it saves where every word comes once.
+        model = self.model.model
+        model._resize_cache(0) if hasattr(model, "_resize_cache") else None
+        self.model.model = model
         self.added = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.cache = ChunkCache(self._encode)
+        self.cache = ChunkCache(self._encode, 500_000)
 
         self.between = self.model.encode("\n", add_special_tokens=False).ids
 
