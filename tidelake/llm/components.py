@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import settle
 
 
-def _smaller(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) with a > b, without loops and repeats."""
+def _directed(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with a > b, without loops."""
     turned = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return turned.filter("a <> b").distinct()
+    return turned.filter("a <> b")
 
 
-def _star(directed: DataFrame, both: DataFrame) -> DataFrame:
-    """Link the rows of ``directed`` (node, other) to the least member of the node's neighbourhood in ``both``."""
+def _least(both: DataFrame) -> DataFrame:
+    """The least member of each node's neighbourhood, itself included."""
     least = both.groupBy("node").agg(F.min("other").alias("least"))
-    least = least.select("node", F.least("node", "least").alias("least"))
+    return least.select("node", F.least("node", "least").alias("least"))
+
+
+def _linked(directed: DataFrame, least: DataFrame) -> DataFrame:
+    """Link each row's other node to the least member of the node's neighbourhood."""
     return directed.join(least, "node").select(F.col("other").alias("a"), F.col("least").alias("b"))
 
 
@@ -28,15 +32,16 @@ def components(edges: DataFrame) -> DataFrame:
     pre-aggregated and joined back, so a node with a third of all edges is no group of its own. Rounds end when
     nothing changes; a component of n nodes takes some log n rounds.
     """
-    current = settle(_smaller(edges))
+    current = settle(_directed(edges).distinct())
     seen = None
     while True:
         there = current.select(F.col("a").alias("node"), F.col("b").alias("other"))
         back = current.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        large = _smaller(_star(back, there.unionByName(back)))
+        large = _directed(_linked(back, _least(there.unionByName(back))))
         down = large.select(F.col("a").alias("node"), F.col("b").alias("other"))
-        small = _star(down, down).unionByName(down.groupBy("node").agg(F.min("other").alias("b")).select(F.col("node").alias("a"), "b"))
-        current = settle(_smaller(small))
+        least = _least(down)
+        small = _linked(down, least).unionByName(least.select(F.col("node").alias("a"), F.col("least").alias("b")))
+        current = settle(_directed(small).distinct())
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == seen:
             break

@@ -25,6 +25,12 @@ SIMILARITY = 80
 COORDINATES = 48
 #: Two sets of similarity 0.8 collide in 38 of 48 coordinates on average, in fewer than 24 about once in a million pairs.
 MATCHES = 24
+#: Rounds in which documents meet one member of each list's largest component before they meet them all.
+ROUNDS = 3
+#: Shingle sets that a confirming task holds, to save reading a text again.
+HELD_SETS = 500
+#: Bits of the parity sketch.
+PARITIES = 1024
 SEED = 991
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -73,20 +79,32 @@ def signature(members: np.ndarray) -> np.ndarray:
     return ((np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)) | least).astype(np.int64)
 
 
-_SET = StructType([StructField("n", LongType()), StructField("digest", BinaryType()), StructField("keys", ArrayType(LongType()))])
+def parities(members: np.ndarray) -> np.ndarray:
+    """1024 bits: which hash residues a set holds an odd number of times.
+
+    Two sets differ in at least as many members as their bits differ, so the bits rule out pairs without an error.
+    """
+    odd = np.bincount((members % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+_LONGS = ArrayType(LongType())
+_SET = StructType([StructField("n", LongType()), StructField("digest", BinaryType()), StructField("keys", _LONGS), StructField("odd", _LONGS)])
 
 
 def _describe(size: int):
     @F.arrow_udf(_SET)
     def describe(texts: pa.Array) -> pa.Array:
-        counts, digests, keys = [], [], []
+        counts, digests, keys, odd = [], [], [], []
         for text in bytes_of(texts):
             members = shingles(text, size)
             counts.append(len(members))
             digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest() if len(members) else None)
             keys.append(signature(members) if len(members) else None)
+            odd.append(parities(members) if len(members) else None)
         return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["n", "digest", "keys"]
+            [pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64()))],
+            ["n", "digest", "keys", "odd"],
         )
 
     return describe
@@ -94,17 +112,22 @@ def _describe(size: int):
 
 def _confirm(size: int, similarity: int):
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
+        sets: dict[int, np.ndarray] = {}
+
+        def of(node: int, text: bytes) -> np.ndarray:
+            if node not in sets:
+                if len(sets) > HELD_SETS:
+                    sets.clear()
+                sets[node] = shingles(text, size)
+            return sets[node]
+
         for batch in batches:
             a, b, texts, others = batch.columns
             links = []
             for x, y, text, other in zip(a.to_pylist(), b.to_pylist(), bytes_of(texts), bytes_of(others), strict=True):
-                if y != last:
-                    last, held = y, shingles(other, size)
-                mine = shingles(text, size)
-                both = len(mine) + len(held)
-                common = both - len(np.union1d(mine, held))
-                if 100 * common >= similarity * (both - common):
+                mine, theirs = of(x, text), of(y, other)
+                common = len(np.intersect1d(mine, theirs, assume_unique=True))
+                if 100 * common >= similarity * (len(mine) + len(theirs) - common):
                     links.append((x, y))
             columns = list(zip(*links, strict=True)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
@@ -118,7 +141,7 @@ def _row_key(docs: DataFrame) -> list[Column]:
 
 
 class _Search:
-    """The candidate search and confirmation over one table of distinct shingle sets (node, doc_id, text_key, n, keys)."""
+    """The candidate search and confirmation over one table of distinct shingle sets (node, doc_id, text_key, n, keys, odd)."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, size: int, similarity: int):
         self.size, self.similarity = size, similarity
@@ -139,61 +162,86 @@ class _Search:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) those whose sets are similar: by length, then by collisions, then on the full sets."""
-        sides = self.active.select("node", "n", "keys")
-        one = sides.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("keys").alias("keys_a"))
-        two = sides.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("keys").alias("keys_b"))
-        close = self._lengths(F.col("n_a"), F.col("n_b")) & (F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES)
-        likely = settle(pairs.join(one, "a").join(two, "b").filter(close).select("a", "b"))
+        one, two = self._side("a"), self._side("b")
+        return self.read(settle(pairs.join(one, "a").join(two, "b").filter(self._likely()).select("a", "b")))
+
+    def read(self, likely: DataFrame) -> DataFrame:
+        """The pairs whose full sets are similar."""
         mine = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         other = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         read = likely.join(mine, "a").join(other, "b").select("a", "b", "text_a", "text_b")
         return settle(read.mapInArrow(_confirm(self.size, self.similarity), "a long, b long"))
 
-    def _lengths(self, n: Column, m: Column) -> Column:
-        return 100 * F.least(n, m) >= self.similarity * F.greatest(n, m)
+    def _side(self, name: str) -> DataFrame:
+        return self.active.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "keys", "odd", "prefix")])
+
+    def _likely(self) -> Column:
+        """Lengths and parities that similar sets can have, and enough collisions."""
+        n, m = F.col("n_a"), F.col("n_b")
+        lengths = 100 * F.least(n, m) >= self.similarity * F.greatest(n, m)
+        apart = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(PARITIES // 64)), F.lit(0))
+        parity = (100 + self.similarity) * apart <= (100 - self.similarity) * (n + m)
+        return lengths & parity & (F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES)
 
     def star_pairs(self) -> DataFrame:
         """Each posting with the least node of its list."""
         hubs = self.posted.groupBy("key").agg(F.min("node").alias("b"))
         return self.posted.join(hubs, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
+    def _mixed(self, roots: DataFrame, number: int) -> DataFrame:
+        """Postings of the lists that hold several components, with their root, the list's largest component and a member of it."""
+        placed = self.posted.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        member = F.min_by("node", F.xxhash64("node", "key", F.lit(number))).alias("member")
+        groups = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), member)
+        major = groups.groupBy("key").agg(
+            F.max_by(F.struct("root", "member"), F.struct("size", "root")).alias("major"), F.count(F.lit(1)).alias("groups")
+        )
+        return placed.join(major.filter("groups > 1").select("key", "major.member", F.col("major.root").alias("major")), "key")
+
+    def member_pairs(self, roots: DataFrame, number: int) -> DataFrame:
+        """Postings outside the largest component of their list, with another member of it in each list and round."""
+        return self._mixed(roots, number).filter("root <> major").select(F.col("node").alias("a"), F.col("member").alias("b")).distinct()
+
     def crossing_pairs(self, roots: DataFrame) -> DataFrame:
-        """Pairs of one list that are in different components so far.
+        """All likely pairs of one list that are in different components so far.
 
         Pairs inside a component need no test: another link would change nothing. In each list the largest component faces
-        the others, so a group that fills a list meets only the few that are not in it.
+        the others, so a group that fills a list meets only the few that are not in it. A pair comes from the
+        first list that it shares, if lengths and collisions allow it.
         """
-        placed = self.posted.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        groups = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-        major = groups.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("major"), F.count(F.lit(1)).alias("groups"))
-        mixed = settle(placed.join(major.filter("groups > 1").select("key", "major"), "key"))
-        minor = mixed.filter("root <> major").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-        against = mixed.select("key", "major", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+        mixed = self._mixed(roots, 0).select("key", "node", "root", "major")
+        minor = mixed.filter("root <> major").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
+        minor = settle(minor.join(self._side("a"), "a"))
+        against = mixed.select(F.col("key").alias("key_b"), "major", F.col("node").alias("b"), F.col("root").alias("root_b"))
+        against = settle(against.join(self._side("b"), "b"))
         apart = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("major")) | (F.col("b") < F.col("a")))
-        return minor.join(against, "key").filter(apart & self._lengths(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+        first = F.col("key") == F.array_min(F.array_intersect("prefix_a", "prefix_b"))
+        return minor.join(against, (F.col("key") == F.col("key_b")) & apart & self._likely() & first).select("a", "b")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id and kept of every row.
 
     Rows with equal sets are one class before anything is posted, so exact copies cost nothing more. Links are
-    searched in two rounds: each posting against the least member of its list, and then every pair of a list whose
-    members are not yet connected. component_id is the smallest id in the component, null ids last. Rows without words
+    searched in rounds: each posting against the least member of its list, those that are left against one member
+    of the largest component of each of their lists, and in the end every pair of a list whose members are not yet connected. component_id is the smallest id in the component, null ids last. Rows without words
     are linked with nothing and kept. Of several rows with the smallest id one text is kept; rows equal in id and
     text stay together. An empty table gives no rows; other columns are not read.
     """
     described = docs.select(*_row_key(docs), _describe(shingle)(F.col("text").cast("string")).alias("set"))
-    rows = settle(described.select("doc_id", "text_key", F.col("set.n").alias("n"), F.col("set.digest").alias("digest"), F.col("set.keys").alias("keys")))
+    rows = settle(described.select("doc_id", "text_key", F.col("set.n").alias("n"), F.col("set.digest").alias("digest"), F.col("set.keys").alias("keys"), F.col("set.odd").alias("odd")))
     order = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "text_key")
-    merged = rows.filter("n > 0").groupBy("digest", "n").agg(F.min(order).alias("first"), F.min("keys").alias("keys"))
-    classes = settle(merged.select(F.monotonically_increasing_id().alias("node"), "digest", "n", "keys", "first", "first.doc_id", "first.text_key"))
-    search = _Search(docs, classes.select("node", "doc_id", "text_key", "n", "keys"), shingle, similarity)
+    merged = rows.filter("n > 0").groupBy("digest", "n").agg(F.min(order).alias("first"), F.min("keys").alias("keys"), F.min("odd").alias("odd"))
+    classes = settle(merged.select(F.monotonically_increasing_id().alias("node"), "digest", "n", "keys", "odd", "first", "first.doc_id", "first.text_key"))
+    search = _Search(docs, classes.select("node", "doc_id", "text_key", "n", "keys", "odd"), shingle, similarity)
 
     links = search.confirmed(search.star_pairs())
     roots = settle(components(links))
-    more = search.confirmed(search.crossing_pairs(roots))
-    if not more.isEmpty():
-        roots = settle(components(links.unionByName(more)))
+    for number in range(1, ROUNDS + 1):
+        more = search.confirmed(search.member_pairs(roots, number)) if number < ROUNDS else search.read(settle(search.crossing_pairs(roots)))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            roots = settle(components(links))
 
     member = classes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     heads = member.groupBy("root").agg(F.min("first").alias("head"))
