@@ -65,6 +65,26 @@ def test_patterns_without_faith_are_dropped(spark):
     assert {r.n_found for r in p.private_spans(docs).collect()} == {0}
 
 
+def test_contexts_find_identifiers_of_other_shapes(spark):
+    """Phones without the plus, spaced cards and addresses that the fixed patterns miss, behind and before the words of many seeds."""
+    valid = [n for n in range(4_000_000_000_000_000, 4_000_000_000_000_900) if luhn(str(n))][:40]
+    rows = [(i, f"please call +1 (7{i:02}) 555-3{i:03} tonight") for i in range(40)]
+    rows += [(100 + i, f"write to user{i}.x@mail{i}.example.com soon") for i in range(40)]
+    rows += [(200 + i, f"charge card {n} today") for i, n in enumerate(valid)] + [(300 + i, f"server 10.1.{i}.7 answers") for i in range(40)]
+    want = {
+        1000: ("please call (743) 555-3824 tonight", "phone", "(743) 555-3824"), 1001: ("please call 743-555-3824 tonight", "phone", "743-555-3824"),
+        1002: ("now write to user@host soon", "email", "user@host"), 1003: ("now write to user at host soon", "email", "user at host"),
+        1004: ("charge card 4000 0000 0000 0001 today", "card", "4000 0000 0000 0001"), 1005: ("server a.1.2 answers", "ip", "a.1.2"),
+        1006: ("write to user at host dot org soon", "email", "user at host dot org"), 1007: ("please call 743 555 3825, 7 times", "phone", "743 555 3825"),
+    }
+    none = {2000: "they were at home in 1999 and 743 555 3824 of 12", 2001: "please read 7 books tonight"}
+    docs = spark.createDataFrame(rows + [(i, t) for i, (t, _, _) in want.items()] + list(none.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in p.private_spans(docs).collect()}
+    for i, (text, kind, value) in want.items():
+        assert (got[i].spans, got[i].n_found) == (f"{kind}:{text.index(value)}:{text.index(value) + len(value)}", 1), text
+    assert [got[i].spans for i in none] == ["", ""] and all(got[i].n_found == 0 for i, _ in rows)
+
+
 def test_clean_texts_and_no_rows(small_docs, no_docs):
     spans = p.private_spans(small_docs).toPandas()
     clean = {i for i, t in rows_of(small_docs.select("doc_id", "text")) if not re.search("[0-9@]", t or "")}

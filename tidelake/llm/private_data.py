@@ -1,7 +1,7 @@
 """Personal data by fixed patterns, extended by bootstrapped contextual extraction.
 
-The fixed patterns find seed entities. A seed's neighbouring words and its shape make lexical patterns; every other
-identifier-like word makes the same kind of patterns. Spark scores the graph of patterns and instances in rounds: a pattern
+The fixed patterns find seed entities. A seed's neighbouring words, with its shape, with a coarse class or alone, make lexical
+patterns; everything else like an identifier makes the same kind of patterns, over several words as the seeds. Spark scores the graph of patterns and instances in rounds: a pattern
 is as good as the share of its instances that are believed, an instance is believed if its patterns are good.
 Patterns that end above the limit mark the unseen identifiers that they hold.
 """
@@ -9,6 +9,7 @@ Patterns that end above the limit mark the unseen identifiers that they hold.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -36,7 +37,19 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9@]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: What a text without candidates lacks.
+_HINT = re.compile(r"[0-9@]|(?<![^\x20\x09-\x0D])[\[({<]?[aA][tT][\])}>]?(?![^\x20\x09-\x0D])")
+#: Words; those without a digit or @ in the first group.
+_WORD = re.compile(r"([^\x20\x09-\x0D0-9@]++(?![^\x20\x09-\x0D]))|[^\x20\x09-\x0D]+")
+#: Words of a number written in several: the first ones end in a digit or bracket. Words that only join two of them.
+_NUMBER = re.compile(r"[^\w@]*[0-9][0-9()\[\]./+-]*[^\w@]*")
+_GOES_ON = re.compile(r".*[0-9)\]]\Z", re.DOTALL)
+_JOINS = frozenset("-./–")
+_AT = frozenset(left + "at" + right for left, right in ("[]", "()", "{}", "<>")) | {"at"}
+_DOT = frozenset(("dot", "(dot)", "[dot]", "{dot}", "<dot>"))
+_USER = re.compile(r"[^\W_](?:[\w.%+-]*\w)?\Z")
+#: Digits of the longest number that is taken over several words, as of a card.
+MOST_DIGITS = 19
 _EDGE = "\"'`.,;:!?()[]{}<>|#*$%&="
 
 
@@ -91,41 +104,108 @@ def _context(word: str) -> str:
     return word.strip(_EDGE).lower()[:40]
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
-    """(start, end, kind or -1, value, patterns) of the seeds and of every other word with four digits or an @.
+def classes(value: str) -> list[str]:
+    """The coarse classes of a value: an address, dotted, or by its count of digits; numbers may be in two."""
+    if "@" in value or not _DIGIT.search(value):
+        return ["@"]
+    digits = sum("0" <= c <= "9" for c in value)
+    kind = "x" if re.search(r"[^\W\d_]", value) else ""
+    out = ["dots"] if max(value.count("."), value.count(":")) > 1 else []
+    ranges = (("few", 1, 3), ("some", 4, 6), ("phone", 7, 15), ("card", 13, MOST_DIGITS), ("many", MOST_DIGITS + 1, digits))
+    return out + [kind + name for name, low, high in ranges if low <= digits <= high]
+
+
+def _patterns(value: str, before: str, after: str) -> list[str]:
+    """The word on the left, the one on the right, or both, each with the coarse classes and with the shape; both alone."""
+    forms = [f"C{c}" for c in classes(value)] + [f"S{shape(value)}"]
+    sides = [f"L {before}"] * bool(before) + [f"R {after}"] * bool(after) + [f"B {before} {after}"] * bool(before and after)
+    return [f"{side} {form}" for side in sides for form in forms] + [f"A {before} {after}"] * bool(before and after)
+
+
+def _addresses(text: str, words: list[tuple[int, int]], k: int, free: list[bool]) -> int:
+    """The last word of an address written around word k, as user at host dot org or user @ host; k if there is none."""
+    if not 0 < k < len(words) - 1 or not (free[k - 1] and free[k] and free[k + 1]):
+        return k
+    if not (_USER.match(text[slice(*words[k - 1])]) and _USER.match(text[slice(*words[k + 1])].rstrip(_EDGE))):
+        return k
+    last = k + 1
+    while last + 2 < len(words) and free[last + 1] and free[last + 2] and text[slice(*words[last + 1])].lower() in _DOT:
+        last += 2
+    return last
+
+
+def _unseen(text: str, words: list[tuple[int, int]], hot: list[int], free: list[bool]) -> Iterator[tuple[int, int]]:
+    """First and last word of everything like an identifier: words with a digit or @, numbers and addresses over several words.
 
-    A pattern is the shape with the word on the left, with the one on the right, or with both.
+    Of a run of number words these are the words, and the run and its beginnings and ends of up to MOST_DIGITS digits.
     """
-    if not _DIGIT.search(text):
+    done = -1
+    for k in hot:
+        if not free[k]:
+            continue
+        word = text[slice(*words[k])]
+        if word == "@" or word.lower() in _AT:
+            last = _addresses(text, words, k, free)
+            if last > k:
+                yield k - 1, last
+            continue
+        yield k, k
+        if word.endswith("@") and k + 1 < len(words) and free[k + 1]:
+            yield k, k + 1
+        if k <= done or not _NUMBER.fullmatch(word):
+            continue
+        run, at = [k], k
+        while _GOES_ON.match(text[slice(*words[at])]):
+            following = at + 2 if at + 2 < len(words) and free[at + 1] and text[slice(*words[at + 1])] in _JOINS else at + 1
+            if following >= len(words) or not free[following] or not _NUMBER.fullmatch(text[slice(*words[following])]):
+                break
+            if text[words[at][1] : words[following][0]].strip(" -./–"):
+                break
+            run.append(following)
+            at = following
+        done = run[-1]
+        digits = [sum("0" <= c <= "9" for c in text[slice(*words[w])]) for w in run]
+        for order in (range(len(run)), range(len(run) - 1, -1, -1)):
+            total, first = 0, order[0]
+            for n, w in enumerate(order):
+                total += digits[w]
+                if total > MOST_DIGITS:
+                    break
+                # One word was taken before; the whole run is taken once, from its start.
+                if n and (order.step > 0 or w):
+                    yield run[min(first, w)], run[max(first, w)]
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, list[str]]]:
+    """(start, end, kind or -1, value, patterns) of the seeds and of all else that is like an identifier; the latter may overlap."""
+    if not _HINT.search(text):
         return []
-    out, at, words = [], 0, [(m.start(), m.end()) for m in _WORD.finditer(text)]
-    taken = [(a, b, k) for a, k, b in spans]
-    k = 0
-    while k < len(words):
-        start, end = words[k]
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        kind, first, last = -1, k, k
-        if at < len(taken) and taken[at][0] < end:
-            start, end, kind = taken[at]
-            while last + 1 < len(words) and words[last + 1][0] < end:
-                last += 1
-        else:
-            inner = text[start:end]
-            left = len(inner) - len(inner.lstrip(_EDGE))
-            start, end = start + left, start + left + len(inner.strip(_EDGE))
-            if "@" not in inner and sum("0" <= c <= "9" for c in inner) < 4:
-                k += 1
-                continue
-        if end > start:
-            value = text[start:end]
-            form = shape(value)
-            before = _context(text[slice(*words[first - 1])]) if first else ""
-            after = _context(text[slice(*words[last + 1])]) if last + 1 < len(words) else ""
-            patterns = [f"L {before} {form}"] * bool(before) + [f"R {after} {form}"] * bool(after)
-            patterns += [f"B {before} {after} {form}"] * bool(before and after)
-            out.append((start, end, kind, value[:200], patterns))
-        k = last + 1
+    words, hot = [], []
+    for m in _WORD.finditer(text):
+        word = m.span()
+        if m.lastindex is None or (word[1] - word[0] <= 4 and m.group().lower() in _AT):
+            hot.append(len(words))
+        words.append(word)
+    starts, free = [a for a, _ in words], [True] * len(words)
+    found: list[tuple[int, int, int, int, int]] = []  # start, end, kind, first and last word
+    for start, kind, end in spans:
+        first, last = bisect_right(starts, start) - 1, bisect_right(starts, end - 1) - 1
+        free[first : last + 1] = [False] * (last + 1 - first)
+        found.append((start, end, kind, first, last))
+    for first, last in _unseen(text, words, hot, free):
+        inner = text[words[first][0] : words[last][1]]
+        start = words[first][0] + len(inner) - len(inner.lstrip(_EDGE))
+        end = words[first][0] + len(inner.rstrip(_EDGE))
+        if start < end and text[start - 1 : start] == "(" and start > words[first][0] and ")" in text[start:end]:
+            start -= 1
+        if start < end:
+            found.append((start, end, -1, first, last))
+    out = []
+    for start, end, kind, first, last in sorted(found):
+        value = text[start:end]
+        before = _context(text[slice(*words[first - 1])]) if first else ""
+        after = _context(text[slice(*words[last + 1])]) if last + 1 < len(words) else ""
+        out.append((start, end, kind, value[:200], _patterns(value, before, after)))
     return out
 
 
@@ -192,7 +272,17 @@ def private_spans(docs: DataFrame) -> DataFrame:
     unseen = some.filter("c.kind < 0").select("row", "c.start", "c.end", F.explode("c.patterns").alias("pattern")).join(trusted, "pattern")
     best = unseen.groupBy("row", "start", "end").agg(F.max_by("of", F.struct("score", -F.col("of"))).alias("of"))
     names = F.array(*[F.lit(k) for k in KINDS])
-    extra = best.groupBy("row").agg(F.collect_list(F.struct("start", "of", "end")).alias("extra"))
+    # Of overlapping spans the first and longest stays.
+    every = F.sort_array(F.collect_list(F.struct("start", (-F.col("end")).alias("back"), "of")))
+    span = "struct<start:bigint,of:int,end:bigint>"
+    apart = F.aggregate(
+        every, F.array().cast(f"array<{span}>"),
+        lambda out, s: F.when(
+            s["start"] >= F.coalesce(F.try_element_at(out, F.lit(-1))["end"], F.lit(0)),
+            F.concat(out, F.array(F.struct(s["start"].alias("start"), s["of"].alias("of"), (-s["back"]).alias("end")).cast(span))),
+        ).otherwise(out),
+    )
+    extra = best.groupBy("row").agg(apart.alias("extra"))
     both = found.drop("unseen").join(extra, "row", "left")
     parsed = F.transform(
         F.filter(F.split("base", ","), lambda s: s != ""),
