@@ -85,6 +85,17 @@ def test_contexts_find_identifiers_of_other_shapes(spark):
     assert [got[i].spans for i in none] == ["", ""] and all(got[i].n_found == 0 for i, _ in rows)
 
 
+def test_believed_values_make_further_patterns(spark):
+    """Numbers found beside seeds stand behind a word that no seed has; what else stands there is found in the next generation."""
+    seeds = [f"dial +1 (7{i:02}) 555-3{i:03} tonight" for i in range(60)]
+    known = [f"7{i:02}-555-4{i:03}" for i in range(12)]
+    texts = [*seeds, *(f"dial {n} tonight" for n in known), *(f"hotline {n} morning" for n in known), "hotline 799-555-4999 morning", "desk 799-555-4998 morning"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in p.private_spans(docs).collect()}
+    assert all(got[i].n_found == (i >= 60) for i in range(84))
+    assert got[84].spans == "phone:8:20"
+
+
 def test_clean_texts_and_no_rows(small_docs, no_docs):
     spans = p.private_spans(small_docs).toPandas()
     clean = {i for i, t in rows_of(small_docs.select("doc_id", "text")) if not re.search("[0-9@]", t or "")}

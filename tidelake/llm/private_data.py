@@ -2,7 +2,8 @@
 
 The fixed patterns find seed entities. A seed's neighbouring words, with its shape, with a coarse class or alone, make lexical
 patterns; everything else like an identifier makes the same kind of patterns, over several words as the seeds. Spark scores the graph of patterns and instances in rounds: a pattern
-is as good as the share of its instances that are believed, an instance is believed if its patterns are good.
+is as good as the share of its instances that are believed, an instance is believed if one of its patterns is good; believed
+instances count as seeds of the next round.
 Patterns that end above the limit mark the unseen identifiers that they hold.
 """
 
@@ -21,8 +22,10 @@ from tidelake.llm.common import settle, slices, table, texts_of
 #: In the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
 SLICE = 8 << 20
-ROUNDS = 3
-#: Instances (distinct words) that a pattern must have, how many of them seeds, and the score that it must reach.
+#: Rounds at most, and the movement of a score below which it stands still.
+ROUNDS = 10
+STILL = 0.001
+#: Instances (distinct words) that a pattern must have, how many of them seeds or believed, and the score that it must reach.
 MIN_INSTANCES = 5
 MIN_SEEDS = 3
 CONFIDENCE = 0.8
@@ -236,25 +239,38 @@ def _find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def good_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind and score of the patterns that bootstrapping trusts.
 
-    ``edges`` has distinct (pattern, value, kind), kind -1 for values that no fixed pattern knows. A pattern belongs to the kind
-    of most of its seeds. Scores: of a pattern the mean belief in its values, with some doubt added; of an unknown
+    ``edges`` has distinct (pattern, value, kind), kind -1 for values that no fixed pattern knows. In each round a pattern belongs
+    to the kind of most of the belief in its values, seeds or not, so that values found in one round make patterns eligible
+    in the next. Scores: of a pattern the mean belief in its values, with some doubt added; of an unknown
     value that of its best pattern, if it reaches the limit (a value's patterns share a context, so they are no independent
-    witnesses). Values that are seeds of another kind count against a pattern.
+    witnesses). Values that are seeds of another kind count against a pattern. The rounds end when no pattern passes anew and no
+    score moves by more than STILL, or after ``rounds``.
     """
-    seeds = edges.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-    owned = seeds.groupBy("pattern").agg(F.max_by("kind", F.struct("seeds", -F.col("kind"))).alias("of"), F.max("seeds").alias("seeds"))
-    graph = settle(edges.join(owned.filter(F.col("seeds") >= MIN_SEEDS), "pattern"))
-    belief = F.when(F.col("kind") == F.col("of"), 1.0).when(F.col("kind") >= 0, 0.0)
-    scored = graph.withColumn("belief", F.coalesce(belief, F.lit(0.0)))
-    patterns = None
+    # The number of a pattern's values never changes, so smaller patterns can be left out from the start.
+    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_INSTANCES)
+    graph = settle(edges.join(sizes, "pattern"))
+    unknown = graph.filter("kind < 0").drop("kind")
+    sums = [F.sum("support").alias("support"), F.sum("good").alias("good")]
+    seeds = graph.filter("kind >= 0").groupBy("pattern", "n", F.col("kind").alias("of")).agg(F.count(F.lit(1)).alias("support"))
+    seeds = settle(seeds.withColumn("good", F.col("support").cast("double")))
+    support, patterns = seeds, None
     for _ in range(rounds):
-        patterns = scored.groupBy("pattern", "of", "seeds").agg(F.count(F.lit(1)).alias("n"), F.sum("belief").alias("good"))
-        patterns = settle(patterns.select("pattern", "of", "seeds", "n", (F.col("good") / (F.col("n") + DOUBT)).alias("score")))
-        backed = graph.join(patterns.select("pattern", "score", "n"), "pattern").filter(F.col("n") >= MIN_INSTANCES)
-        values = backed.groupBy("value", "of").agg(F.max("score").alias("back"))
-        scored = graph.join(values, ["value", "of"], "left")
-        scored = scored.withColumn("belief", F.coalesce(belief, F.when(F.col("back") >= CONFIDENCE, F.col("back")), F.lit(0.0)))
-    return patterns.filter((F.col("n") >= MIN_INSTANCES) & (F.col("score") >= CONFIDENCE)).select("pattern", "of", "score")
+        best = F.max_by(F.struct("of", "support", "good"), F.struct("good", -F.col("of"))).alias("best")
+        owned = support.groupBy("pattern", "n").agg(best).select("pattern", "n", "best.*")
+        scored = owned.withColumn("score", F.col("good") / (F.col("n") + DOUBT))
+        passed = scored.filter((F.col("support") >= MIN_SEEDS) & (F.col("score") >= CONFIDENCE)).select("pattern", "of", "score")
+        before, patterns = patterns, settle(passed)
+        if before is None:
+            moved = patterns
+        else:
+            old = before.withColumnRenamed("score", "old")
+            moved = patterns.join(old, ["pattern", "of"], "left").filter(F.col("old").isNull() | (F.abs(F.col("score") - F.col("old")) > STILL))
+        if moved.isEmpty():
+            break
+        believed = settle(unknown.join(patterns, "pattern").groupBy("value", "of").agg(F.max("score").alias("back")))
+        more = unknown.join(believed, "value").groupBy("pattern", "n", "of").agg(F.count(F.lit(1)).alias("support"), F.sum("back").alias("good"))
+        support = seeds.unionByName(more).groupBy("pattern", "n", "of").agg(*sums)
+    return patterns
 
 
 def private_spans(docs: DataFrame) -> DataFrame:
