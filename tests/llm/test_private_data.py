@@ -96,6 +96,19 @@ def test_believed_values_make_further_patterns(spark):
     assert got[84].spans == "phone:8:20"
 
 
+def test_long_words_with_a_common_beginning_are_distinct(spark):
+    def nodes(text):
+        (found,) = p.candidates(text, p.base_spans(text))
+        return found[3:]
+
+    long = "x" * 300
+    values = [nodes(f"mail {long}{i}@host now")[0] for i in range(3)]
+    assert len(set(values)) == 3 and max(map(len, values)) < 200
+    assert not set(nodes(f"{long}a 12345 {long}b")[1]) & set(nodes(f"{long}c 12345 {long}d")[1])
+    one, other = (nodes(f"left {'-1' * 60}{end} right")[1] for end in ("-1", "_1"))
+    assert len(set(one) - set(other)) == 3  # the shapes, on either side and both
+
+
 def test_clean_texts_and_no_rows(small_docs, no_docs):
     spans = p.private_spans(small_docs).toPandas()
     clean = {i for i, t in rows_of(small_docs.select("doc_id", "text")) if not re.search("[0-9@]", t or "")}

@@ -9,6 +9,7 @@ Patterns that end above the limit mark the unseen identifiers that they hold.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
@@ -51,6 +52,8 @@ _JOINS = frozenset("-./–")
 _AT = frozenset(left + "at" + right for left, right in ("[]", "()", "{}", "<>")) | {"at"}
 _DOT = frozenset(("dot", "(dot)", "[dot]", "{dot}", "<dot>"))
 _USER = re.compile(r"[^\W_](?:[\w.%+-]*\w)?\Z")
+#: Characters of a value, shape or neighbouring word beyond which a hash stands for it.
+LONG = 48
 #: Digits of the longest number that is taken over several words, as of a card.
 MOST_DIGITS = 19
 _EDGE = "\"'`.,;:!?()[]{}<>|#*$%&="
@@ -100,11 +103,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def shape(word: str) -> str:
     """A word with runs of digits as 9 and their length (up to 20), runs of letters as a, everything else as it is."""
     out = re.sub(r"[0-9]+", lambda m: f"9{min(len(m.group()), 20)}", word)
-    return re.sub(r"[^\W\d_]+", "a", out)[:80]
+    return re.sub(r"[^\W\d_]+", "a", out)
+
+
+def node(text: str) -> str:
+    """A text as the key of a node: itself, or a hash of all of it where it is long."""
+    return text if len(text) <= LONG else f"#{hashlib.blake2b(text.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
 
 
 def _context(word: str) -> str:
-    return word.strip(_EDGE).lower()[:40]
+    return node(word.strip(_EDGE).lower())
 
 
 def classes(value: str) -> list[str]:
@@ -120,7 +128,7 @@ def classes(value: str) -> list[str]:
 
 def _patterns(value: str, before: str, after: str) -> list[str]:
     """The word on the left, the one on the right, or both, each with the coarse classes and with the shape; both alone."""
-    forms = [f"C{c}" for c in classes(value)] + [f"S{shape(value)}"]
+    forms = [f"C{c}" for c in classes(value)] + [f"S{node(shape(value))}"]
     sides = [f"L {before}"] * bool(before) + [f"R {after}"] * bool(after) + [f"B {before} {after}"] * bool(before and after)
     return [f"{side} {form}" for side in sides for form in forms] + [f"A {before} {after}"] * bool(before and after)
 
@@ -208,7 +216,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
         value = text[start:end]
         before = _context(text[slice(*words[first - 1])]) if first else ""
         after = _context(text[slice(*words[last + 1])]) if last + 1 < len(words) else ""
-        out.append((start, end, kind, value[:200], _patterns(value, before, after)))
+        out.append((start, end, kind, node(value), _patterns(value, before, after)))
     return out
 
 
