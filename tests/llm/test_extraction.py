@@ -50,6 +50,22 @@ def test_broken_markup():
     assert html_extract.main_text("<div " * 2000) == ""
 
 
+GOOD = "The man of the house was in the garden for most of the day and it was good to be there."
+
+
+def test_elements_that_end_without_a_closing_tag():
+    for page in (
+        f"<html><head><title>no</title><meta charset=x><body><p>{GOOD}", f"<head><title>no</title><div><p>{GOOD}</div>", f"<head><title>no</title>{GOOD}",
+        f'<article><svg viewBox="0 0 1 1"/><p>{GOOD}</article>', f"<article><math /><p>{GOOD}</article>", f"<article><svg><style/><path/></svg><p>{GOOD}</article>",
+        f"<table><tr><td><aside>no<td>{GOOD}<tr><td><nav>no</table>", f"<ul><li><div><form>no</form><li>{GOOD}</ul>", f"<dl><dt><button>no</button><dd>{GOOD}</dl>",
+    ):
+        assert html_extract.main_text(page) == GOOD, page
+    cells = html_extract.blocks_of('<table><tr><td class="ad">one<td>two<tr><th class="ad">three<tr><td>four</table>after')
+    assert [b.text for b in cells if not b.framed and not getattr(b, "named", 0)] == ["two", "four", "after"]
+    items = html_extract.blocks_of('<ul><li class="promo">one<li>two<ul><li class="ad">in</ul>of two<li>three</ul><dl><dt class="ad">four<dd>five</dl>')
+    assert [b.text for b in items if not b.framed and not getattr(b, "named", 0)] == ["two", "of two", "three", "five"]
+
+
 def test_every_page_against_its_article_element(spark):
     """In these pages everything outside the article element is frame."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")

@@ -28,6 +28,17 @@ BLOCK = {
     "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th",
     "thead", "tr", "ul",
 }
+FOREIGN = {"svg", "math"}
+#: What an opening tag closes, as browsers read it. Cells look for it up to the table, items through these only.
+SIBLINGS = {
+    "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "option": {"option"}, "optgroup": {"option", "optgroup"},
+    "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"td", "th", "tr", "caption"},
+    **{name: {"td", "th", "tr", "thead", "tbody", "tfoot", "caption"} for name in ("thead", "tbody", "tfoot")},
+}
+THROUGH = {"address", "div", "p"}
+CELLS = {"td", "th", "tr", "thead", "tbody", "tfoot"}
+#: Elements that may stand in a head; any other ends it.
+HEAD = {"head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes", "style", "script", "noscript", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words in class, id or role that mark a container as not part of the article.
 FRAME_NAMES = set(
@@ -89,6 +100,9 @@ def blocks_of(page: str) -> list[Block]:
     at, size = 0, len(page)
 
     def add(text: str) -> None:
+        if open_tags and open_tags[-1][0] == "head" and text.strip():
+            open_tags.pop()
+            boundary()
         if text:
             current.parts.append(text)
             if links:
@@ -101,6 +115,15 @@ def blocks_of(page: str) -> list[Block]:
         _, framed, within = open_tags[-1] if open_tags else ("", False, False)
         current = Block(framed, within, any(t[0] in HEADINGS for t in open_tags[-3:]))
 
+    def close_siblings(name: str) -> None:
+        outermost = len(open_tags)
+        for k in range(len(open_tags) - 1, -1, -1):
+            if open_tags[k][0] in SIBLINGS[name]:
+                outermost = k
+            elif open_tags[k][0] == "table" or (name not in CELLS and open_tags[k][0] not in THROUGH):
+                break
+        del open_tags[outermost:]
+
     while at < size:
         found = _MARKUP.search(page, at)
         if not found:
@@ -111,11 +134,16 @@ def blocks_of(page: str) -> list[Block]:
         name = (found[2] or "").lower()
         if not name:
             continue
+        if open_tags and open_tags[-1][0] == "head" and name not in HEAD and (found[1] != "/" or name in ("body", "html")):
+            open_tags.pop()
+            boundary()
         closing = found[1] == "/"
         if name == "a":
             links = 0 if closing else 1
         if name == "br":
             add("\n")
+        elif name in RAW and not closing and found[3].endswith("/") and any(t[0] in FOREIGN for t in open_tags):
+            continue
         elif name in RAW and not closing:
             end = _ENDS[name].search(page, at)
             at = end.end() if end else size
@@ -125,10 +153,12 @@ def blocks_of(page: str) -> list[Block]:
                 depth = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name), -1)
                 if depth >= 0:
                     del open_tags[depth:]
-            elif name not in VOID:
-                # A new block ends an open paragraph, as browsers read it.
-                if open_tags and open_tags[-1][0] == "p":
+            elif name not in VOID and not (name in FOREIGN and found[3].endswith("/")):
+                # A new block ends an open paragraph, as browsers read it, and a new item or cell those before it.
+                if open_tags and open_tags[-1][0] == "p" and name not in FOREIGN:
                     open_tags.pop()
+                if name in SIBLINGS:
+                    close_siblings(name)
                 _, framed, within = open_tags[-1] if open_tags else ("", False, False)
                 inside = within or name in BODY
                 out = framed or name in UNSEEN or name in FRAME or (name == "header" and not inside) or (name not in ("html", "body") and _frames(found[3]))
