@@ -66,6 +66,19 @@ def test_elements_that_end_without_a_closing_tag():
     assert [b.text for b in items if not b.framed and not getattr(b, "named", 0)] == ["two", "of two", "three", "five"]
 
 
+def test_names_are_a_feature_and_no_override():
+    for page in (
+        f'<div class="content has-sidebar"><p>{GOOD}</div>', f'<div class="no-sidebar with-comments"><p>{GOOD}</div>', f'<article class="post share-open"><p>{GOOD}</article>',
+        f'<article class="promo"><p>{GOOD}</article>', f'<div data-id="ad" data-role="menu" title="x class=ad"><p>{GOOD}</div>',
+        f'<nav>a menu</nav><div class="widget"><p>{GOOD}</p></div><footer>an end</footer>', f'<div class="related"><article>Short</article></div><div><p>{GOOD}</p></div>',
+    ):
+        assert html_extract.main_text(page) == GOOD, page
+    page = f"""<article><h1>Title</h1><p>{GOOD}</p><h2 id="discussion">Talk</h2><p class="form-validation">{GOOD}</p><section id="search"><h2>Search</h2><p>{GOOD}</p></section>
+    <div class="ad">Buy now</div><div class="comments-list"><p>I was the first.</p></div><p>{GOOD}</p></article>"""
+    assert html_extract.main_text(page).split("\n") == ["Title", GOOD, "Talk", GOOD, "Search", GOOD, GOOD]
+    assert [html_extract.speaks_against(x) for x in (' class="mainAdBox"', " id=AD", ' role="navigation"', ' class="cookie_notice"', ' class="adapt"', ' id="sharing-data"')] == [True] * 4 + [False] * 2
+
+
 def test_every_page_against_its_article_element(spark):
     """In these pages everything outside the article element is frame."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")

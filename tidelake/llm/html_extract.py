@@ -40,7 +40,7 @@ CELLS = {"td", "th", "tr", "thead", "tbody", "tfoot"}
 #: Elements that may stand in a head; any other ends it.
 HEAD = {"head", "title", "meta", "link", "base", "basefont", "bgsound", "noframes", "style", "script", "noscript", "template"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Words in class, id or role that mark a container as not part of the article.
+#: Words in class, id or role that speak against a container: as a whole name or as the noun at its end, without MODIFIERS.
 FRAME_NAMES = set(
     """ad ads adv advert adverts advertisement advertising adbox adslot banner sponsor sponsored promo promotion nav navbar navigation menu
     breadcrumb breadcrumbs footer masthead topbar toolbar sidebar aside rail widget widgets related recommended recommendations share sharing
@@ -48,6 +48,10 @@ FRAME_NAMES = set(
     comment comments commentlist discussion respond replies reply disqus form search pagination pager skip copyright complementary
     contentinfo paywall""".split()
 )
+#: Words of place or form behind the noun, and words that make a name say something about another element.
+PLACES = {"left", "right", "top", "bottom", "box", "area", "list", "item", "items", "section", "block", "links", "buttons"}
+MODIFIERS = {"has", "no", "not", "non", "with", "without", "is", "hide", "show", "before", "after", "above", "below", "under", "beside", "to"}
+NEVER_NAMED = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
 # Frequent function words of the four languages.
 STOP_WORDS = {
     "en": "the of and to in a is that it for was on are as with be this by at from or have an not which but they his her has had were been their its you we can will would there all one so if when who what more no out up about into than them only some could these two may then do",
@@ -67,8 +71,8 @@ _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^\"'<>])*+)(?:>|$|(?=<))",
     re.DOTALL,
 )
-_NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 _ENDS = {name: re.compile(rf"</{name}\s*>|</{name}$", re.IGNORECASE) for name in RAW}
 
@@ -84,19 +88,32 @@ class Block:
     linked: int = 0
     text: str = ""
     label: int = 0
+    #: The number of the nearest container whose name speaks against it; 0 if there is none.
+    named: int = 0
 
 
-def _frames(attributes: str) -> bool:
-    names = (x for found in _NAMED.findall(attributes) for x in found if x)
-    return any(part.lower() in FRAME_NAMES for name in names for part in _NAME_PARTS.findall(name))
+def speaks_against(attributes: str) -> bool:
+    """Whether class, id or role has a name of FRAME_NAMES."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id", "role"):
+            for token in "".join(values).split():
+                parts = [part.lower() for part in _NAME_PARTS.findall(token)]
+                if token.lower() in FRAME_NAMES:
+                    return True
+                while len(parts) > 1 and parts[-1] in PLACES:
+                    parts.pop()
+                if parts and parts[-1] in FRAME_NAMES and MODIFIERS.isdisjoint(parts):
+                    return True
+    return False
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order; text of unseen elements is left out."""
     done: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, framed, within an article
+    open_tags: list[tuple[str, bool, bool, int]] = []  # name, framed, within an article, number of the named container
     current = Block(False, False, False)
     links = 0
+    containers = 0
     at, size = 0, len(page)
 
     def add(text: str) -> None:
@@ -112,8 +129,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal current
         if current.parts:
             done.append(current)
-        _, framed, within = open_tags[-1] if open_tags else ("", False, False)
-        current = Block(framed, within, any(t[0] in HEADINGS for t in open_tags[-3:]))
+        _, framed, within, named = open_tags[-1] if open_tags else ("", False, False, 0)
+        current = Block(framed, within, any(t[0] in HEADINGS for t in open_tags[-3:]), named=named)
 
     def close_siblings(name: str) -> None:
         outermost = len(open_tags)
@@ -159,10 +176,13 @@ def blocks_of(page: str) -> list[Block]:
                     open_tags.pop()
                 if name in SIBLINGS:
                     close_siblings(name)
-                _, framed, within = open_tags[-1] if open_tags else ("", False, False)
+                _, framed, within, named = open_tags[-1] if open_tags else ("", False, False, 0)
                 inside = within or name in BODY
-                out = framed or name in UNSEEN or name in FRAME or (name == "header" and not inside) or (name not in ("html", "body") and _frames(found[3]))
-                open_tags.append((name, out, inside))
+                out = framed or name in UNSEEN or name in FRAME or (name == "header" and not inside)
+                if found[3] and not out and name not in NEVER_NAMED and speaks_against(found[3]):
+                    containers += 1
+                    named = containers
+                open_tags.append((name, out, inside, named))
             links = 0
             boundary()
     boundary()
@@ -225,12 +245,33 @@ def second_pass(labels: list[int], within: list[bool]) -> list[int]:
     return out
 
 
+def first_labels(blocks: list[Block]) -> list[int]:
+    """The first pass over a page, with the names of containers as a feature.
+
+    A container whose name speaks against it is boilerplate unless a block in it reads like content. If one does, its blocks are
+    labelled as if it had no name inside a marked article, or where such containers hold more of the page's content than all the
+    rest; elsewhere they are undecided.
+    """
+    labels = [first_pass(b, False) for b in blocks]
+    # In a marked article a long text with few links will do, as rare stop words prove nothing there.
+    prose = [x > 0 or (x == 0 and b.within and not b.heading and len(b.text) >= SHORT_CHARS) for b, x in zip(blocks, labels, strict=True)]
+    good = {b.named for b, x in zip(blocks, prose, strict=True) if x}
+    kept = [not b.framed and (not b.named or b.named in good) for b in blocks]
+    article = any(b.within and k for b, k in zip(blocks, kept, strict=True))
+    sizes = [len(b.text) if x and (b.within or not article) else 0 for b, x in zip(blocks, prose, strict=True)]
+    named = sum(n for b, n in zip(blocks, sizes, strict=True) if b.named)
+    for i, b in enumerate(blocks):
+        if not kept[i] or (article and not b.within):
+            labels[i] = -1
+        elif b.named and not b.within and labels[i] > 0 and 2 * named <= sum(sizes):
+            labels[i] = 0
+    return labels
+
+
 def main_text(page: str) -> str:
     """The content blocks of a page, one a line."""
     blocks = blocks_of(page)
-    article = any(b.within and not b.framed for b in blocks)
-    labels = [first_pass(b, article) for b in blocks]
-    final = second_pass(labels, [b.within for b in blocks])
+    final = second_pass(first_labels(blocks), [b.within for b in blocks])
     return "\n".join(b.text for b, label in zip(blocks, final, strict=True) if label > 0)
 
 
