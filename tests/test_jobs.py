@@ -1,9 +1,11 @@
 import datetime as dt
 import random
+import time
 
 from tests.test_streaming import message, write_files
 from tidelake import __main__ as cli
 from tidelake import schemas
+from tidelake.streaming import jobs
 
 STOPS = "stop_id,station_id,linea,orden,tipo_servicio\nA1,S1,A,1,metro\nA2,S2,A,2,metro\nK1,S2,K,1,cable\n"
 STATIONS = (
@@ -59,3 +61,22 @@ def test_all_jobs(spark, tmp_path, capsys):
     assert "400" in out and "most alerts" in out
     assert "OK_EXISTS" in job("health")
     assert "station_alerts" in job("clean")
+
+
+def test_stream_counts_late_rows_of_its_last_batches(spark, tmp_path, monkeypatch):
+    """Progress reaches the listener late; the command ends only when all of it is counted."""
+
+    class Slow(jobs.LateRows):
+        def onQueryProgress(self, event):
+            time.sleep(0.5)
+            super().onQueryProgress(event)
+
+    monkeypatch.setattr(jobs, "LateRows", Slow)
+    catalog, root = tmp_path / "catalog", str(tmp_path / "lake")
+    catalog.mkdir()
+    (catalog / "paradas.csv").write_text(STOPS, encoding="utf-8")
+    (catalog / "estaciones.csv").write_text(STATIONS, encoding="utf-8")
+    write_files(tmp_path / "in", *([message(100_000 + n)] if n % 2 else [message(n)] for n in range(1, 7)))
+    cli.main(["--root", root, "--catalog", str(catalog), "stream", "--format", "json", "--source", str(tmp_path / "in"), "--once", "--max-per-trigger", "1"])
+    late = {r["query"]: r.dropped for r in jobs.late_rows(spark, f"{root}/ops/late_rows").collect()}
+    assert late["station_occupancy"] == 2

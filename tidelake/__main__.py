@@ -102,10 +102,15 @@ def stream(lake: Lake, args: argparse.Namespace) -> None:
     )
     late = jobs.LateRows(lake.spark, f"{lake.ops}/late_rows")
     lake.spark.streams.addListener(late)
+    queries = []
     try:
-        jobs.await_all(jobs.start_all(raw, lake.stops(), lake.stations(), lake.ops, settings))
+        queries = jobs.start_all(raw, lake.stops(), lake.stations(), lake.ops, settings)
+        jobs.await_all(queries)
     finally:
-        lake.spark.streams.removeListener(late)
+        try:
+            late.await_ended(queries)
+        finally:
+            lake.spark.streams.removeListener(late)
 
 
 def clean(lake: Lake, args: argparse.Namespace) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,6 +121,7 @@ class LateRows(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -133,7 +135,15 @@ class LateRows(StreamingQueryListener):
             tables.put_batch(rows, self.path, f"{progress.id}-{progress.batchId}")
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.add(str(event.runId))
+
+    def await_ended(self, queries: list[StreamingQuery], seconds: float = 600) -> None:
+        """Wait until every batch of the queries that have ended is counted: a query's events come in order, its end last."""
+        until = time.monotonic() + seconds
+        while missing := [q for q in queries if not q.isActive and str(q.runId) not in self.ended]:
+            if time.monotonic() > until:
+                raise TimeoutError(f"late rows of {[q.name for q in missing]} may be missing in {self.path}")
+            time.sleep(0.05)
 
 
 def late_rows(spark: SparkSession, path: str) -> DataFrame:
