@@ -1,0 +1,58 @@
+from collections import defaultdict
+
+import pytest
+
+from tidelake.operators.ordering import number_rows, rank_all
+
+
+def key(value):
+    return (value is not None, value if value is not None else 0)
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    """One group with most of the rows, ties, nulls in both columns, rows that repeat."""
+    rows = [("hot", i * 7919 % 503) for i in range(3000)] + [("b", 5)] * 4 + [(None, 1), (None, None), ("b", None), ("", 2)]
+    return spark.createDataFrame(rows, "g string, _at int")
+
+
+def by_group(rows, *, at):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row.g].append((row[1], row[at]))
+    return groups
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_numbers_without_a_gap(scores, parts):
+    got = number_rows(scores, ["g"], ["_at"], "n", "of", parts=parts)
+    assert got.columns == ["g", "_at", "n", "of"]
+    rows = got.collect()
+    assert len(rows) == scores.count()
+    for g, pairs in by_group(rows, at="n").items():
+        pairs.sort(key=lambda p: p[1])
+        assert [n for _, n in pairs] == list(range(len(pairs)))
+        assert [key(v) for v, _ in pairs] == sorted(key(v) for v, _ in pairs)
+        assert {r.of for r in rows if r.g == g} == {len(pairs)}
+
+
+def test_whole_table_as_one_group(spark, scores):
+    rows = number_rows(scores, [], ["g", "_at"], "n", parts=5).collect()
+    rows.sort(key=lambda r: r.n)
+    assert [r.n for r in rows] == list(range(len(rows)))
+    want = sorted((key(r.g), key(r._at)) for r in rows) if all(r.g is not None for r in rows) else None
+    assert want is None or [(key(r.g), key(r._at)) for r in rows] == want
+    assert number_rows(scores.limit(0), [], ["g"], "n").collect() == []
+
+
+def test_no_window_over_all_rows(scores):
+    plan = number_rows(scores, [], ["g", "_at"], "n", parts=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and plan.index("Aggregate") > plan.index("Window")  # the window numbers counts only
+
+
+def test_ranks_with_ties(scores):
+    rows = rank_all(scores, ["g"], ["_at"], "rank").collect()
+    assert len(rows) == scores.count()
+    for pairs in by_group(rows, at="rank").values():
+        values = sorted(key(v) for v, _ in pairs)
+        assert sorted((key(v), r) for v, r in pairs) == [(v, values.index(v) + 1) for v in values]

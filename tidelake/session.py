@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Event times, calendar slots and window bounds are all UTC.
 CORRECTNESS_SETTINGS = {
@@ -72,3 +72,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_root(spark)}/tidelake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared folder, so that lost executors cost no rerun of what made it."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    return df.checkpoint()
