@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.llm import (
-    bpe, exact_dedup, html_extract, minhash_join, mixing, private_data, quality_rules, sharding, token_counts, token_files,
+    bpe, exact_dedup, html_extract, merkle, minhash_join, mixing, private_data, quality_rules, sharding, token_counts, token_files,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_bpe": bpe.query,
     "op10_sharding": sharding.query,
+    "op12_merkle": merkle.query,
 }
 
 # DuckDB twins of the queries that SQL can express; the others are held against brute force in tests/llm.
