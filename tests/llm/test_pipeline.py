@@ -18,7 +18,7 @@ def test_twins(spark, name):
 
 def test_registered():
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in (*range(1, 11), 12)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
 
