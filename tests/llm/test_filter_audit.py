@@ -119,7 +119,7 @@ def test_words_of_long_texts(monkeypatch):
 @pytest.mark.parametrize("salts", [1, 5])
 def test_labels_too_large_to_broadcast(spark, monkeypatch, salts):
     monkeypatch.setattr(filter_audit, "broadcast_if_small", lambda df: df)
-    rows = spark.range(50).select(F.lit(0).alias("rank"), F.col("id").alias("doc_id"), F.lit("p").alias("part"), F.lit(0).alias("mask"), F.col("id").cast("string").cast("binary").alias("key"))
+    rows = spark.range(50).select(F.lit(0).alias("rank"), F.col("id").alias("doc_id"), F.lit("p").alias("part"), F.lit(0).alias("mask"), F.col("id").alias("high"), F.lit(0).cast("long").alias("low"))
     flags = spark.createDataFrame([(i, 1) for i in range(0, 50, 2)], "_labelled long, label int")
     got = {r.doc_id: r.label for r in filter_audit.with_labels(rows, flags, salts).collect()}
     assert got == {i: int(i % 2 == 0) for i in range(50)}

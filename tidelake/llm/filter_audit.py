@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from hashlib import sha256
 from itertools import permutations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,11 +41,13 @@ _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Order among ids: present ones by value, then absent ones; LATE rows follow a smaller id of their text for certain.
 PRESENT, ABSENT, LATE = 0, 1, 2
-NARROW = "rank int, doc_id long, part string, mask int, key binary"
-COMBINED = "key binary, rank int, doc_id long, part string, mask int, label int, n long"
+NARROW = "rank int, doc_id long, part string, mask int, high long, low long"
+COMBINED = "bucket long, high long, low long, rank int, doc_id long, part string, mask int, label int, n long"
 DELTAS = "part string, mask int, label int, n bigint"
-#: The smallest id met of a text, and the rows that have it: [part, label, number] as JSON.
-STATE = "rank int, doc_id long, held string"
+#: Texts by their key, as JSON: [high, low, rank, doc_id, [[part, label, number], ...]] with the smallest id met and the rows that have it.
+STATE = "texts string"
+#: Texts that one state holds on average: a call of the state function costs some milliseconds, a text some microseconds.
+TEXTS = 256
 
 
 def word_counts(raw: bytes) -> tuple[int, int]:
@@ -76,15 +79,15 @@ def _masks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = bytes_of(batch.column(2))
         points = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
         masks = [text_mask(raw, n) for raw, n in zip(texts, points, strict=True)]
-        keys = [sha256(raw).digest() for raw in texts]
+        keys = np.frombuffer(b"".join([sha256(raw).digest()[:16] for raw in texts]), "<i8").reshape(-1, 2)
         ids = batch.column(0)
         rank = pc.if_else(pc.is_null(ids), ABSENT, PRESENT).cast(pa.int32())
-        columns = [rank, pc.fill_null(ids, 0), batch.column(1), pa.array(masks, pa.int32()), pa.array(keys, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["rank", "doc_id", "part", "mask", "key"])
+        columns = [rank, pc.fill_null(ids, 0), batch.column(1), pa.array(masks, pa.int32()), pa.array(keys[:, 0]), pa.array(keys[:, 1])]
+        yield pa.RecordBatch.from_arrays(columns, names=["rank", "doc_id", "part", "mask", "high", "low"])
 
 
 def text_masks(docs: DataFrame) -> DataFrame:
-    """rank, doc_id, part, mask of the filters A to D, and the SHA-256 of the text as its key, of every row."""
+    """rank, doc_id, part, mask of the filters A to D, and 128 bits of the text's SHA-256 as its key, of every row."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(_masks, NARROW)
 
@@ -102,35 +105,40 @@ def with_labels(rows: DataFrame, flags: DataFrame, salts: int = SALTS) -> DataFr
     same = (F.col("doc_id") == F.col("_labelled")) & (F.col("rank") == PRESENT)
     side = broadcast_if_small(flags)
     if side is flags:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(salts)))
+        rows = rows.withColumn("_salt", F.pmod("high", F.lit(salts)))
         side = flags.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         same = same & (F.col("_salt") == F.col("_copy"))
-    return rows.join(side, same, "left").select("rank", "doc_id", "part", "mask", "key", F.coalesce("label", F.lit(0)).alias("label"))
+    return rows.join(side, same, "left").select("rank", "doc_id", "part", "mask", "high", "low", F.coalesce("label", F.lit(0)).alias("label"))
 
 
-def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _combine(buckets: int):
     """Rows of one text in a task: those of its smallest id there keep it, the others are counted as late."""
-    names = ["key", "rank", "doc_id", "part", "mask", "label"]
-    kinds = [pa.binary(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64()]
-
-    def combined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).select(names).sort_by([("key", "ascending"), ("rank", "ascending"), ("doc_id", "ascending")])
-        frame = rows.to_pandas()
-        first = frame.groupby("key", sort=False)[["rank", "doc_id"]].transform("first")
-        late = (frame["rank"] != first["rank"]) | (frame["doc_id"] != first["doc_id"])
-        frame.loc[late, "rank"], frame.loc[late, "doc_id"] = LATE, 0
-        frame = frame.groupby(names, sort=False).size().reset_index(name="n")
-        return pa.RecordBatch.from_arrays([pa.array(frame[c], k) for c, k in zip([*names, "n"], kinds, strict=True)], names=[*names, "n"])
-
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.num_rows
-        if size >= COMBINE:
-            yield combined(held)
-            held, size = [], 0
-    if size:
-        yield combined(held)
+    names = ["high", "low", "rank", "doc_id", "part", "mask", "label"]
+
+    def combined(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).select(names).sort_by([(c, "ascending") for c in names[:4]])
+        high, low, rank, ids = (rows[c].to_numpy() for c in names[:4])
+        opens = np.append(True, (high[1:] != high[:-1]) | (low[1:] != low[:-1]))
+        first = np.flatnonzero(opens)[np.cumsum(opens) - 1]
+        late = (rank != rank[first]) | (ids != ids[first])
+        rows = rows.set_column(2, "rank", pa.array(np.where(late, LATE, rank).astype(np.int32)))
+        rows = rows.set_column(3, "doc_id", pa.array(np.where(late, 0, ids)))
+        counted = rows.group_by(names).aggregate([([], "count_all")]).rename_columns([*names, "n"])
+        bucket = pa.array(counted["high"].to_numpy().view(np.uint64) % np.uint64(buckets)).cast(pa.int64())
+        yield from counted.add_column(0, "bucket", bucket).combine_chunks().to_batches()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= COMBINE:
+                yield from combined(held)
+                held, size = [], 0
+        if size:
+            yield from combined(held)
+
+    return run
 
 
 def _deltas(rows: list[tuple], before: tuple | None) -> tuple[Counter, tuple]:
@@ -157,32 +165,24 @@ def _deltas(rows: list[tuple], before: tuple | None) -> tuple[Counter, tuple]:
     return deltas, (*first, held)
 
 
-_FRAMES: dict[tuple, pd.DataFrame] = {}
-
-
-def _frame(deltas: Counter) -> pd.DataFrame:
-    """The rows of some deltas. Most texts add one row that others have added too, so frames of one row are kept."""
-    rows = tuple((*k, n) for k, n in deltas.items() if n)
-    if len(rows) != 1:
-        return pd.DataFrame(rows, columns=["part", "mask", "label", "n"])
-    if rows not in _FRAMES:
-        if len(_FRAMES) > 10_000:
-            _FRAMES.clear()
-        _FRAMES[rows] = pd.DataFrame(rows, columns=["part", "mask", "label", "n"])
-    return _FRAMES[rows]
-
-
-def _update(_key, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    names = ["rank", "doc_id", "part", "mask", "label", "n"]
-    rows = [row for frame in frames for row in zip(*[frame[c].tolist() for c in names], strict=True)]
-    before = None
-    if state.exists:
-        rank, doc_id, held = state.get
-        before = (rank, doc_id, {(part, label): n for part, label, n in json.loads(held)})
-    deltas, (rank, doc_id, held) = _deltas(rows, before)
-    if before != (rank, doc_id, held):
-        state.update((rank, doc_id, json.dumps([[part, label, n] for (part, label), n in held.items()])))
-    yield _frame(deltas)
+def _update(_bucket, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """The state of some texts whose keys fall into one bucket, each text by itself."""
+    names = ["high", "low", "rank", "doc_id", "part", "mask", "label", "n"]
+    rows: dict[tuple, list[tuple]] = {}
+    for frame in frames:
+        for high, low, *row in zip(*[frame[c].tolist() for c in names], strict=True):
+            rows.setdefault((high, low), []).append(tuple(row))
+    texts: dict[tuple, tuple] = {}
+    for high, low, rank, doc_id, held in json.loads(state.get[0]) if state.exists else []:
+        texts[high, low] = (rank, doc_id, {(part, label): n for part, label, n in held})
+    total: Counter = Counter()
+    for key, new in rows.items():
+        deltas, texts[key] = _deltas(new, texts.get(key))
+        for counter, n in deltas.items():
+            total[counter] += n
+    kept = [[*key, rank, doc_id, [[part, label, n] for (part, label), n in held.items()]] for key, (rank, doc_id, held) in texts.items()]
+    state.update((json.dumps(kept, separators=(",", ":")),))
+    yield pd.DataFrame([(*counter, n) for counter, n in total.items() if n], columns=["part", "mask", "label", "n"])
 
 
 def stored_stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
@@ -199,13 +199,15 @@ def stored_stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
 def count_masks(spark: SparkSession, path: str, labels: DataFrame, root: str, batches: int = BATCHES) -> DataFrame:
     """part, mask, label and n: rows of the documents at ``path`` by the set of filters that they fail.
 
-    A stream reads all files there are, in about ``batches`` micro-batches. Its state, one row for each text, lies in
-    RocksDB; copies are combined in their task before they meet it. Each micro-batch writes its changes of the counters in place of
+    A stream reads all files there are, in about ``batches`` micro-batches. Its state has every text by its key, some 256 texts a
+    row, and lies in RocksDB; copies are combined in their task before they meet it. Each micro-batch writes its changes of the counters in place of
     those that it may have written before, so a replay after a failure changes nothing. The counters are their sum.
     """
     flags = settle(label_flags(labels))
-    rows = with_labels(text_masks(stored_stream(spark, path, batches)), flags).mapInArrow(_combine, COMBINED)
-    deltas = rows.groupBy("key").applyInPandasWithState(_update, DELTAS, STATE, "update", "NoTimeout")
+    buckets = max(1, spark.read.parquet(path).count() // TEXTS)  # from the files' footers
+    masked = with_labels(text_masks(stored_stream(spark, path, batches)), flags)
+    rows = masked.mapInArrow(_combine(buckets), COMBINED)
+    deltas = rows.groupBy("bucket").applyInPandasWithState(_update, DELTAS, STATE, "update", "NoTimeout")
 
     def add(batch: DataFrame, batch_id: int) -> None:
         changes = batch.groupBy("part", "mask", "label").agg(F.sum("n").alias("n"))
