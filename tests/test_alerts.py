@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from tidelake import schemas
 from tidelake.operators.runs import running_sum_with_resets
 from tidelake.session import scratch
-from tidelake.streaming import alerts
+from tidelake.streaming import alerts, store
 from tidelake.streaming.events import timed_events
 from tests.test_streaming import START, message, write_files
-from tidelake.sources import tables
 
 
 def brute_force(events, terminals, threshold=300):
@@ -91,8 +90,9 @@ def carried(spark, catalog, tmp_path, batches, events):
         sink(moves, n)
         sink(moves, n)  # a replay
         if n == 1:
-            alerts.compact_runs(spark, f"{root}/state")
-    fired = tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS))
+            store.merge(spark, f"{root}/alerts", alerts.ALERTS, "vehicle_id")
+        assert len(alerts._snapshots(spark, f"{root}/state")) <= 2
+    fired = store.rows(spark, f"{root}/alerts", alerts.ALERTS)
     got = sorted((r.vehicle_id, r.event_id, r.accumulated_delay) for r in fired.collect())
     assert got == brute_force(events, TERMINALS)
 

@@ -91,7 +91,7 @@ def test_salted_join_gives_the_same(spark, catalog, monkeypatch):
         F.current_timestamp().alias("event_time"), F.when(F.col("id") % 3 == 0, "X").otherwise("A1").alias("stop_id"),
     )
     plain = ev.enrich_events(df, stops, stations).groupBy("station_id", "stop_name").count().collect()
-    monkeypatch.setattr(ev, "is_small", lambda frame: False)
+    monkeypatch.setattr(ev, "is_small", lambda frame, **more: False)
     salted = ev.enrich_events(df, stops, stations, salts=4)
     assert salted.columns == ["event_id", "vehicle_id", "event_time", "stop_id", "station_id", "stop_name"]
     assert sorted(salted.groupBy("station_id", "stop_name").count().collect()) == sorted(plain)

@@ -7,7 +7,7 @@ from tidelake import schemas
 from tidelake.operators import dimensions
 from tidelake.operators.rules import reject_reason
 from tidelake.plans import silver
-from tidelake.sources import tables
+from tidelake.sources import refreshed
 
 DAY = dt.date(2024, 1, 1)
 NOW = dt.datetime(2024, 1, 2)
@@ -75,12 +75,12 @@ def test_refresh_counts_on_the_way(spark, bad, dim, tmp_path):
     silver.refresh_silver(path, bad, dim)
     second = silver.refresh_silver(path, bad, dim)
     assert second["null_key"] == 4 and second["orphan_origin"] == 2 and second["_read"] == 22
-    assert tables.read(spark, path).count() == 8
+    assert refreshed.read(spark, path).count() == 8
 
 
 def test_enrich_same_without_broadcast(spark, bad, dim, monkeypatch):
     few = silver.build_silver(bad, dim).drop("silver_ingestion_ts")
-    monkeypatch.setattr(dimensions, "is_small", lambda df: False)
+    monkeypatch.setattr(dimensions, "is_small", lambda df, **more: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         many = silver.build_silver(bad, dim).drop("silver_ingestion_ts")

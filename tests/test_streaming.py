@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelake import schemas
 from tidelake.sources import streams
-from tidelake.streaming import jobs, sinks, windows
+from tidelake.streaming import jobs, sinks, store, windows
 from tidelake.streaming.events import enrich_events, timed_events
 
 START = dt.datetime(2026, 5, 18, 14, 0, 0)
@@ -66,7 +66,7 @@ def test_windows_close_and_upsert(spark, catalog, tmp_path):
     alerts = {r.station_id: r for r in tables["station_alerts"].collect()}
     assert (alerts["S1"].delay_alerts, alerts["S1"].capacity_alerts, alerts["S1"].total_alerts) == (1, 0, 1)
     assert (alerts["S2"].line, alerts["S2"].total_alerts) == ("K", 1)
-    log = spark.read.text(str(tmp_path / "out" / "log" / "station_alerts"))
+    log = store.rows(spark, str(tmp_path / "out" / "log" / "station_alerts"), sinks.LOG)
     lines = [json.loads(r.value) for r in log.collect()]
     assert {"2026-05-18T14:01:00Z"} == {x["window_start"] for x in lines} and len(lines) == 2
 
@@ -158,7 +158,7 @@ def test_new_checkpoint_loses_nothing(spark, catalog, tmp_path):
         jobs.start_window_query(rows, "again", writer, root, jobs.StreamSettings(trigger=settings.trigger)).awaitTermination()
     kept = sinks.history(spark, str(tmp_path / "kept"), schemas.STATION_ALERTS)
     assert {r.station_id for r in kept.collect()} == {"S1", "S2"}
-    assert spark.read.text(str(tmp_path / "lines")).count() == 2
+    assert store.rows(spark, str(tmp_path / "lines"), sinks.LOG).count() == 2
 
 
 def test_latest_never_goes_back(spark, tmp_path):
@@ -217,7 +217,7 @@ def test_late_rows_of_more_batches_than_progress_keeps(spark, catalog, tmp_path)
     finally:
         spark.streams.removeListener(listener)
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
-    assert [r.asDict() for r in jobs.late_rows(spark, path).collect()] == [{"query": "station_occupancy", "dropped": 9}]
+    assert [r.asDict() for r in jobs.late_rows(spark, path).collect()] == [{"query": jobs.JOB, "dropped": 9}]
     assert kept < 9
 
 

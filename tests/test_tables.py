@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidelake import schemas
 from tidelake.plans import bronze
-from tidelake.sources import namespaces, tables
+from tidelake.sources import files, loads, namespaces, tables
 from tests.test_jobs import trips
 
 
@@ -76,8 +76,41 @@ def test_namespaces(spark):
     namespaces.ensure_namespace(spark, "lake_ns")
     spark.range(3).write.mode("overwrite").saveAsTable("lake_ns.numbers")
     assert namespaces.table_exists(spark, "lake_ns.numbers")
+    spark.range(1).createOrReplaceTempView("session_view")
     assert [r.tableName for r in namespaces.list_tables(spark, "lake_ns").collect()] == ["numbers"]
+    spark.catalog.dropTempView("session_view")
     assert [r.col_name for r in namespaces.describe(spark, "lake_ns.numbers").collect()] == ["id"]
     namespaces.drop_table(spark, "lake_ns.numbers")
     assert not namespaces.table_exists(spark, "lake_ns.numbers")
     namespaces.drop_namespace(spark, "lake_ns")
+
+
+def test_loads_are_numbered_by_time(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for key, at, rows in (("b", "2026-01-02", 3), ("a", "2026-01-01", 2), ("c", "2026-01-02", 4)):
+        tables.put_batch(spark.range(rows).withColumn("at", F.lit(at).cast("timestamp")), path, key)
+    table = tables.read(spark, path)
+    got = [(r.snapshot_id, r.batch_key, r.added_records, r.total_records) for r in loads.history(table, "at").orderBy("snapshot_id").collect()]
+    assert got == [(1, "a", 2, 2), (2, "b", 3, 5), (3, "c", 4, 9)]
+    assert loads.as_of_load(table, 2, "at").count() == 5 and loads.as_of_time(table, "2026-01-01 12:00:00", "at").count() == 2
+    assert tuple(loads.delta(table, 1, 3, "at").first()) == (2, 9, 7)
+    # Loaded again: the batch moves behind the others, and its old rows are gone.
+    tables.put_batch(spark.range(1).withColumn("at", F.lit("2026-01-03").cast("timestamp")), path, "a")
+    assert [r.batch_key for r in loads.history(tables.read(spark, path), "at").orderBy("snapshot_id").collect()] == ["b", "c", "a"]
+    assert tables.batch_keys(spark, path) == {"a", "b", "c"} and tables.batch_keys(spark, str(tmp_path / "none")) == set()
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    wanted = schemas.struct("station_id string, nombre string, latitud double")
+    path = tmp_path / "stations.csv"
+    path.write_text("nombre,extra,latitud,station_id\nNiquía,x,6.5,S1\n", encoding="utf-8")
+    assert [tuple(r) for r in files.read_csv(spark, str(path), wanted).collect()] == [("S1", "Niquía", 6.5)]
+    path.write_text("nombre,station_id\nNiquía,S1\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="latitud"):
+        files.read_csv(spark, str(path), wanted)
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("station_id,nombre,latitud\nS1,N,1\n", encoding="utf-8")
+    (folder / "b.csv").write_text("nombre,station_id,latitud\nN,S1,1\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(folder), wanted).collect()

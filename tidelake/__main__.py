@@ -1,8 +1,8 @@
 """Jobs for ``spark-submit``:
 
     python -m tidelake --root <lake> --catalog <folder> ingest <batch.csv>
-    python -m tidelake --root <lake> --catalog <folder> silver | gold | history | validate | compare | serve | health | clean
-    python -m tidelake --root <lake> --catalog <folder> stream --format kafka --source <servers>
+    python -m tidelake --root <lake> --catalog <folder> silver | gold | update | history | validate | compare | serve | health | clean
+    python -m tidelake --root <lake> --catalog <folder> stream | vehicles --format kafka --source <servers>
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from tidelake.plans import gold, integration, serving
 from tidelake.plans.bronze import batch_summary
 from tidelake.plans.lake import GOLD, Lake
 from tidelake.session import build_session
-from tidelake.sources import streams, tables
-from tidelake.streaming import jobs
+from tidelake.sources import streams
+from tidelake.streaming import alerts, jobs, store
+
 
 def show(title: str, df: DataFrame, args: argparse.Namespace) -> None:
     """Write a report in full below ``--out``, and print its first ``--rows`` rows with the total."""
@@ -61,6 +62,14 @@ def refresh_gold(lake: Lake, args: argparse.Namespace) -> None:
     show("thresholds", gold.threshold_rollup(shares), args)
 
 
+def update_gold(lake: Lake, args: argparse.Namespace) -> None:
+    """Aggregate states of new batches only; the merged tables."""
+    print("updated", lake.update_gold(args.batch))
+    show("busiest slots", gold.top_slots(lake.merged_gold(GOLD[0])), args)
+    show("high demand", gold.top_demand(lake.merged_gold(GOLD[2])), args)
+    show("lines, by sketches", lake.merged_gold("lineas_aproximado"), args)
+
+
 def validate(lake: Lake, args: argparse.Namespace) -> None:
     """The catalog of the rail network: 49 stations, 57 stops, 6 transfer stations."""
     stops, stations = lake.stops(), lake.stations()
@@ -92,19 +101,22 @@ def validate(lake: Lake, args: argparse.Namespace) -> None:
     show("totals", checks.report_totals(results), args)
 
 
-def stream(lake: Lake, args: argparse.Namespace) -> None:
+def source(lake: Lake, args: argparse.Namespace) -> DataFrame:
     if args.format == "kafka":
-        raw = streams.kafka_stream(lake.spark, args.source, args.topic, args.group, max_per_trigger=args.max_per_trigger)
-    else:
-        raw = streams.file_stream(lake.spark, args.source, args.format, files_per_trigger=args.max_per_trigger)
+        return streams.kafka_stream(lake.spark, args.source, args.topic, args.group, max_per_trigger=args.max_per_trigger)
+    return streams.file_stream(lake.spark, args.source, args.format, files_per_trigger=args.max_per_trigger)
+
+
+def stream(lake: Lake, args: argparse.Namespace) -> None:
     settings = jobs.StreamSettings(
-        window=args.window, delay=args.delay, trigger={"availableNow": True} if args.once else None, log=True
-    )
+        window=args.window, delay=args.delay, trigger={"availableNow": True} if args.once else None, log=True,
+        merge_every=args.merge_every,
+    )
     late = jobs.LateRows(lake.spark, f"{lake.ops}/late_rows")
     lake.spark.streams.addListener(late)
     queries = []
     try:
-        queries = jobs.start_all(raw, lake.stops(), lake.stations(), lake.ops, settings)
+        queries = jobs.start_all(source(lake, args), lake.stops(), lake.stations(), lake.ops, settings)
         jobs.await_all(queries)
     finally:
         try:
@@ -113,8 +125,16 @@ def stream(lake: Lake, args: argparse.Namespace) -> None:
             lake.spark.streams.removeListener(late)
 
 
+def vehicles(lake: Lake, args: argparse.Namespace) -> None:
+    """Alerts of vehicles whose delay adds up, carried from micro-batch to micro-batch."""
+    trigger = {"availableNow": True} if args.once else None
+    query = alerts.start_edge_alerts(source(lake, args), lake.stops(), lake.ops, trigger, ttl=args.ttl, merge_every=args.merge_every)
+    jobs.await_all([query])
+    show("vehicle alerts", alerts.vehicle_alerts(lake.spark, lake.ops), args)
+
+
 def clean(lake: Lake, args: argparse.Namespace) -> None:
-    """Remove expired rows of the operational tables for good; schedule it between micro-batches."""
+    """Merge the micro-batches of the operational tables and leave expired rows behind; it may run beside the stream."""
     jobs.purge_all(lake.spark, lake.ops, now(args))
     show("rows", checks.row_counts(lake.operational()), args)
 
@@ -131,7 +151,7 @@ def compare(lake: Lake, args: argparse.Namespace) -> None:
 def serve(lake: Lake, args: argparse.Namespace) -> None:
     found = lake.operational(now(args))
     rollup = serving.alert_rollup(found["station_alerts"], now(args))
-    show("one station", serving.occupancy_of(found["station_occupancy"], args.station), args)
+    show("one station", jobs.station_state(lake.spark, lake.ops, args.station, now(args)), args)
     show("fullest stations", serving.top_occupancy(found["station_occupancy"]), args)
     show("critical lines", serving.critical_lines(found["line_delays"]), args)
     show("alerts of one station", serving.alert_rollup(found["station_alerts"], now(args), args.station), args)
@@ -143,7 +163,7 @@ def serve(lake: Lake, args: argparse.Namespace) -> None:
 def health(lake: Lake, args: argparse.Namespace) -> None:
     """State of every table; one that was never written is MISSING, and stays so."""
     spark, found = lake.spark, lake.operational(now(args))
-    there = {name: found[name] if tables.exists(spark, f"{lake.ops}/{name}") else None for name in found}
+    there = {name: found[name] if store.exists(spark, f"{lake.ops}/{name}") else None for name in found}
     fresh = [checks.check_fresh(there[name], "last_updated", 300, now(args), name, spark) for name in ("station_occupancy", "line_delays")]
     alerts = checks.check_exists(there["station_alerts"], "window_end", "station_alerts", spark).drop("n")
     show("freshness", checks.report([*fresh, alerts]), args)
@@ -157,6 +177,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidelake")
     top.add_argument("--root", required=True, help="shared folder of the lake")
     top.add_argument("--catalog", required=True, help="folder with the stop and station files")
+    top.add_argument("--namespace", help="namespace of the catalog with a view of every refreshed table")
     top.add_argument("--as-of", help="instant to use as now, UTC")
     top.add_argument("--out", help="folder to which every report is written in full")
     top.add_argument("--rows", type=int, default=50, help="rows of a report that are printed, with the total")
@@ -168,28 +189,34 @@ def parser() -> argparse.ArgumentParser:
         commands.add_parser(name)
     commands.add_parser("serve").add_argument("--station", default="EST-015")
     commands.add_parser("compare").add_argument("--zone", help="local time zone of the service blocks")
-    live = commands.add_parser("stream")
-    live.add_argument("--format", default="kafka", choices=["kafka", "json", "parquet"])
-    live.add_argument("--source", required=True, help="broker list or folder")
-    live.add_argument("--topic", default=streams.TOPIC)
-    live.add_argument("--group")
-    live.add_argument("--window", default="1 minute")
-    live.add_argument("--delay", default="120 seconds")
-    live.add_argument("--max-per-trigger", type=int, help="messages (kafka) or files of a micro-batch at most")
-    live.add_argument("--once", action="store_true", help="stop when the source is read to its end")
+    commands.add_parser("update").add_argument("--batch", help="key of one batch, e.g. one loaded again; else all without states")
+    for name in ("stream", "vehicles"):
+        live = commands.add_parser(name)
+        live.add_argument("--format", default="kafka", choices=["kafka", "json", "parquet"])
+        live.add_argument("--source", required=True, help="broker list or folder")
+        live.add_argument("--topic", default=streams.TOPIC)
+        live.add_argument("--group")
+        live.add_argument("--max-per-trigger", type=int, help="messages (kafka) or files of a micro-batch at most")
+        live.add_argument("--merge-every", type=int, default=100, help="micro-batches between merges of the tables; 0 leaves them to clean")
+        live.add_argument("--once", action="store_true", help="stop when the source is read to its end")
+        if name == "vehicles":
+            live.add_argument("--ttl", default="24 hours", help="after this time without a move a vehicle starts from nothing")
+        else:
+            live.add_argument("--window", default="1 minute")
+            live.add_argument("--delay", default="120 seconds")
     return top
 
 
 JOBS = {
     "ingest": ingest, "history": history, "silver": refresh_silver, "gold": refresh_gold, "validate": validate,
-    "stream": stream, "compare": compare, "serve": serve, "health": health, "clean": clean,
+    "update": update_gold, "stream": stream, "vehicles": vehicles, "compare": compare, "serve": serve, "health": health, "clean": clean,
 }
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"tidelake-{args.command}")
-    JOBS[args.command](Lake(spark, args.root.rstrip("/"), args.catalog.rstrip("/")), args)
+    JOBS[args.command](Lake(spark, args.root.rstrip("/"), args.catalog.rstrip("/"), args.namespace), args)
 
 
 if __name__ == "__main__":

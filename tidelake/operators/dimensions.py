@@ -34,10 +34,10 @@ def join_role(trips: DataFrame, dim: DataFrame, role: str, *shared: str, small:
 def enrich_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
     """Origin and destination attributes from the same catalog; unknown stops stay, with NULLs.
 
-    The service type comes from the origin stop only: both ends lie on one line.
+    The service type comes from the origin stop only: both ends lie on one line. A stop that the catalog has twice is an error.
     """
     used = dim.select("stop_id", *ROLE_ATTRIBUTES, "tipo_servicio")
-    small = is_small(used)
+    small = is_small(used, key="stop_id")
     return join_role(join_role(trips, used, "origen", "tipo_servicio", small=small), used, "destino", small=small)
 
 

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from tidelake.functions.events import before
 
 
+def unexpired(ts_col: str, seconds: int, as_of: Column | str) -> Column:
+    """Does the row's time plus ``seconds`` lie after ``as_of``? NULL times never expire."""
+    return (F.col(ts_col) > before(as_of, seconds)) | F.col(ts_col).isNull()
+
+
 def retain(df: DataFrame, ts_col: str, seconds: int, as_of: Column | str) -> DataFrame:
-    """Rows not yet expired: their time plus ``seconds`` lies after ``as_of``. NULL times never expire."""
-    return df.filter((F.col(ts_col) > before(as_of, seconds)) | F.col(ts_col).isNull())
+    """Rows not yet expired."""
+    return df.filter(unexpired(ts_col, seconds, as_of))
 
 
 def fresh(df: DataFrame, ts_col: str, seconds: int, as_of: Column | str) -> DataFrame:

@@ -7,6 +7,7 @@ import posixpath
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake import schemas
 from tidelake.functions.trips import audit_ts
 from tidelake.sources import tables
 from tidelake.sources.files import read_trips
@@ -21,6 +22,11 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return tables.read(spark, path, merge=True).drop(tables.BATCH)
 
 
+def read_batch(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The trips of one load; no file of another one is opened. Columns that the batch lacks are NULL."""
+    return tables.read(spark, path, tables.batched(schemas.BRONZE_TRIPS)).filter(F.col(tables.BATCH) == key).drop(tables.BATCH)
+
+
 def batch_key(csv_path: str, landing: str | None = None) -> str:
     """The file's path below the landing folder, or its whole path: equal names in other folders are other batches."""
     path = csv_path.rstrip("/")

@@ -13,7 +13,7 @@ from tidelake.functions import calendar, trips
 from tidelake.operators.dimensions import enrich_trips
 from tidelake.operators.sizing import broadcast_if_small
 from tidelake.operators.rules import Rule, accounting, keep_clean, observe_discards
-from tidelake.sources import tables
+from tidelake.sources import refreshed
 
 # Accepted ranges.
 PASSENGERS = (1, 400)
@@ -84,7 +84,7 @@ def discard_accounting(bronze: DataFrame, dim: DataFrame) -> DataFrame:
 
     Only the known stop ids take part in the joins, not their attributes.
     """
-    known = broadcast_if_small(dim.select("stop_id", "nombre"))
+    known = broadcast_if_small(dim.select("stop_id", "nombre"), key="stop_id")
     joined = bronze
     for role in ("origen", "destino"):
         view = known.select(F.col("stop_id").alias(f"_stop_{role}"), F.col("nombre").alias(f"nombre_{role}"))
@@ -93,8 +93,8 @@ def discard_accounting(bronze: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def refresh_silver(path: str, bronze: DataFrame, dim: DataFrame, as_of: Column | str | None = None) -> dict:
-    """Full refresh of the clean table; returns the discards seen on the way."""
+    """Full refresh of the clean table; returns the discards seen on the way. A refresh that dies leaves the rows before it."""
     before, after = Observation(), Observation()
-    tables.replace(build_silver(bronze, dim, as_of, (before, after)), path)
+    refreshed.replace(build_silver(bronze, dim, as_of, (before, after)), path)
     unmatched = {k: v for k, v in after.get.items() if k in ("orphan_origin", "orphan_dest")}
     return {**before.get, **unmatched}

@@ -14,7 +14,8 @@ def drop_namespace(spark: SparkSession, name: str) -> None:
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {namespace}")
+    """Tables and views of a namespace. ``SHOW TABLES`` also names the session's temporary views, which belong to none."""
+    return spark.sql(f"SHOW TABLES IN {namespace}").filter("NOT isTemporary")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

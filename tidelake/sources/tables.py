@@ -1,7 +1,7 @@
 """Tables as plain Parquet folders, written by Spark's own committers.
 
-A table that is refreshed is overwritten as a whole. A table that grows is partitioned by ``batch``: a batch
-overwrites its own partition only, so writing it again, after a failure or by mistake, leaves the same rows.
+A table that grows is partitioned by ``batch``: a batch overwrites its own partition only, so writing it again, after a failure
+or by mistake, leaves the same rows. Tables that are refreshed as a whole are those of ``refreshed``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ BATCH = "batch"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Is there a folder? A job that died before its first commit leaves one without files, which reads as empty."""
+    """Is there a folder? A job that died before its first commit leaves one without files: empty, if read with a schema."""
     try:
         spark.read.schema("_ string").parquet(path)
     except AnalysisException as error:
@@ -37,11 +37,6 @@ def read(spark: SparkSession, path: str, schema: StructType | None = None, merge
     return spark.read.schema(schema).parquet(path)
 
 
-def replace(df: DataFrame, path: str) -> None:
-    """Full refresh. ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def batched(schema: StructType) -> StructType:
     """The schema of a growing table of such rows."""
     return StructType([*schema.fields, StructField(BATCH, StringType())])
@@ -66,6 +61,14 @@ def has_batch(spark: SparkSession, path: str, key: str) -> bool:
     return not found.filter(F.col(BATCH) == key).isEmpty()
 
 
+def batch_keys(spark: SparkSession, path: str) -> set[str]:
+    """Keys of all batches with a row: partition names and file footers are read, no column."""
+    if not exists(spark, path):
+        return set()
+    keys = spark.read.schema(StructType([StructField(BATCH, StringType())])).parquet(path).select(BATCH).distinct()
+    return {r[0] for r in keys.collect()}
+
+
 def schema_diff(older: DataFrame, newer: DataFrame) -> DataFrame:
     """Columns that one of two tables has and the other has not, or has with another type."""
     spark = newer.sparkSession

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidelake.functions.events import FULL_SHARE, HIGH_DELAY_SECONDS, capacity_of, service_type
 from tidelake.operators.dimensions import terminal_stops
 from tidelake.operators.runs import running_sum_with_resets
 from tidelake.operators.sizing import broadcast_if_small
 from tidelake.schemas import struct
-from tidelake.sources import tables
-from tidelake.streaming.sinks import BatchWriter, batch_key
+from tidelake.sources.refreshed import files_of
+from tidelake.streaming import store
+from tidelake.streaming.events import timed_events
+from tidelake.streaming.sinks import BatchWriter, batch_key, every
 
 ALERT_COLUMNS = ["vehicle_id", "line", "stop_id", "event_id", "event_time", "accumulated_delay"]
 ALERT_SCHEMA = (
@@ -62,9 +66,9 @@ def _segment_delay() -> Column:
 MOVE_COLUMNS = ["vehicle_id", "event_time", "event_id", "event_type", "line", "stop_id", "delay_seconds", "at_terminal"]
 
 
-def _sum_runs(moves: DataFrame, slice_by: str) -> DataFrame:
+def _sum_runs(moves: DataFrame, slice_by: str, *further: str) -> DataFrame:
     return running_sum_with_resets(
-        moves.select(*MOVE_COLUMNS),
+        moves.select(*MOVE_COLUMNS, *further),
         "vehicle_id",
         ["event_time", "event_id"],
         _segment_delay(),
@@ -97,92 +101,120 @@ def delay_edge_alerts(
     return _first_crossings(summed, threshold).select(*ALERT_COLUMNS)
 
 
-RUN_STATE = struct("vehicle_id string, accumulated bigint, alerted boolean, seq bigint")
+RUN_STATE = struct("vehicle_id string, accumulated bigint, alerted boolean, seen timestamp")
 ALERTS = struct(ALERT_SCHEMA)
 
 # Sorts before any event, so that the carried delay opens its vehicle's sum.
 _OPENING_TIME = "0001-01-01 00:00:00"
+_SNAPSHOT = re.compile(r"after=([0-9]+)")
 
 
-def carry_runs(summed: DataFrame, state: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
-    """Alerts of one micro-batch, and the state of its vehicles after it."""
+def carry_runs(summed: DataFrame, state: DataFrame, threshold: int, ttl: str | None) -> tuple[DataFrame, DataFrame]:
+    """Alerts of one micro-batch, and the open runs of all vehicles after it.
+
+    ``summed`` holds the moves of the batch and one opening row for each open run of ``state``, so vehicles without a move are in it
+    too. A run is open as long as it has a delay or has alerted, and its last move is less than ``ttl`` older than the newest.
+    """
     crossings = _first_crossings(summed, threshold)
     warned = state.filter("alerted").select(F.col("vehicle_id").alias("_warned"))
     resumed = (F.col("vehicle_id") == F.col("_warned")) & (F.col("run") == 0)
     fired = crossings.join(warned, resumed, "left_anti").select(*ALERT_COLUMNS)
 
+    last = F.struct("event_time", "event_id")
+    moved = F.max(F.when(F.col("event_id") != "", F.col("event_time")))
     ends = summed.groupBy("vehicle_id").agg(
-        F.max_by(F.struct("run", "running", "at_terminal"), F.struct("event_time", "event_id")).alias("_end")
+        F.max_by(F.struct("run", "running", "at_terminal"), last).alias("_end"),
+        F.greatest(moved, F.max("seen")).alias("seen"),
+        F.max(F.when(F.col("running") > threshold, F.col("run"))).alias("_crossed"),
     )
-    ends = ends.select("vehicle_id", "_end.*")
-    crossed = crossings.select("vehicle_id", "run", F.lit(True).alias("_crossed"))
-    closed = F.col("at_terminal")
-    after = (
-        ends.join(crossed, ["vehicle_id", "run"], "left")
-        .join(warned, resumed, "left")
-        .select(
-            "vehicle_id",
-            F.when(closed, 0).otherwise(F.col("running")).cast("bigint").alias("accumulated"),
-            (~closed & (F.col("_crossed").isNotNull() | F.col("_warned").isNotNull())).alias("alerted"),
-        )
-    )
-    counted = state.select("vehicle_id", F.col("seq").alias("_before"))
-    seq = (F.coalesce("_before", F.lit(0)) + 1).cast("bigint").alias("seq")
-    return fired, after.join(counted, "vehicle_id", "left").select("vehicle_id", "accumulated", "alerted", seq)
-
+    ends = ends.select("vehicle_id", "seen", "_crossed", "_end.*").join(warned, resumed, "left")
+    closed, crossed = F.col("at_terminal"), F.col("_crossed").eqNullSafe(F.col("run"))
+    after = ends.select(
+        "vehicle_id",
+        F.when(closed, 0).otherwise(F.col("running")).cast("bigint").alias("accumulated"),
+        (~closed & (crossed | F.col("_warned").isNotNull())).alias("alerted"),
+        "seen",
+    ).filter("accumulated <> 0 OR alerted")
+    if ttl:
+        newest = summed.agg(F.max("event_time").alias("t")).select(F.col("t")).scalar()
+        after = after.filter(F.col("seen") > newest - F.expr(f"INTERVAL {ttl}"))
+    return fired, after
 
-def open_runs(states: DataFrame) -> DataFrame:
-    """The newest state of each vehicle."""
-    newest = states.groupBy("vehicle_id").agg(F.max_by(F.struct("accumulated", "alerted", "seq"), "seq").alias("_s"))
-    return newest.select("vehicle_id", "_s.*")
 
+def _snapshots(spark: SparkSession, state: str) -> list[int]:
+    """Numbers of the micro-batches after which the state was kept as a whole, ascending."""
+    store, root = files_of(spark, state)
+    if not store.exists(root):
+        return []
+    found = [m for status in store.listStatus(root) if (m := _SNAPSHOT.fullmatch(status.getPath().getName()))]
+    return sorted(int(m[1]) for m in found if store.exists(files_of(spark, f"{state}/{m[0]}/_SUCCESS")[1]))
 
-def compact_runs(spark: SparkSession, state: str) -> None:
-    """Rewrite the state table to the vehicles with an open delay. Run it between micro-batches.
 
-    A vehicle that leaves it starts again from nothing, as it would with its closed run.
-    """
-    stored = tables.read(spark, state, tables.batched(RUN_STATE))
-    newest = stored.groupBy("vehicle_id").agg(F.max_by(F.struct(*stored.columns), "seq").alias("_s")).select("_s.*")
-    kept = newest.filter((F.col("accumulated") != 0) | F.col("alerted")).checkpoint()
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.BATCH).parquet(state)
+def open_runs(spark: SparkSession, state: str, before: int | None = None) -> DataFrame:
+    """The open runs after the newest micro-batch (before that number)."""
+    kept = [n for n in _snapshots(spark, state) if before is None or n < before]
+    return spark.read.schema(RUN_STATE).parquet(f"{state}/after={kept[-1]}") if kept else spark.createDataFrame([], RUN_STATE)
 
 
 def edge_alert_writer(
-    state: str, alerts: str, threshold: int = HIGH_DELAY_SECONDS, slice_by: str = "HOUR",
+    state: str, alerts: str, threshold: int = HIGH_DELAY_SECONDS, slice_by: str = "HOUR", ttl: str | None = None,
     key: Callable[[DataFrame, int], str] = batch_key,
 ) -> BatchWriter:
-    """``foreachBatch`` writer over ``mark_terminals`` rows that carries each vehicle's open run in the table ``state``.
+    """``foreachBatch`` writer over ``mark_terminals`` rows that carries each vehicle's open run from batch to batch.
 
     The sums are the sliced ones of the batch version: a vehicle that dominates a micro-batch is worked on by many
-    tasks. A batch reads and writes the states of its own vehicles only. It writes alerts and states under its key and reads
-    the states of other batches, so a replay after any failure completes the pair with the same rows.
+    tasks. The state is a snapshot of all open runs, so a batch reads one and writes one however many came before, and runs that
+    have ended or expired leave it. A batch reads the snapshot before its own number and writes alerts and snapshot under its
+    key, so a replay after any failure completes the pair with the same rows. Snapshots are those of one checkpoint: ``state``
+    belongs to it. Two are kept.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark, name = batch.sparkSession, key(batch, batch_id)
-        moves = batch.select(*MOVE_COLUMNS)
-        stored = tables.read(spark, state, tables.batched(RUN_STATE)).filter(F.col(tables.BATCH) != name)
-        seen = moves.select("vehicle_id").distinct()
-        before = open_runs(stored.join(seen, "vehicle_id", "left_semi")).checkpoint()
-        opening = before.filter("accumulated <> 0").select(
+        before = open_runs(spark, state, batch_id)
+        opening = before.select(
             "vehicle_id", F.lit(_OPENING_TIME).cast("timestamp").alias("event_time"), F.lit("").alias("event_id"),
             F.lit("departure").alias("event_type"), F.lit(None).cast("string").alias("line"),
             F.lit(None).cast("string").alias("stop_id"), F.col("accumulated").alias("delay_seconds"),
-            F.lit(False).alias("at_terminal"),
+            F.lit(False).alias("at_terminal"), "seen",
         )
-        summed = _sum_runs(moves.unionByName(opening), slice_by)
+        moves = batch.select(*MOVE_COLUMNS, F.lit(None).cast("timestamp").alias("seen"))
+        summed = _sum_runs(moves.unionByName(opening), slice_by, "seen")
         summed.persist()
         try:
-            fired, after = carry_runs(summed, before, threshold)
-            tables.put_batch(fired, alerts, name)
-            tables.put_batch(after, state, name)
+            fired, after = carry_runs(summed, before, threshold, ttl)
+            store.put(fired, alerts, name)
+            # State is small beside the batch; a few files keep the next read short.
+            after.coalesce(4).write.mode("overwrite").parquet(f"{state}/after={batch_id}")
         finally:
             summed.unpersist()
+        for old in [n for n in _snapshots(spark, state) if n <= batch_id][:-2]:
+            files, folder = files_of(spark, f"{state}/after={old}")
+            files.delete(folder, True)
 
     return sink
 
 
+def start_edge_alerts(
+    raw: DataFrame, stops: DataFrame, root: str, trigger: dict | None = None, slice_by: str = "HOUR", ttl: str | None = "24 hours",
+    merge_every: int = 0, threshold: int = HIGH_DELAY_SECONDS,
+) -> StreamingQuery:
+    """Run the vehicle alerts over a stream of messages: alerts in ``root``/vehicle_alerts, open runs in ``root``/vehicle_runs."""
+    moves = mark_terminals(timed_events(raw), stops)
+    alerts = f"{root}/vehicle_alerts"
+    writer = edge_alert_writer(f"{root}/vehicle_runs", alerts, threshold, slice_by, ttl)
+    if merge_every:
+        writer = every(writer, merge_every, lambda spark: store.merge(spark, alerts, ALERTS, "vehicle_id"))
+    stream = moves.writeStream.queryName("vehicle_alerts").option("checkpointLocation", f"{root}/checkpoint/vehicle_alerts")
+    stream = stream.foreachBatch(writer)
+    return (stream.trigger(**trigger) if trigger else stream).start()
+
+
+def vehicle_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """Every alert that ``start_edge_alerts`` has raised."""
+    return store.rows(spark, f"{root}/vehicle_alerts", ALERTS)
+
+
 def capacity_alerts(events: DataFrame, share: float = FULL_SHARE) -> DataFrame:
     """Arrivals whose load exceeds a share of what a vehicle of their line's service can hold."""
     places = capacity_of(service_type(F.col("line")))

@@ -75,7 +75,7 @@ def timed_events(raw: DataFrame, delay: str | None = None) -> DataFrame:
 
 
 def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salts: int = 16) -> DataFrame:
-    """Add ``station_id`` and ``stop_name``; an unknown stop stands for itself.
+    """Add ``station_id`` and ``stop_name``; an unknown stop stands for itself, and one that the catalog has twice is an error.
 
     A catalog measured small, as it is joined, is broadcast. Beyond that the join must shuffle, and
     streaming joins get no adaptive skew handling: ``salts`` then spreads each
@@ -89,7 +89,7 @@ def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salt
         F.coalesce("nombre", "station_id").alias("_name"),
     )
     match = F.col("stop_id") == F.col("_stop")
-    if is_small(view):
+    if is_small(view, key="_stop"):
         view = F.broadcast(view)
     elif salts > 1:
         events = events.withColumn("_salt", F.pmod(F.xxhash64("event_id", "vehicle_id", "event_time"), F.lit(salts)))

@@ -1,4 +1,4 @@
-"""The three operational queries over one event stream."""
+"""The operational tables, kept by one query over the event stream."""
 
 from __future__ import annotations
 
@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidelake import schemas
-from tidelake.sources import tables
-from tidelake.streaming import sinks, windows
+from tidelake.streaming import sinks, store, windows
 from tidelake.streaming.events import enrich_events, timed_events
 from tidelake.streaming.sinks import BatchWriter, with_log
 
@@ -23,13 +22,14 @@ class StreamSettings:
     trigger: dict | None = None  # e.g. {"availableNow": True}; None means as fast as possible
     salts: int = 16
     log: bool = False
+    merge_every: int = 0  # micro-batches between merges of the tables by the stream itself; 0: ``clean`` does it
 
 
-#: The operational tables: schema, and the key of which the newest window is the current state (None: a history).
+#: The operational tables: schema, key, and whether only the newest window of a key is its current state (else a history).
 OPERATIONAL = {
-    "station_occupancy": (schemas.STATION_OCCUPANCY, "station_id"),
-    "line_delays": (schemas.LINE_DELAYS, "line"),
-    "station_alerts": (schemas.STATION_ALERTS, None),
+    windows.OCCUPANCY: (schemas.STATION_OCCUPANCY, "station_id", True),
+    windows.DELAYS: (schemas.LINE_DELAYS, "line", True),
+    windows.STATION_ALERTS: (schemas.STATION_ALERTS, "station_id", False),
 }
 
 
@@ -38,10 +38,17 @@ def operational_table(spark: SparkSession, root: str, name: str, as_of: Column |
 
     A table that no stream has written yet is empty; reading never creates one.
     """
-    schema, key = OPERATIONAL[name]
+    schema, key, newest = OPERATIONAL[name]
     rows = sinks.history(spark, f"{root}/{name}", schema)
     rows = rows if as_of is None else sinks.alive(rows, name, as_of)
-    return rows if key is None else sinks.latest(rows, key)
+    return sinks.latest(rows, key) if newest else rows
+
+
+def station_state(spark: SparkSession, root: str, station_id: str, as_of: Column | str | None = None) -> DataFrame:
+    """Current occupancy of one station, read by its key: one folder of the base, and the batches since its last merge."""
+    schema, key, _ = OPERATIONAL[windows.OCCUPANCY]
+    rows = store.lookup(spark, f"{root}/{windows.OCCUPANCY}", schema, key, station_id)
+    return sinks.latest(rows if as_of is None else sinks.alive(rows, windows.OCCUPANCY, as_of), key)
 
 
 def operational_tables(spark: SparkSession, root: str, as_of: Column | str | None = None) -> dict[str, DataFrame]:
@@ -49,9 +56,15 @@ def operational_tables(spark: SparkSession, root: str, as_of: Column | str | Non
 
 
 def purge_all(spark: SparkSession, root: str, as_of: Column | str) -> None:
-    """The scheduled cleanup of what has expired."""
-    for name, (schema, _) in OPERATIONAL.items():
-        sinks.purge(spark, f"{root}/{name}", schema, name, as_of)
+    """Merge the micro-batches of every table and its log, and leave behind what has expired. It may run beside the stream."""
+    for name, (schema, key, _) in OPERATIONAL.items():
+        sinks.purge(spark, f"{root}/{name}", schema, name, key, as_of)
+        sinks.purge(spark, f"{root}/log/{name}", sinks.LOG, "log", "value", as_of, sinks.LOG_RETENTION)
+    store.merge(spark, f"{root}/late_rows", schemas.struct(LATE), "query", folders=1)
+
+
+#: Name of the query, and so of its checkpoint.
+JOB = "operational"
 
 
 def start_window_query(
@@ -79,19 +92,22 @@ def start_all(
     settings: StreamSettings = StreamSettings(),
     only: list[str] | None = None,
 ) -> list[StreamingQuery]:
-    """Start the occupancy, delay and alert queries (or some of them) below ``root``."""
-    events = timed_events(raw, settings.delay)
-    enriched = enrich_events(events, stops, stations, settings.salts)
-    jobs = {
-        "station_occupancy": lambda: windows.station_occupancy(enriched, settings.window),
-        "line_delays": lambda: windows.line_delays(events, settings.window),
-        "station_alerts": lambda: windows.station_alerts(enriched, settings.window),
-    }
-    return [
-        start_window_query(rows(), name, sinks.window_writer(f"{root}/{name}"), root, settings)
-        for name, rows in jobs.items()
-        if only is None or name in only
-    ]
+    """Start the query that keeps the occupancy, delay and alert tables (or some of them) below ``root``.
+
+    The source is read, parsed and enriched once for all tables, and their windows lie in one state.
+    """
+    names = [name for name in OPERATIONAL if only is None or name in only]
+    enriched = enrich_events(timed_events(raw, settings.delay), stops, stations, settings.salts)
+    fanned = windows.fan_out(enriched, settings.window, only=names)
+
+    def written(name: str) -> BatchWriter:
+        writer = sinks.window_writer(f"{root}/{name}")
+        return with_log(writer, f"{root}/log/{name}") if settings.log else writer
+
+    writer = sinks.fan_out_writer(windows.split, {name: written(name) for name in names})
+    if settings.merge_every:
+        writer = sinks.every(writer, settings.merge_every, lambda spark: purge_all(spark, root, F.current_timestamp()))
+    return [start_window_query(fanned, JOB, writer, root, StreamSettings(trigger=settings.trigger))]
 
 
 def await_all(queries: list[StreamingQuery]) -> None:
@@ -115,6 +131,7 @@ LATE = "run_id string, query string, batch_id bigint, dropped bigint"
 
 class LateRows(StreamingQueryListener):
     """Adds the rows that each batch dropped because their window was closed: one row a batch in a table of their own.
+    What is counted is what meets the state: the events of one table, window and key in a task count once.
 
     Progress records are bounded in a query's memory, so a sum over those would forget; the table does not.
     """
@@ -131,8 +148,7 @@ class LateRows(StreamingQueryListener):
         dropped = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
         if dropped:
             row = [(str(progress.runId), progress.name, progress.batchId, dropped)]
-            rows = self.spark.createDataFrame(row, LATE)
-            tables.put_batch(rows, self.path, f"{progress.id}-{progress.batchId}")
+            store.put(self.spark.createDataFrame(row, LATE), self.path, f"{progress.id}-{progress.batchId}")
 
     def onQueryTerminated(self, event) -> None:
         self.ended.add(str(event.runId))
@@ -148,4 +164,4 @@ class LateRows(StreamingQueryListener):
 
 def late_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows dropped so far, by query."""
-    return tables.read(spark, path, schemas.struct(LATE)).groupBy("query").agg(F.sum("dropped").alias("dropped"))
+    return store.rows(spark, path, schemas.struct(LATE)).groupBy("query").agg(F.sum("dropped").alias("dropped"))

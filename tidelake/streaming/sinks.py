@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidelake import schemas
 from tidelake.functions.events import iso_format
-from tidelake.operators.retention import retain
-from tidelake.sources import tables
+from tidelake.operators.retention import retain, unexpired
+from tidelake.streaming import store
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -31,14 +31,39 @@ def window_writer(path: str, key: Callable[[DataFrame, int], str] = batch_key) -
     """``foreachBatch`` writer that adds the windows a batch closed; a replayed batch writes over its own rows."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        tables.put_batch(batch, path, key(batch, batch_id))
+        store.put(batch, path, key(batch, batch_id))
+
+    return sink
+
+
+def fan_out_writer(split: Callable[[DataFrame, str], DataFrame], writers: dict[str, BatchWriter]) -> BatchWriter:
+    """Writer of several tables from one stream: ``split`` takes the rows of each out of the batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # the stateful plan must not run once for every table
+        try:
+            for name, writer in writers.items():
+                writer(split(batch, name), batch_id)
+        finally:
+            batch.unpersist()
+
+    return sink
+
+
+def every(writer: BatchWriter, batches: int, then: Callable) -> BatchWriter:
+    """After every so many micro-batches call ``then`` with the session: no other batch is written meanwhile."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        writer(batch, batch_id)
+        if batches and (batch_id + 1) % batches == 0:
+            then(batch.sparkSession)
 
     return sink
 
 
 def history(spark, path: str, schema) -> DataFrame:
     """Every window written so far."""
-    return tables.read(spark, path, tables.batched(schema)).drop(tables.BATCH)
+    return store.rows(spark, path, schema)
 
 
 def latest(rows: DataFrame, key: str, order: str = "window_end") -> DataFrame:
@@ -54,34 +79,41 @@ def alive(rows: DataFrame, name: str, as_of: Column | str, limits: dict[str, tup
     return retain(rows, column, seconds, as_of)
 
 
-def purge(spark, path: str, schema, name: str, as_of: Column | str, limits: dict[str, tuple[str, int]] = schemas.RETENTION) -> None:
-    """Rewrite an operational table without its expired rows.
+def purge(
+    spark, path: str, schema, name: str, key: str, as_of: Column | str, limits: dict[str, tuple[str, int]] = schemas.RETENTION
+) -> None:
+    """Merge the micro-batches of an operational table, clustered by ``key``, and leave its expired rows behind.
 
-    Readers filter by the same rule at any time; this keeps the folder from growing. The rows that stay are few
-    (minutes of windows) and held in the checkpoint folder while the table is overwritten. Run it between micro-batches.
+    Readers filter by the same rule at any time; this keeps the folder from growing. It may run beside the stream.
     """
-    stored = tables.read(spark, path, tables.batched(schema))
-    kept = alive(stored, name, as_of, limits).checkpoint()
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(tables.BATCH).parquet(path)
+    column, seconds = limits[name]
+    store.merge(spark, path, schema, key, unexpired(column, seconds, as_of))
+
+
+def _line(rows: DataFrame) -> Column:
+    shown = [iso_format(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in rows.schema.fields]
+    return F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("value")
 
 
 def confirmation_log(rows: DataFrame) -> DataFrame:
     """Emitted windows as JSON lines with ISO times."""
-    times = [f.name for f in rows.schema.fields if f.dataType.typeName() == "timestamp"]
-    shown = rows.withColumns({t: iso_format(F.col(t)) for t in times})
-    return shown.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    return rows.select(_line(rows))
+
+
+#: The confirmation log: a line, and the end of its window, by which it expires after a day.
+LOG = schemas.struct("value string, window_end timestamp")
+LOG_RETENTION = {"log": ("window_end", 86_400)}
 
 
 def with_log(writer: BatchWriter, path: str, key: Callable[[DataFrame, int], str] = batch_key) -> BatchWriter:
-    """Also write each batch's confirmation lines as text; a replayed batch writes over its own."""
+    """Also write each batch's confirmation lines; a replayed batch writes over its own."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Both writes use the rows: the stateful plan must not run twice.
         batch.persist()
         try:
             writer(batch, batch_id)
-            lines = confirmation_log(batch).withColumn(tables.BATCH, F.lit(key(batch, batch_id)))
-            lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(tables.BATCH).text(path)
+            store.put(batch.select(_line(batch), "window_end"), path, key(batch, batch_id))
         finally:
             batch.unpersist()
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import calendar
-from tidelake.functions.trips import by_code, tagged
+from tidelake.functions.trips import audit_ts, by_code, tagged
 from tidelake.operators import checks, dimensions
+from tidelake.operators.ordering import number_rows, rank_all
 from tidelake.operators.rules import reject_reason
 from tidelake.plans import bronze as bronze_plan
-from tidelake.plans import gold, silver
+from tidelake.plans import gold, incremental, silver
 from tidelake.session import scratch
-from tidelake.sources import files, tables
+from tidelake.sources import files, loads, refreshed, tables
 from workload import adapters
 
 
@@ -284,18 +285,17 @@ def busiest_in_order(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- stored tables ----------------------------------------------------------
 
-FIRST_LOAD = "2024-01-01 00:00:00"
+#: Times of the loads of ``_orders_by_status``.
+LOADED_AT = [f"2024-01-01 00:00:00.00{n}" for n in range(1, 10)]
 
 
 def _orders_by_status(spark: SparkSession, sf: str) -> DataFrame:
-    """All orders as a growing table: a batch per status in order, loaded a millisecond apart."""
-    orders = adapters.table(spark, sf, "orders")
+    """All orders as a growing table: a load per status in order, a millisecond apart."""
+    orders, path = adapters.table(spark, sf, "orders"), scratch(spark, "orders")
     status = F.coalesce("o_orderstatus", F.lit("none"))
-    numbered = orders.select(status.alias("_status")).distinct().withColumn("version", F.row_number().over(Window.orderBy("_status")))
-    loads = numbered.withColumn("loaded_at", F.timestamp_add("MILLISECOND", F.col("version"), F.lit(FIRST_LOAD).cast("timestamp")))
-    rows = orders.join(loads, status == F.col("_status")).withColumn(tables.BATCH, F.concat(F.lit("orders_"), "_status")).drop("_status")
-    path = scratch(spark, "orders")
-    rows.write.partitionBy(tables.BATCH).parquet(path)
+    statuses = sorted(r[0] for r in orders.select(status).distinct().collect())
+    for name, at in zip(statuses, LOADED_AT[: len(statuses)], strict=True):
+        tables.put_batch(orders.filter(status == name).withColumn("loaded_at", audit_ts(at)), path, f"orders_{name}")
     return tables.read(spark, path)
 
 
@@ -307,35 +307,28 @@ def _by_priority(orders: DataFrame) -> DataFrame:
 
 def as_of_version(spark: SparkSession, sf: str) -> DataFrame:
     """The table as its first two loads left it."""
-    return _by_priority(_orders_by_status(spark, sf).filter("version <= 2"))
+    return _by_priority(loads.as_of_load(_orders_by_status(spark, sf), 2, "loaded_at"))
 
 
 def as_of_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     """The table as it stood at an instant."""
-    return _by_priority(_orders_by_status(spark, sf).filter("loaded_at <= timestamp'2024-01-01 00:00:00.001'"))
+    return _by_priority(loads.as_of_time(_orders_by_status(spark, sf), LOADED_AT[0], "loaded_at"))
 
 
 def as_of_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per date after the first load."""
-    first = _orders_by_status(spark, sf).filter("version <= 1")
-    return first.groupBy(F.col("o_orderdate").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    first = loads.as_of_load(_orders_by_status(spark, sf), 1, "loaded_at")
+    return loads.counts_by(first, F.col("o_orderdate").cast("date"))
 
 
 def version_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Rows after the first and after the third load."""
-    loads = _orders_by_status(spark, sf).filter("version <= 3")
-    counts = loads.agg(F.count_if(F.col("version") <= 1).alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
-    return counts.withColumn("delta", F.col("rows_after") - F.col("rows_before"))
+    return loads.delta(_orders_by_status(spark, sf), 1, 3, "loaded_at")
 
 
 def snapshot_history(spark: SparkSession, sf: str) -> DataFrame:
     """What each load added, and the total after it."""
-    loads = _orders_by_status(spark, sf).groupBy("version", "loaded_at", tables.BATCH).agg(F.count(F.lit(1)).alias("added_records"))
-    total = F.sum("added_records").over(Window.orderBy("version").rowsBetween(Window.unboundedPreceding, 0))
-    return loads.select(
-        F.col("version").alias("snapshot_id"), F.col("loaded_at").cast("timestamp_ntz").alias("committed_at"), F.lit("append").alias("operation"),
-        "added_records", total.alias("total_records"), F.col(tables.BATCH).alias("batch_key"),
-    )
+    return wall_clock(loads.history(_orders_by_status(spark, sf), "loaded_at"))
 
 
 def _evolving(spark: SparkSession, sf: str) -> str:
@@ -370,11 +363,11 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Replaced content, beside a copy of what it replaced."""
     orders, path, copy = adapters.table(spark, sf, "orders"), scratch(spark, "refreshed"), scratch(spark, "copy")
     first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
-    tables.replace(orders.filter(first), path)
-    tables.replace(tables.read(spark, path), copy)
-    tables.replace(orders.filter(~first), path)
-    now = tables.read(spark, path).select(F.lit("now").alias("version"), "o_orderstatus")
-    then = tables.read(spark, copy).select(F.lit("before").alias("version"), "o_orderstatus")
+    refreshed.replace(orders.filter(first), path)
+    refreshed.replace(refreshed.read(spark, path), copy)
+    refreshed.replace(orders.filter(~first), path)
+    now = refreshed.read(spark, path).select(F.lit("now").alias("version"), "o_orderstatus")
+    then = refreshed.read(spark, copy).select(F.lit("before").alias("version"), "o_orderstatus")
     return now.unionByName(then).groupBy("version", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -396,13 +389,89 @@ def idempotent_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _loaded_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw trips as the ingest of three CSV batches left them, with batch and load time."""
+    root, trips = scratch(spark, "loaded"), adapters.trips(spark, sf)
+    line = F.coalesce("line", F.lit(""))
+    parts = {"closed": line.endswith("F"), "returned": line == "RO", "open": ~line.endswith("F") & (line != "RO")}
+    for (name, part), at in zip(parts.items(), LOADED_AT, strict=False):
+        trips.filter(part).write.option("header", "true").csv(f"{root}/in/{name}.csv")
+        bronze_plan.ingest_trips(spark, f"{root}/bronze", f"{root}/in/{name}.csv", as_of=at, landing=f"{root}/in")
+    return tables.read(spark, f"{root}/bronze")
+
+
+def load_history(spark: SparkSession, sf: str) -> DataFrame:
+    """What each ingested file added."""
+    return wall_clock(loads.history(_loaded_trips(spark, sf), "bronze_ingestion_ts"))
+
+
+def load_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips per day as the raw table stood before its last load."""
+    before = loads.as_of_time(_loaded_trips(spark, sf), LOADED_AT[1], "bronze_ingestion_ts")
+    return loads.counts_by(before, F.col("trip_date"))
+
+
+def _updated_states(spark: SparkSession, sf: str) -> str:
+    """Aggregate states of two batches, one of which was loaded before with other trips and is loaded again."""
+    root, trips, dim = scratch(spark, "states"), adapters.bronze(spark, sf), stop_dim(spark, sf)
+    first = F.coalesce(F.col("source_file").endswith("S1"), F.lit(False))
+    for key, part in (("late", first), ("early", first), ("late", ~first)):
+        tables.put_batch(trips.filter(part), f"{root}/bronze", key)
+        batch = bronze_plan.read_batch(spark, f"{root}/bronze", key)
+        incremental.update_batch(batch, dim, key, f"{root}/clean", f"{root}/states")
+    return f"{root}/states"
+
+
+def _merged(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return wall_clock(incremental.merged_table(spark, _updated_states(spark, sf), name))
+
+
+def merged_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """``station_volume`` from states per batch."""
+    return _merged(spark, sf, "estaciones_volumen")
+
+
+def merged_delays(spark: SparkSession, sf: str) -> DataFrame:
+    """``line_month_delay`` from states per batch."""
+    return _merged(spark, sf, "retraso_por_linea_mes")
+
+
+def merged_demand(spark: SparkSession, sf: str) -> DataFrame:
+    """``high_demand_share`` from states per batch."""
+    return _merged(spark, sf, "demanda_rutas")
+
+
+def merged_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Per line: is the sketched threshold within the ranks that its error allows, are the distinct counts within 3 %?"""
+    about = incremental.merged_table(spark, _updated_states(spark, sf), "lineas_aproximado")
+    counts = gold.value_counts(clean_trips(spark, sf), ["line"], "passenger_count").withColumnRenamed("line", "_line")
+    low, high = (gold.HIGH_DEMAND_QUANTILE + d for d in (-0.02, 0.02))
+    ranks = gold.with_percentile(gold.with_percentile(counts, "_line", "passenger_count", low, "low"), "_line", "passenger_count", high, "high")
+    bounds = ranks.groupBy("_line").agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    exact = clean_trips(spark, sf).groupBy(F.col("line").alias("_exact")).agg(F.count_distinct("stop_id_origen").alias("o"), F.count_distinct("trip_id").alias("t"))
+    joined = about.join(bounds, F.col("line") == F.col("_line")).join(exact, F.col("line") == F.col("_exact"))
+    return joined.select(
+        "line", "trips", F.col("p90_about").between(F.col("low"), F.col("high")).alias("threshold_within"),
+        (F.abs(F.col("origins_about") - F.col("o")) <= F.col("o") * 0.03).alias("origins_within"),
+        (F.abs(F.col("trip_ids_about") - F.col("t")) <= F.col("t") * 0.03).alias("trip_ids_within"),
+    )
+
+
+def slot_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Every station slot with its place in the whole network and its rank among the slots of its block, by load."""
+    loads_first = volume(spark, sf).select("station_id", "hour_block", "day_of_week_num", (-F.col("avg_passengers")).alias("_load"))
+    placed = number_rows(loads_first, [], ["_load", "station_id", "hour_block", "day_of_week_num"], "place")
+    ranked = rank_all(placed, ["hour_block"], ["_load"], "rank_in_block")
+    return ranked.select("station_id", "hour_block", "day_of_week_num", (-F.col("_load")).alias("avg_passengers"), (F.col("place") + 1).alias("place"), "rank_in_block")
+
+
 def lakehouse_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Raw to clean to aggregate through stored tables."""
     root = scratch(spark, "lakehouse")
     tables.put_batch(adapters.bronze(spark, sf), f"{root}/bronze", "all")
     silver.refresh_silver(f"{root}/silver", bronze_plan.read_bronze(spark, f"{root}/bronze"), stop_dim(spark, sf))
-    gold.write_gold(f"{root}/gold", gold.line_month_delay(tables.read(spark, f"{root}/silver")))
-    return wall_clock(tables.read(spark, f"{root}/gold"))
+    gold.write_gold(f"{root}/gold", gold.line_month_delay(refreshed.read(spark, f"{root}/silver")))
+    return wall_clock(refreshed.read(spark, f"{root}/gold"))
 
 
 QUERIES = {
@@ -415,6 +484,6 @@ QUERIES = {
         sequence_check, sequence_offenders, catalog_checks, table_row_counts, catalog_files, freshness_states,
         busiest_in_order, column_diff, as_of_version, as_of_timestamp,
         as_of_daily_counts, version_delta, snapshot_history, schema_evolution, full_refresh, idempotent_ingest,
-        lakehouse_refresh,
+        lakehouse_refresh, load_history, load_as_of, merged_volume, merged_delays, merged_demand, merged_sketches, slot_ranking,
     ]
 }

@@ -405,6 +405,26 @@ UNION ALL SELECT 'weather_condition', NULL, 'string' FROM n""",
   max(trip_date) AS last_date FROM trips GROUP BY line, source_file"""
     ),
     "lakehouse_refresh": _batch("SELECT * FROM delays"),
+    "load_history": _batch(
+        f""", files AS (
+  SELECT CASE WHEN line LIKE '%F' THEN 1 WHEN line = 'RO' THEN 2 ELSE 3 END AS n, count(*) AS added FROM trips GROUP BY 1)
+SELECT (row_number() OVER (ORDER BY n))::INTEGER AS snapshot_id,
+  TIMESTAMP '2024-01-01 00:00:00' + n * INTERVAL 1 MILLISECOND AS committed_at, 'append' AS operation, added AS added_records,
+  (sum(added) OVER (ORDER BY n))::BIGINT AS total_records, ['closed', 'returned', 'open'][n] || '.csv' AS batch_key
+FROM files"""
+    ).replace("\n, files", ", files"),
+    "load_as_of": _batch("SELECT trip_date AS day, count(*) AS n FROM trips WHERE line LIKE '%F' OR line = 'RO' GROUP BY trip_date"),
+    "merged_volume": _batch("SELECT * FROM volume"),
+    "merged_delays": _batch("SELECT * FROM delays"),
+    "merged_demand": _batch("SELECT * FROM shares"),
+    "merged_sketches": _batch(
+        "SELECT line, count(*) AS trips, true AS threshold_within, true AS origins_within, true AS trip_ids_within FROM silver GROUP BY line"
+    ),
+    "slot_ranking": _batch(
+        """SELECT station_id, hour_block, day_of_week_num, avg_passengers,
+  row_number() OVER (ORDER BY avg_passengers DESC, station_id, hour_block, day_of_week_num) AS place,
+  rank() OVER (PARTITION BY hour_block ORDER BY avg_passengers DESC) AS rank_in_block FROM volume"""
+    ),
 }
 
 STREAM_SQL = {
@@ -435,6 +455,7 @@ FROM events""",
 SELECT * FROM places WHERE passenger_count * 10 > capacity * 9"""
     ).replace("\n, places", ", places"),
     "point_lookup": _events("SELECT * FROM latest WHERE station_id = 'EST-11'"),
+    "station_state": _events("SELECT * FROM latest WHERE station_id = 'EST-11'"),
     "top_occupancy": _events(
         """SELECT (row_number() OVER (ORDER BY avg_vehicle_occupancy DESC, station_id))::INTEGER AS rank, station_id,
   stop_name, lines_serving, avg_vehicle_occupancy, max_vehicle_occupancy, event_count, window_end

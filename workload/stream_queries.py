@@ -11,8 +11,8 @@ from tidelake.functions.events import event_time, iso_format, iso_ms, iso_parse
 from tidelake.operators import checks
 from tidelake.plans import integration, serving
 from tidelake.session import scratch
-from tidelake.sources import streams, tables
-from tidelake.streaming import alerts, jobs, sinks, windows
+from tidelake.sources import streams
+from tidelake.streaming import alerts, jobs, sinks, store, windows
 from tidelake.streaming.events import enrich_events, parse_events, timed_events
 from tidelake.streaming.sinks import confirmation_log
 from workload import adapters
@@ -107,18 +107,11 @@ def event_times(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run_history(spark: SparkSession, sf: str, name: str, schema: StructType) -> DataFrame:
-    """Run one windowed query over the event stream to its end and return every window it closed."""
+    """Run the operational query over the event stream to its end and return every window that it closed in one table."""
     root = scratch(spark, name)
-    events = timed_events(adapters.message_stream(spark, sf), HOURLY.delay)
-    enriched = enrich_events(events, *_catalog(spark, sf))
-    rows = {
-        "station_occupancy": lambda: windows.station_occupancy(enriched, HOURLY.window),
-        "line_delays": lambda: windows.line_delays(events, HOURLY.window),
-        "station_alerts": lambda: windows.station_alerts(enriched, HOURLY.window),
-    }[name]()
-    path = f"{root}/{name}"
-    jobs.start_window_query(rows, f"{name}_{root[-12:]}", sinks.window_writer(path), root, HOURLY).awaitTermination()
-    return wall_clock(sinks.history(spark, path, schema))
+    for query in jobs.start_all(adapters.message_stream(spark, sf), *_catalog(spark, sf), root, HOURLY):
+        query.awaitTermination()
+    return wall_clock(sinks.history(spark, f"{root}/{name}", schema))
 
 
 def occupancy_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,14 +159,8 @@ def delay_edge_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _run_edges(spark: SparkSession, messages: DataFrame, sf: str, root: str) -> None:
     """Read a stream of messages to its present end, carrying open runs from batch to batch."""
-    moves = alerts.mark_terminals(timed_events(messages), adapters.stops(spark, sf))
-    query = (
-        moves.writeStream.option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .foreachBatch(alerts.edge_alert_writer(f"{root}/state", f"{root}/alerts", slice_by="DAY"))
-        .start()
-    )
-    query.awaitTermination()
+    stops = adapters.stops(spark, sf)
+    alerts.start_edge_alerts(messages, stops, root, {"availableNow": True}, slice_by="DAY", ttl=None).awaitTermination()
 
 
 def delay_edge_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,14 +175,14 @@ def delay_edge_alerts_stream(spark: SparkSession, sf: str) -> DataFrame:
         before = F.lit(True) if high is None else F.col("timestamp") < F.lit(high)
         messages.filter(after & before).write.mode("append").json(f"{root}/in")
         _run_edges(spark, streams.file_stream(spark, f"{root}/in"), sf, root)
-    return wall_clock(tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS)).drop(tables.BATCH))
+    return wall_clock(alerts.vehicle_alerts(spark, root))
 
 
 def delay_edge_alerts_carried(spark: SparkSession, sf: str) -> DataFrame:
     """``delay_edge_alerts`` from one large micro-batch."""
     root = scratch(spark, "carried")
     _run_edges(spark, adapters.message_stream(spark, sf), sf, root)
-    return wall_clock(tables.read(spark, f"{root}/alerts", tables.batched(alerts.ALERTS)).drop(tables.BATCH))
+    return wall_clock(alerts.vehicle_alerts(spark, root))
 
 
 def message_bodies(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,6 +206,16 @@ def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("lines_serving", F.array_join("lines_serving", ","))
 
 
+def station_state(spark: SparkSession, sf: str) -> DataFrame:
+    """``point_lookup`` on the table that the stream has written: its batches merged and clustered, then read by key."""
+    root = scratch(spark, "lookup")
+    for query in jobs.start_all(adapters.message_stream(spark, sf), *_catalog(spark, sf), root, HOURLY, only=["station_occupancy"]):
+        query.awaitTermination()
+    store.merge(spark, f"{root}/station_occupancy", schemas.STATION_OCCUPANCY, "station_id")
+    found = wall_clock(jobs.station_state(spark, root, "EST-11"))
+    return found.withColumn("lines_serving", F.array_join("lines_serving", ","))
+
+
 def top_occupancy(spark: SparkSession, sf: str) -> DataFrame:
     ranked = wall_clock(serving.top_occupancy(_occupancy(spark, sf)))
     return ranked.withColumn("lines_serving", F.array_join("lines_serving", ","))
@@ -324,7 +321,7 @@ QUERIES = {
         event_json_parse, event_json_damaged, event_times, occupancy_stream, delay_stream, alert_stream,
         occupancy_latest, event_type_running_counts, delay_edge_alerts, delay_edge_alerts_stream,
         delay_edge_alerts_carried, capacity_alerts,
-        point_lookup, top_occupancy, critical_lines, alert_history_day, alert_history_station, alert_ranking,
+        point_lookup, station_state, top_occupancy, critical_lines, alert_history_day, alert_history_station, alert_ranking,
         ttl_retention, ttl_all_tables, message_bodies, freshness, document_rules, confirmation_lines, zscore_ranking, zscore_context,
         zscore_extremes, zscore_counts, matched_sides,
     ]
