@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import sha256
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tidelake import schemas
 from tidelake.llm.common import bytes_of, settle, slices, table
 from tidelake.operators.sizing import broadcast_if_small
-from tidelake.session import ROCKSDB_PROVIDER, scratch
+from tidelake.session import scratch
 from tidelake.sources import tables
 
 FILTERS = "ABCDE"
@@ -44,8 +45,9 @@ PRESENT, ABSENT, LATE = 0, 1, 2
 NARROW = "rank int, doc_id long, part string, mask int, high long, low long"
 COMBINED = "bucket long, high long, low long, rank int, doc_id long, part string, mask int, label int, n long"
 DELTAS = "part string, mask int, label int, n bigint"
-#: Texts by their key, as JSON: [high, low, rank, doc_id, [[part, label, number], ...]] with the smallest id met and the rows that have it.
-STATE = "texts string"
+#: Texts by their key, as compressed JSON: [high, low, rank, doc_id, [[part, label, number], ...]] with the smallest id met and the
+#: rows that have it.
+STATE = "texts binary"
 #: Texts that one state holds on average: a call of the state function costs some milliseconds, a text some microseconds.
 TEXTS = 256
 
@@ -173,7 +175,7 @@ def _update(_bucket, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataF
         for high, low, *row in zip(*[frame[c].tolist() for c in names], strict=True):
             rows.setdefault((high, low), []).append(tuple(row))
     texts: dict[tuple, tuple] = {}
-    for high, low, rank, doc_id, held in json.loads(state.get[0]) if state.exists else []:
+    for high, low, rank, doc_id, held in json.loads(zlib.decompress(state.get[0])) if state.exists else []:
         texts[high, low] = (rank, doc_id, {(part, label): n for part, label, n in held})
     total: Counter = Counter()
     for key, new in rows.items():
@@ -181,7 +183,7 @@ def _update(_bucket, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataF
         for counter, n in deltas.items():
             total[counter] += n
     kept = [[*key, rank, doc_id, [[part, label, n] for (part, label), n in held.items()]] for key, (rank, doc_id, held) in texts.items()]
-    state.update((json.dumps(kept, separators=(",", ":")),))
+    state.update((zlib.compress(json.dumps(kept, separators=(",", ":")).encode(), 1),))
     yield pd.DataFrame([(*counter, n) for counter, n in total.items() if n], columns=["part", "mask", "label", "n"])
 
 
@@ -200,7 +202,8 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, root: str, ba
     """part, mask, label and n: rows of the documents at ``path`` by the set of filters that they fail.
 
     A stream reads all files there are, in about ``batches`` micro-batches. Its state has every text by its key, some 256 texts a
-    row, and lies in RocksDB; copies are combined in their task before they meet it. Each micro-batch writes its changes of the counters in place of
+    row and 40 bytes a text, in the store that the session names (``build_session``: RocksDB, beyond memory); copies are combined in
+    their task before they meet it. Each micro-batch writes its changes of the counters in place of
     those that it may have written before, so a replay after a failure changes nothing. The counters are their sum.
     """
     flags = settle(label_flags(labels))
@@ -213,15 +216,8 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, root: str, ba
         changes = batch.groupBy("part", "mask", "label").agg(F.sum("n").alias("n"))
         tables.put_batch(changes, f"{root}/counters", str(batch_id))
 
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    earlier = spark.conf.get(provider)
-    spark.conf.set(provider, ROCKSDB_PROVIDER)
-    try:  # a query keeps the settings of its start
-        stream = deltas.writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
-        query = stream.foreachBatch(add).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(provider, earlier)
-    query.awaitTermination()
+    stream = deltas.writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
+    stream.foreachBatch(add).trigger(availableNow=True).start().awaitTermination()
     counters = tables.read(spark, f"{root}/counters", tables.batched(schemas.struct(DELTAS)))
     return counters.groupBy("part", "mask", "label").agg(F.sum("n").alias("n")).filter("n <> 0")
 
