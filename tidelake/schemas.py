@@ -11,6 +11,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "array<string>": T.ArrayType(T.StringType()),

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import calendar
 from tidelake.functions.trips import audit_ts, by_code, tagged
-from tidelake.operators import checks, dimensions
+from tidelake.operators import checks, dimensions, inspect
 from tidelake.operators.ordering import number_rows, rank_all
 from tidelake.operators.rules import reject_reason
 from tidelake.plans import bronze as bronze_plan
 from tidelake.plans import gold, incremental, silver
-from tidelake.session import scratch
-from tidelake.sources import files, loads, refreshed, tables
+from tidelake.session import scratch, settle
+from tidelake.sources import files, loads, namespaces, refreshed, tables
 from workload import adapters
 
 
@@ -400,6 +400,38 @@ def _loaded_trips(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read(spark, f"{root}/bronze")
 
 
+def namespace_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tables of a namespace as the catalog lists and describes them, with their rows; both are dropped again."""
+    name = f"lake_{scratch(spark, 'ns')[-12:]}"
+    namespaces.ensure_namespace(spark, name)
+    for table in ("nation", "region"):
+        path = scratch(spark, table)
+        adapters.table(spark, sf, table).write.parquet(path)
+        spark.sql(f"CREATE TABLE {name}.{table} USING parquet LOCATION '{path}'")
+    found = []
+    for row in namespaces.list_tables(spark, name).collect():
+        full = f"{name}.{row.tableName}"
+        counted = spark.table(full).agg(F.count(F.lit(1)).alias("n"))
+        columns = namespaces.describe(spark, full).select(F.lit(row.tableName).alias("table"), "col_name", "data_type")
+        found.append(settle(columns.withColumn("n", F.lit(counted.first()["n"]).cast("bigint"))))
+        namespaces.drop_table(spark, full)
+    namespaces.drop_namespace(spark, name)
+    return checks.report(found)
+
+
+def access_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """What a read of one batch, one status and two columns touches: the plan's filters and columns, and the rows it finds."""
+    path = scratch(spark, "access")
+    orders = adapters.table(spark, sf, "orders")
+    for status in ("F", "O"):
+        tables.put_batch(orders.filter(F.col("o_orderstatus") == status), path, status)
+    found = incremental.one_batch(spark, path, "F").filter("o_orderpriority = '2-HIGH'").groupBy("o_orderpriority").agg(F.sum("o_custkey").alias("keys"))
+    plan = inspect.plan_summary(found)
+    pushed = any("EqualTo(o_orderpriority,2-HIGH)" in f for f in plan["pushed_filters"])
+    partition = any("= F" in f for f in plan["partition_filters"])
+    return found.select("keys", F.lit(pushed).alias("pushed"), F.lit(partition).alias("one_partition"), F.lit(plan["read_schema"][0]).alias("columns"))
+
+
 def load_history(spark: SparkSession, sf: str) -> DataFrame:
     """What each ingested file added."""
     return wall_clock(loads.history(_loaded_trips(spark, sf), "bronze_ingestion_ts"))
@@ -484,6 +516,6 @@ QUERIES = {
         sequence_check, sequence_offenders, catalog_checks, table_row_counts, catalog_files, freshness_states,
         busiest_in_order, column_diff, as_of_version, as_of_timestamp,
         as_of_daily_counts, version_delta, snapshot_history, schema_evolution, full_refresh, idempotent_ingest,
-        lakehouse_refresh, load_history, load_as_of, merged_volume, merged_delays, merged_demand, merged_sketches, slot_ranking,
+        lakehouse_refresh, namespace_tables, access_paths, load_history, load_as_of, merged_volume, merged_delays, merged_demand, merged_sketches, slot_ranking,
     ]
 }

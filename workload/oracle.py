@@ -405,6 +405,11 @@ UNION ALL SELECT 'weather_condition', NULL, 'string' FROM n""",
   max(trip_date) AS last_date FROM trips GROUP BY line, source_file"""
     ),
     "lakehouse_refresh": _batch("SELECT * FROM delays"),
+    "namespace_tables": """SELECT 'nation' AS "table", c AS col_name, t AS data_type, n
+FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int')) AS v(c, t), (SELECT count(*) AS n FROM nation)
+UNION ALL SELECT 'region', c, t, n FROM (VALUES ('r_regionkey', 'int'), ('r_name', 'string')) AS v(c, t), (SELECT count(*) AS n FROM region)""",
+    "access_paths": """SELECT sum(o_custkey)::BIGINT AS keys, true AS pushed, true AS one_partition,
+  'struct<o_custkey:bigint,o_orderpriority:string>' AS columns FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'""",
     "load_history": _batch(
         f""", files AS (
   SELECT CASE WHEN line LIKE '%F' THEN 1 WHEN line = 'RO' THEN 2 ELSE 3 END AS n, count(*) AS added FROM trips GROUP BY 1)
@@ -448,6 +453,20 @@ FROM events""",
     "delay_edge_alerts": _events("SELECT * FROM edges"),
     "delay_edge_alerts_stream": _events("SELECT * FROM edges"),
     "delay_edge_alerts_carried": _events("SELECT * FROM edges"),
+    "late_rows": _events(
+        """, cuts AS (
+  SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 AS half, epoch_us(max(ts)) - (epoch_us(max(ts)) - epoch_us(min(ts))) // 100 AS last
+  FROM events),
+timed AS (
+  SELECT e.*, epoch_us(strptime(timestamp, '%Y-%m-%dT%H:%M:%S.%fZ')) AS us, date_trunc('hour', event_time) AS hour
+  FROM enriched e),
+closed AS (SELECT max(event_time) - INTERVAL 120 SECOND AS until FROM timed, cuts WHERE us >= half AND us < last),
+late AS (SELECT timed.* FROM timed, cuts, closed WHERE us < half AND hour + INTERVAL 1 HOUR <= until),
+groups AS (
+  SELECT hour, CASE WHEN event_type IN ('arrival', 'departure') THEN 'occupancy' ELSE 'alerts' END AS t, station_id AS k, stop_name AS n FROM late
+  UNION SELECT hour, CASE WHEN delay_seconds >= 0 THEN 'delays' END, CASE WHEN delay_seconds >= 0 THEN line END, NULL FROM late)
+SELECT 'operational' AS query, count(*)::BIGINT AS dropped FROM groups"""
+    ).replace("\n, cuts", ", cuts"),
     "capacity_alerts": _events(
         """, places AS (
   SELECT * EXCLUDE (timestamp), CASE WHEN line IN ('K', 'J', 'L', 'H', 'M', 'P') THEN 50 WHEN line = 'TA' THEN 300
