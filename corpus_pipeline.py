@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelake.llm import bpe, exact_dedup, minhash_join, mixing, quality_rules
 from tidelake.llm.common import table
@@ -40,18 +39,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids (little-endian 32-bit integers), their number, and digests of ids and decoded text."""
-    encode = bpe.tokens_column(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    held = docs.select(row.alias("_row"), encode(F.col("text").cast("string")).alias("_tokens"))
-    added = {
-        "token_ids": F.col("_tokens.ids"),
-        "n_tokens": (F.octet_length("_tokens.ids") / 4).cast("long"),
-        "ids_sha256": F.sha2("_tokens.ids", 256),
-        "decoded_sha256": F.sha2("_tokens.decoded", 256),
-    }
-    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in added]
-    return held.select(*kept, *[c.alias(name) for name, c in added.items()])
+    """The documents with their token ids (little-endian 32-bit integers), their number, and digests of ids and decoded text, in place
+    of columns that have these names already."""
+    return bpe.with_tokens(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 STAGES: list[tuple[str, Stage]] = [

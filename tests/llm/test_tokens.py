@@ -86,6 +86,19 @@ def test_a_full_word_table_changes_nothing():
     assert [model.ids([t])[0] for t in texts] == want
 
 
+def test_pieces_of_odd_texts():
+    """White space of every kind at every place, against whole texts, with tables that overflow."""
+    model = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.ranks, special_tokens={})
+    draw = random.Random(12)
+    signs = ["a", "B1", "é", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "　", "\u200b", ".", "'s", "\0", "日", "7"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(1, 14))) for _ in range(4000)]
+    want = [np.array(library.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    for most in (500_000, 50):
+        model.cache.most = most
+        assert [c for at in range(0, 4000, 500) for c in model.ids(texts[at : at + 500])] == want
+
+
 def test_files_as_the_library(spark, small_docs, odd_docs, odd_texts, tmp_path):
     library = Tokenizer.from_file(JSON)
     odd = spark.createDataFrame([(i, t) for i, t in enumerate(odd_texts)], "doc_id long, text string")

@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from tidelake.llm.chunk_cache import ChunkCache
 from tidelake.llm.common import slices, table, texts_of
@@ -27,19 +27,23 @@ TOKENS = 1_000_000
 LONG_WORD = 1024
 MEMORY = "400MB"
 
-# A token-position row is (word w, place p of its first byte, token t). A step pairs each row with its successor, joins
-# the pairs with the merges, and takes of each word the least (rank, place). The row there gets the merged token and its
-# successor goes. Words without a pair leave the recursion.
+# A token-position row is (word w, place p of its first byte, token t, the token nt after it, that one's place q, and the rank k of the
+# merge of both, if there is one). A step takes the least (rank, place) of each word: the row there goes, the row behind it takes its
+# place with the merged token, and the row before it gets a new successor. Only those two look up their merge again, the rank of
+# every other row stays. Words without a merge leave the recursion.
 _STEP = """
-WITH RECURSIVE step(w, p, t, live) AS (
-  SELECT w, p, t, true FROM seed
+WITH RECURSIVE step(w, p, t, nt, q, k, live) AS (
+  SELECT w, p, t, nt, p + 1, m, true FROM seed LEFT JOIN merges ON l = t AND r = nt
   UNION ALL
-  (WITH pair AS (
-     SELECT w, p, t, lead(t) OVER near AS nt, lag(p) OVER near AS pp FROM step WHERE live WINDOW near AS (PARTITION BY w ORDER BY p)),
-   best AS (
-     SELECT w, min((m::BIGINT << 32) | p) AS k FROM pair JOIN merges ON l = t AND r = nt GROUP BY w)
-   SELECT pair.w, p, CASE WHEN (k & 4294967295) = p THEN (k >> 32)::INTEGER ELSE t END, k IS NOT NULL
-   FROM pair LEFT JOIN best ON best.w = pair.w WHERE k IS NULL OR pp IS NULL OR pp <> (k & 4294967295))
+  (WITH best AS (
+     SELECT w, min((k::BIGINT << 32) | p) AS b, arg_min(q, (k::BIGINT << 32) | p) AS bq FROM step WHERE live GROUP BY w),
+   moved AS (
+     SELECT step.w, CASE WHEN p = bq THEN (b & 4294967295)::INTEGER ELSE p END AS p, CASE WHEN p = bq THEN (b >> 32)::INTEGER ELSE t END AS t,
+            CASE WHEN q = (b & 4294967295) THEN (b >> 32)::INTEGER ELSE nt END AS nt, q, k,
+            p = bq OR q = (b & 4294967295) AS changed, b IS NOT NULL AS live
+     FROM step JOIN best ON best.w = step.w WHERE step.live AND (b IS NULL OR p <> (b & 4294967295)))
+   SELECT w, p, t, nt, q, CASE WHEN changed THEN m ELSE k END, live
+   FROM moved LEFT JOIN merges ON l = CASE WHEN changed THEN t END AND r = nt)
 )
 SELECT w, list(t ORDER BY p) AS ids FROM step WHERE NOT live GROUP BY w ORDER BY w
 """
@@ -76,9 +80,8 @@ class Bpe:
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         matches = [self.pattern.findall(piece) for piece in pieces]
-        if len(self.words) > self.cache.most:
-            self.words = {}
-        self._learn({word for words in matches for word in words} - self.words.keys())
+        self.words = {}  # those of one call: the pieces are what is held
+        self._learn({word for words in matches for word in words})
         return [b"".join([self.words[word] for word in words]) for words in matches]
 
     def _learn(self, words: set[str]) -> None:
@@ -101,8 +104,11 @@ class Bpe:
     def _recurse(self, words: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         tokens = self.bytes[np.frombuffer(b"".join(words), np.uint8)]
-        place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.db.register("seed", pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": place.astype(np.int32), "t": tokens}))
+        ends = np.cumsum(sizes)
+        place = (np.arange(len(tokens)) - np.repeat(ends - sizes, sizes)).astype(np.int32)
+        after = np.append(tokens[1:], np.int32(-1))
+        after[ends - 1] = -1  # no token has this id, so the last one of a word has no merge
+        self.db.register("seed", pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "p": place, "t": tokens, "nt": after}))
         found = self.db.sql(_STEP).to_arrow_table().column("ids").combine_chunks()
         self.db.unregister("seed")
         flat, ends = found.values.to_numpy().astype("<u4"), found.offsets.to_numpy()
@@ -190,19 +196,28 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(_run(path, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def tokens_column(path: str, pattern: str):
-    """A column function from text to a struct of its ids (little-endian 32-bit integers) and the text decoded from them."""
+ADDED = StructType([StructField("token_ids", BinaryType()), StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
-    @F.arrow_udf(StructType([StructField("ids", BinaryType()), StructField("decoded", BinaryType())]))
-    def tokens(texts: pa.Array) -> pa.Array:
+
+def _add(path: str, pattern: str, column: str):
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = bpe(path, pattern)
-        ids, decoded = [], []
-        for part in slices([pa.RecordBatch.from_arrays([texts], names=["t"])], "t", SLICE):
-            ids += model.ids(texts_of(part.column(0)))
-            decoded += model.texts(ids[len(decoded) :])
-        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], ["ids", "decoded"])
+        for part in slices(batches, column, SLICE):  # ids and texts of one slice at a time
+            coded = model.ids(texts_of(part.column(part.schema.get_field_index(column))))
+            decoded = [hashlib.sha256(text).hexdigest() for text in model.texts(coded)]
+            columns = [pa.array(coded, pa.binary()), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array(decoded)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *ADDED.names])
+
+    return add
+
 
-    return tokens
+def with_tokens(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``docs`` with the token ids of each text (little-endian 32-bit integers), their number, and digests of the ids and of the text
+    decoded from them. Columns of ``docs`` that have these names are replaced. Null texts stay null and have no tokens; repeated rows
+    stay; no rows give no rows. A task holds the ids and texts of one slice of some megabytes, or of one longer document."""
+    kept = [f for f in docs.schema.fields if f.name not in ADDED.names]
+    rows = docs.select(*[F.col(f"`{f.name}`") for f in kept])
+    return rows.mapInArrow(_add(path, pattern, "text"), StructType([*kept, *ADDED.fields]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
