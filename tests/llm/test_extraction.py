@@ -79,6 +79,33 @@ def test_names_are_a_feature_and_no_override():
     assert [html_extract.speaks_against(x) for x in (' class="mainAdBox"', " id=AD", ' role="navigation"', ' class="cookie_notice"', ' class="adapt"', ' id="sharing-data"')] == [True] * 4 + [False] * 2
 
 
+def test_links_inside_an_article():
+    page = f"""<nav><a href=/>Home</a></nav><article><h1><a href=x>A linked title</a></h1><p>{GOOD}</p>
+    <p>See <a href=y>the full report of the committee on the state of the garden</a>.</p><p>{GOOD}</p></article><div><a href=z>Next page of the list</a></div>"""
+    assert html_extract.main_text(page).split("\n") == ["A linked title", GOOD, "See the full report of the committee on the state of the garden.", GOOD]
+    page = f'<ul><li><a href=a>One</a><li><a href=b>Two</a></ul><div><h2><a href=x>Title</a></h2><p>{GOOD}</p></div><ul><li><a href=c>Three</a></ul>'
+    assert html_extract.main_text(page).split("\n") == ["Title", GOOD]
+
+
+RUSSIAN = "Старый дом стоял на краю деревни, и никто уже не помнил, кто построил его и когда это было на самом деле."
+JAPANESE = "古い家は村のはずれに立っていて、誰がいつそれを建てたのか、もう誰も覚えていなかった。" * 3
+
+
+def test_languages_without_known_stop_words():
+    for text in (RUSSIAN, JAPANESE):
+        page = f"<ul><li><a href=a>{text[:9]}</a></ul><div><p>{text}</p><p>{text}</p><p>{text[:20]}</p><p>{text}</p></div><footer>{text}</footer>"
+        assert html_extract.main_text(page).split("\n") == [text, text, text[:20].strip(), text]
+
+
+def test_a_teaser_beside_the_body():
+    body = "".join(f"<p>{GOOD} It was the day number {i} of the year.</p>" for i in range(10))
+    page = f'<div id="content">{body}</div><article class="card"><h3><a href=x>More</a></h3><p>{GOOD}</p></article>'
+    got = html_extract.main_text(page).split("\n")
+    assert [t for t in got if "day number" in t] == [f"{GOOD} It was the day number {i} of the year." for i in range(10)]
+    page = f"<article><h1>Title</h1>{body}</article><div><p>{GOOD}</p></div>"
+    assert html_extract.main_text(page).split("\n") == ["Title", *(f"{GOOD} It was the day number {i} of the year." for i in range(10))]
+
+
 def test_every_page_against_its_article_element(spark):
     """In these pages everything outside the article element is frame."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
@@ -93,7 +120,6 @@ def test_every_page_against_its_article_element(spark):
 
 def test_null_and_empty_pages(spark):
     pages = spark.createDataFrame([(None, None, None, 1), (1, "u", "", 2), (1, "u", "", 2)], "page_id long, url string, html string, text int")
-    assert sorted(map(str, html_extract.extract(pages).collect())) == sorted(
-        map(str, html_extract.extract(pages.sparkSession.createDataFrame(
-            [(None, None, ""), (1, "u", ""), (1, "u", "")], "page_id long, url string, html string")).collect()))
+    want = [(None, None, "", 0), (1, "u", "", 0), (1, "u", "", 0)]
+    assert sorted(map(str, (tuple(r) for r in html_extract.extract(pages).collect()))) == sorted(map(str, want))
     assert html_extract.extract(pages.limit(0)).collect() == []

@@ -61,6 +61,8 @@ STOP_WORDS = {
 }
 STOPS = frozenset(word for words in STOP_WORDS.values() for word in words.split())
 
+#: Signs that end or part sentences.
+_SENTENCE = re.compile(r"[.,;:!?…。、！？，；：।،؛؟]")
 SHORT_CHARS = 70
 MOST_LINKS = 0.33
 GOOD_STOPS = 0.12
@@ -194,26 +196,47 @@ def blocks_of(page: str) -> list[Block]:
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
-def first_pass(block: Block, article: bool) -> int:
-    """1 for content, -1 for boilerplate, 0 for undecided. ``article``: the page marks its article."""
-    if block.framed or (article and not block.within):
-        return -1
-    if block.linked > MOST_LINKS * max(1, sum(map(len, block.parts))):
+def much_linked(block: Block) -> bool:
+    return block.linked > MOST_LINKS * max(1, sum(map(len, block.parts)))
+
+
+def stop_words(block: Block) -> tuple[int, int]:
+    """Words, and stop words among them."""
+    words = _WORDS.findall(block.text.lower())
+    return len(words), sum(word in STOPS for word in words)
+
+
+def in_known_language(blocks: list[Block]) -> bool:
+    """Does the page's longer text hold stop words at all? If not, their absence says nothing about a block."""
+    counts = [stop_words(b) for b in blocks if not b.framed and len(b.text) >= SHORT_CHARS and not much_linked(b)]
+    words, stops = sum(n for n, _ in counts), sum(s for _, s in counts)
+    return not words or stops > BAD_STOPS * words
+
+
+def first_pass(block: Block, known: bool) -> int:
+    """1 for content, -1 for boilerplate, 0 for undecided. ``known``: the page is in a language whose stop words are known; else
+    a longer block with few links and the signs of sentences is content. Links make a heading, or a block of the article,
+    undecided at most."""
+    if block.framed:
         return -1
+    if much_linked(block):
+        return 0 if block.within or block.heading else -1
     if len(block.text) < SHORT_CHARS or block.heading:
         return 0
-    words = _WORDS.findall(block.text.lower())
-    stops = sum(word in STOPS for word in words) / max(1, len(words))
+    if not known:
+        return 1 if _SENTENCE.search(block.text) else 0
+    words, found = stop_words(block)
+    stops = found / max(1, words)
     if stops >= GOOD_STOPS:
         return 1
     # Inside a marked article rare stop words prove nothing (lists, names, other languages).
     return 0 if block.within or stops > BAD_STOPS else -1
 
 
-def second_pass(labels: list[int], within: list[bool]) -> list[int]:
+def second_pass(labels: list[int], within: list[bool], heading: list[bool] | None = None) -> list[int]:
     """Undecided blocks take the label of the nearest decided one on each side; if these differ, of the nearer one.
 
-    Equal distances make it content inside the article and boilerplate outside. Blocks of a marked article look
+    Equal distances give a heading the label of what follows it, and make other blocks content inside the article and boilerplate outside. Blocks of a marked article look
     only at blocks of the article, other blocks only at others; with no decided block there, they are content.
     """
     out = list(labels)
@@ -238,26 +261,30 @@ def second_pass(labels: list[int], within: list[bool]) -> list[int]:
                 out[i] = labels[right if left is None else left]
             elif labels[left] == labels[right] or i - left < right - i:
                 out[i] = labels[left]
-            elif right - i < i - left:
+            elif right - i < i - left or (heading and heading[i]):
                 out[i] = labels[right]
             else:
                 out[i] = 1 if inside else -1
     return out
 
 
-def first_labels(blocks: list[Block]) -> list[int]:
-    """The first pass over a page, with the names of containers as a feature.
+def first_labels(blocks: list[Block]) -> tuple[list[int], bool]:
+    """The first pass over a page, with the names of containers as a feature, and whether the page marks its article.
 
-    A container whose name speaks against it is boilerplate unless a block in it reads like content. If one does, its blocks are
+    What stands outside a marked article is boilerplate, unless more than twice as much prose stands there as inside: then
+    the marked elements are teasers, and the page is read as if it had none. A container whose name speaks against it is boilerplate unless a block in it reads like content. If one does, its blocks are
     labelled as if it had no name inside a marked article, or where such containers hold more of the page's content than all the
     rest; elsewhere they are undecided.
     """
-    labels = [first_pass(b, False) for b in blocks]
+    known = in_known_language(blocks)
+    labels = [first_pass(b, known) for b in blocks]
     # In a marked article a long text with few links will do, as rare stop words prove nothing there.
     prose = [x > 0 or (x == 0 and b.within and not b.heading and len(b.text) >= SHORT_CHARS) for b, x in zip(blocks, labels, strict=True)]
     good = {b.named for b, x in zip(blocks, prose, strict=True) if x}
     kept = [not b.framed and (not b.named or b.named in good) for b in blocks]
     article = any(b.within and k for b, k in zip(blocks, kept, strict=True))
+    shares = [sum(len(b.text) for b, x, k in zip(blocks, prose, kept, strict=True) if x and k and b.within == inside) for inside in (True, False)]
+    article = article and shares[1] <= 2 * shares[0] if shares[0] else article
     sizes = [len(b.text) if x and (b.within or not article) else 0 for b, x in zip(blocks, prose, strict=True)]
     named = sum(n for b, n in zip(blocks, sizes, strict=True) if b.named)
     for i, b in enumerate(blocks):
@@ -265,13 +292,14 @@ def first_labels(blocks: list[Block]) -> list[int]:
             labels[i] = -1
         elif b.named and not b.within and labels[i] > 0 and 2 * named <= sum(sizes):
             labels[i] = 0
-    return labels
+    return labels, article
 
 
 def main_text(page: str) -> str:
     """The content blocks of a page, one a line."""
     blocks = blocks_of(page)
-    final = second_pass(first_labels(blocks), [b.within for b in blocks])
+    labels, article = first_labels(blocks)
+    final = second_pass(labels, [b.within and article for b in blocks], [b.heading for b in blocks])
     return "\n".join(b.text for b, label in zip(blocks, final, strict=True) if label > 0)
 
 
