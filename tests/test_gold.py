@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.plans import gold
+from tidelake.sources import refreshed
 
 SCHEMA = (
     "station_id_origen string, nombre_origen string, municipio_origen string, line string, tipo_servicio string, "
@@ -103,4 +104,4 @@ def test_write_gold_returns_rows(spark, tmp_path):
     path = str(tmp_path / "g")
     assert gold.write_gold(path, spark.range(7)) == 7
     assert gold.write_gold(path, spark.range(3)) == 3
-    assert spark.read.parquet(path).agg(F.max("id")).first()[0] == 2
+    assert refreshed.read(spark, path).agg(F.max("id")).first()[0] == 2
