@@ -40,7 +40,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, each computed once; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
@@ -152,8 +152,9 @@ class _Search:
         first = F.size("shared") - (MATCHES - 1)
         prefix = F.transform(F.slice("shared", 1, F.greatest(first, F.lit(0))), lambda s: s["key"])
         chosen = shared.select("node", prefix.alias("prefix")).filter(F.size("prefix") > 0)
-        self.active = settle(classes.join(chosen, "node"))
-        self.posted = settle(self.active.select("node", "n", F.explode("prefix").alias("key")))
+        held = settle(classes.join(chosen, "node"))
+        self.active = held.drop("prefix")
+        self.posted = held.select("node", F.explode("prefix").alias("key"))
         owners = self.active.select("node", "doc_id", "text_key")
         rows = docs.select(*_row_key(docs), F.col("text"))
         joined = rows.join(owners, rows["doc_id"].eqNullSafe(owners["doc_id"]) & (rows["text_key"] == owners["text_key"]))
@@ -161,9 +162,14 @@ class _Search:
         self.texts = settle(joined.select("node", "text").dropDuplicates(["node"]))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs (a, b) those whose sets are similar: by length, then by collisions, then on the full sets."""
-        one, two = self._side("a"), self._side("b")
-        return self.read(settle(pairs.join(one, "a").join(two, "b").filter(self._likely()).select("a", "b")))
+        """Of pairs (a, b) those whose sets are similar: by length and parities, then by collisions, then on the full sets."""
+        close = pairs.join(self._side("a", "n", "odd"), "a").join(self._side("b", "n", "odd"), "b").filter(self._close()).select("a", "b")
+        return self.read(self.colliding(close))
+
+    def colliding(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b) those that collide often enough."""
+        both = pairs.join(self._side("a", "keys"), "a").join(self._side("b", "keys"), "b")
+        return settle(both.filter(F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES).select("a", "b"))
 
     def read(self, likely: DataFrame) -> DataFrame:
         """The pairs whose full sets are similar."""
@@ -172,16 +178,16 @@ class _Search:
         read = likely.join(mine, "a").join(other, "b").select("a", "b", "text_a", "text_b")
         return settle(read.mapInArrow(_confirm(self.size, self.similarity), "a long, b long"))
 
-    def _side(self, name: str) -> DataFrame:
-        return self.active.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "keys", "odd", "prefix")])
+    def _side(self, name: str, *columns: str) -> DataFrame:
+        return self.active.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
-    def _likely(self) -> Column:
-        """Lengths and parities that similar sets can have, and enough collisions."""
+    def _close(self) -> Column:
+        """Lengths and parities that similar sets can have."""
         n, m = F.col("n_a"), F.col("n_b")
         lengths = 100 * F.least(n, m) >= self.similarity * F.greatest(n, m)
         apart = sum((F.bit_count(F.col("odd_a")[i].bitwiseXOR(F.col("odd_b")[i])) for i in range(PARITIES // 64)), F.lit(0))
         parity = (100 + self.similarity) * apart <= (100 - self.similarity) * (n + m)
-        return lengths & parity & (F.size(F.array_intersect("keys_a", "keys_b")) >= MATCHES)
+        return lengths & parity
 
     def star_pairs(self) -> DataFrame:
         """Each posting with the least node of its list."""
@@ -206,17 +212,17 @@ class _Search:
         """All likely pairs of one list that are in different components so far.
 
         Pairs inside a component need no test: another link would change nothing. In each list the largest component faces
-        the others, so a group that fills a list meets only the few that are not in it. A pair comes from the
-        first list that it shares, if lengths and collisions allow it.
+        the others, so a group that fills a list meets only the few that are not in it. A posting brings no more than its set's
+        length and parities; the few pairs that these allow are made distinct before their signatures are fetched.
         """
-        mixed = self._mixed(roots, 0).select("key", "node", "root", "major")
+        mixed = settle(self._mixed(roots, 0).select("key", "node", "root", "major"))
         minor = mixed.filter("root <> major").select("key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        minor = settle(minor.join(self._side("a"), "a"))
+        minor = minor.join(self._side("a", "n", "odd"), "a")
         against = mixed.select(F.col("key").alias("key_b"), "major", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        against = settle(against.join(self._side("b"), "b"))
+        against = against.join(self._side("b", "n", "odd"), "b")
         apart = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("major")) | (F.col("b") < F.col("a")))
-        first = F.col("key") == F.array_min(F.array_intersect("prefix_a", "prefix_b"))
-        return minor.join(against, (F.col("key") == F.col("key_b")) & apart & self._likely() & first).select("a", "b")
+        met = minor.join(against, (F.col("key") == F.col("key_b")) & apart & self._close()).select("a", "b").distinct()
+        return self.colliding(met)
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -238,7 +244,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
     links = search.confirmed(search.star_pairs())
     roots = settle(components(links))
     for number in range(1, ROUNDS + 1):
-        more = search.confirmed(search.member_pairs(roots, number)) if number < ROUNDS else search.read(settle(search.crossing_pairs(roots)))
+        more = search.confirmed(search.member_pairs(roots, number)) if number < ROUNDS else search.read(search.crossing_pairs(roots))
         if not more.isEmpty():
             links = links.unionByName(more)
             roots = settle(components(links))
