@@ -46,3 +46,25 @@ def test_stages_on_what_the_one_before_kept(spark, tmp_path):
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(rows_of(whole.select("doc_id", "text"))) == sorted(coded)
     assert whole.filter("decoded_sha256 <> sha2(text, 256)").count() == 0
+
+
+def test_odd_rows_and_no_rows_through_all_stages(spark, odd_docs, no_docs, tmp_path):
+    """Nulls in every column, empty, long and repeated texts, and a table without rows."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    long_rows = spark.read.parquet(f"{SF}/documents.parquet").limit(30).select(*columns)
+    for name, first in (("odd", odd_docs.select(*columns).unionByName(long_rows)), ("none", no_docs.select(*columns))):
+        docs = first
+        for k, (stage_name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            out.write.parquet(str(tmp_path / name / str(k)))
+            docs = spark.read.parquet(str(tmp_path / name / str(k)))
+            assert docs.columns[:5] == columns, stage_name
+        assert (docs.count() > 0) == (name == "odd") and docs.filter("decoded_sha256 <> sha2(coalesce(text, ''), 256)").count() == 0
+
+
+def test_token_columns_replace_their_namesakes(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "x"), (2, None, 8, None)], "doc_id long, text string, n_tokens int, extra string")
+    out = corpus_pipeline.tokens(spark, docs, SF)
+    assert out.columns == ["doc_id", "text", "extra", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    rows = {r.doc_id: r for r in out.collect()}
+    assert (rows[1].n_tokens, rows[2].n_tokens, rows[2].text, bytes(rows[2].token_ids)) == (2, 0, None, b"")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
@@ -19,13 +20,16 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 from tidelake.llm.chunk_cache import ChunkCache
 from tidelake.llm.common import slices, table, texts_of
 
-#: Bytes of text per round, distinct words per recursive query, tokens per decoding query; each bounds what DuckDB holds.
+#: Bytes of text per round, bytes of distinct words per recursive query, tokens per decoding query; each bounds what DuckDB holds.
 SLICE = 4 << 20
-WORDS = 20_000
-TOKENS = 1_000_000
+WORD_BYTES = 250_000
+TOKENS = 500_000
 #: Bytes of a word beyond which it is contracted outside the database: a step there reads the whole word.
 LONG_WORD = 1024
-MEMORY = "400MB"
+MEMORY = "200MB"
+#: Pieces held, twice: what a worker keeps between slices. Beside whole rows and what earlier stages have left, there is room for fewer.
+PIECES, FEW_PIECES = 500_000, 200_000
+FEW = 2 << 20
 
 # A token-position row is (word w, place p of its first byte, token t, the token nt after it, that one's place q, and the rank k of the
 # merge of both, if there is one). A step takes the least (rank, place) of each word: the row there goes, the row behind it takes its
@@ -56,7 +60,7 @@ SELECT d, unhex(array_to_string(list(h ORDER BY p), '')) AS bytes FROM tokens JO
 class Bpe:
     """The tables of a rank file in a database of this process, and a bounded table of words already encoded."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, pieces: int = PIECES):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
@@ -64,15 +68,17 @@ class Bpe:
         ranks = self.ranks
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         left, right, merged = (np.array(c, np.int32) for c in zip(*merges, strict=True))
-        self.pairs = {(a, b): m for a, b, m in merges}
+        self.pairs: dict[tuple[int, int], int] = {}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self.db.register("new", pa.table({"l": left, "r": right, "m": merged}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM new")
+        for kind in ("allocator_flush_threshold", "allocator_bulk_deallocation_flush_threshold"):
+            self.db.execute(f"SET {kind} = '4MB'")  # memory of a query goes back after it
         self.db.register("new", pa.table({"t": np.array(list(ranks.values()), np.int32), "h": [t.hex() for t in ranks]}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM new")
         self.db.unregister("new")
         self.words: dict[str, bytes] = {}
-        self.cache = ChunkCache(self._encode_pieces)
+        self.cache = ChunkCache(self._encode_pieces, pieces)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian 32-bit integers."""
@@ -96,10 +102,15 @@ class Bpe:
             else:
                 open_words.append((word, raw))
         open_words.sort(key=lambda pair: len(pair[1]))  # words of like lengths take like numbers of steps
-        for at in range(0, len(open_words), WORDS):
-            part = open_words[at : at + WORDS]
-            for (word, _), ids in zip(part, self._recurse([raw for _, raw in part]), strict=True):
-                self.words[word] = ids
+        part, size = [], 0
+        for pair in [*open_words, None]:
+            if part and (pair is None or size + len(pair[1]) > WORD_BYTES):
+                for (word, _), ids in zip(part, self._recurse([raw for _, raw in part]), strict=True):
+                    self.words[word] = ids
+                part, size = [], 0
+            if pair:
+                part.append(pair)
+                size += len(pair[1])
 
     def _recurse(self, words: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -118,6 +129,8 @@ class Bpe:
         """The same contractions of one long word, with its pairs in a heap: a step per pair would read the word again."""
         tokens = self.bytes[np.frombuffer(raw, np.uint8)].tolist()
         size = len(tokens)
+        if not self.pairs:
+            self.pairs = {(a, b): m for a, b, m in self.db.sql("SELECT l, r, m FROM merges").fetchall()}
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
         pairs = self.pairs
         heap = [(m, p, tokens[p], tokens[p + 1]) for p in range(size - 1) if (m := pairs.get((tokens[p], tokens[p + 1]))) is not None]
@@ -168,8 +181,8 @@ class Bpe:
 
 
 @lru_cache(maxsize=2)
-def bpe(path: str, pattern: str) -> Bpe:
-    return Bpe(path, pattern)
+def bpe(path: str, pattern: str, pieces: int = PIECES) -> Bpe:
+    return Bpe(path, pattern, pieces)
 
 
 def _run(path: str, pattern: str):
@@ -201,12 +214,19 @@ ADDED = StructType([StructField("token_ids", BinaryType()), StructField("n_token
 
 def _add(path: str, pattern: str, column: str):
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = bpe(path, pattern)
-        for part in slices(batches, column, SLICE):  # ids and texts of one slice at a time
-            coded = model.ids(texts_of(part.column(part.schema.get_field_index(column))))
-            decoded = [hashlib.sha256(text).hexdigest() for text in model.texts(coded)]
-            columns = [pa.array(coded, pa.binary()), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array(decoded)]
-            yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *ADDED.names])
+        model = bpe(path, pattern, FEW_PIECES)
+        try:
+            for part in slices(batches, column, FEW):  # ids and texts of one slice at a time
+                pa.default_memory_pool().release_unused()
+                coded = model.ids(texts_of(part.column(part.schema.get_field_index(column))))
+                decoded = [hashlib.sha256(text).hexdigest() for text in model.texts(coded)]
+                columns = [pa.array(coded, pa.binary()), pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([hashlib.sha256(c).hexdigest() for c in coded]), pa.array(decoded)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *ADDED.names])
+        finally:  # Spark goes on with the same process for other stages
+            del model
+            bpe.cache_clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
 
     return add
 
