@@ -89,6 +89,53 @@ def test_enrich_same_without_broadcast(spark, bad, dim, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def _judged(monkeypatch, **answers):
+    """``is_small`` by the key that it is asked about; ``places`` has none."""
+    monkeypatch.setattr(dimensions, "is_small", lambda df, key=None: answers[(key or "places").lstrip("_")])
+
+
+@pytest.mark.parametrize("answers", [
+    {"stop_id": False, "kind": True, "places": True}, {"stop_id": False, "kind": True, "places": False}, {"stop_id": False, "kind": False},
+])
+def test_a_large_catalog_gives_the_same_rows(spark, bad, dim, monkeypatch, answers):
+    """Stops without some attributes, and trips without ends, included."""
+    odd = dim.unionByName(dim.filter("stop_id = 'A1'").withColumns({"stop_id": F.lit("X"), "nombre": F.lit(None).cast("string")}))
+    few = dimensions.enrich_trips(bad, odd)
+    _judged(monkeypatch, **answers)
+    with_setting = dimensions.enrich_trips(bad, odd)
+    assert with_setting.columns == few.columns
+    assert with_setting.exceptAll(few).isEmpty() and few.exceptAll(with_setting).isEmpty() and few.count() == len(BAD)
+
+
+def test_trips_are_not_shuffled_where_stops_and_attributes_are_small(spark, bad, dim, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _judged(monkeypatch, stop_id=False, kind=True, places=True)
+        plan = dimensions.enrich_trips(bad, dim)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == 4
+        _judged(monkeypatch, stop_id=False, kind=True, places=False)
+        plan = dimensions.enrich_trips(bad, dim)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_trips_without_a_stop_do_not_meet_in_one_task(spark, dim, monkeypatch):
+    one = spark.createDataFrame([trip(dest=None)], schemas.BRONZE_TRIPS).withColumn("stop_id_destino", F.lit(None).cast("string"))
+    many = spark.range(4000).crossJoin(one).withColumn("trip_id", F.col("id").cast("string")).drop("id")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        _judged(monkeypatch, stop_id=False, kind=True, places=False)
+        tasks = dimensions.enrich_trips(many, dim).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(r["count"] for r in tasks) == 4000 and max(r["count"] for r in tasks) < 1000
+
+
 def test_catalog_lookups(catalog, spark):
     stops, stations = catalog
     lines = {r.station_id: r.lines for r in dimensions.lines_per_station(stops).collect()}

@@ -1,8 +1,9 @@
 """The stop catalog and its joins.
 
 The catalog may be 57 rows or billions. It is broadcast after it was measured and
-found small; otherwise the joins sort and merge, and adaptive execution splits a
-dominant stop.
+found small; otherwise trips get the number of their stop's attributes, and those follow from a
+broadcast, as many stops share them. If stops and numbers are small, they are broadcast too; otherwise
+the joins sort and merge narrow rows, and adaptive execution splits a dominant stop.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.operators.sizing import is_small
+from tidelake.operators.sizing import RepeatedKeyError, is_small
 from tidelake.schemas import ROLE_ATTRIBUTES
 
 
@@ -31,14 +32,49 @@ def join_role(trips: DataFrame, dim: DataFrame, role: str, *shared: str, small:
     return trips.join(view, F.col(f"stop_id_{role}") == F.col(f"_stop_{role}"), "left").drop(f"_stop_{role}")
 
 
+def _kinds(dim: DataFrame, attributes: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    """Stops with the hash of their attributes, and the attributes of each hash; None if those are not few, or two share a hash."""
+    kind = F.xxhash64(*attributes, *[F.col(a).isNull() for a in attributes]).alias("_kind")
+    kinds = dim.select(kind, *attributes).distinct()
+    try:
+        return (dim.select("stop_id", kind), kinds) if is_small(kinds, key="_kind") else None
+    except RepeatedKeyError:
+        return None
+
+
+def _join_place(trips: DataFrame, view: DataFrame, role: str, small: bool) -> DataFrame:
+    """The view of a role by its stop id. Where trips are shuffled for that, those without a stop do not meet in one task."""
+    stop, known = F.col(f"stop_id_{role}"), F.col(f"_stop_{role}")
+    if small:
+        return trips.join(F.broadcast(view), stop == known, "left").drop(f"_stop_{role}")
+    nobody = F.concat(F.lit("-"), F.xxhash64("trip_id", "stop_id_origen", "stop_id_destino", "passenger_count").cast("string"))
+    left = F.when(stop.isNotNull(), F.concat(F.lit("+"), stop)).otherwise(nobody)
+    return trips.join(view, left == F.concat(F.lit("+"), known), "left").drop(f"_stop_{role}")
+
+
 def enrich_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
     """Origin and destination attributes from the same catalog; unknown stops stay, with NULLs.
 
     The service type comes from the origin stop only: both ends lie on one line. A stop that the catalog has twice is an error.
     """
-    used = dim.select("stop_id", *ROLE_ATTRIBUTES, "tipo_servicio")
-    small = is_small(used, key="stop_id")
-    return join_role(join_role(trips, used, "origen", "tipo_servicio", small=small), used, "destino", small=small)
+    shared = ["tipo_servicio"]
+    used = dim.select("stop_id", *ROLE_ATTRIBUTES, *shared)
+    if is_small(used, key="stop_id"):
+        return join_role(join_role(trips, used, "origen", *shared, small=True), used, "destino", small=True)
+    found = _kinds(used, [*ROLE_ATTRIBUTES, *shared])
+    if found is None:
+        joined = _join_place(trips, as_role(used, "origen", *shared), "origen", False)
+        return _join_place(joined, as_role(used, "destino"), "destino", False)
+    places, kinds = found
+    small = is_small(places)
+    joined = trips
+    for role in ("origen", "destino"):
+        view = places.select(F.col("stop_id").alias(f"_stop_{role}"), F.col("_kind").alias(f"_kind_{role}"))
+        joined = _join_place(joined, view, role, small)
+    for role, also in (("origen", shared), ("destino", [])):
+        view = kinds.select(F.col("_kind").alias("_known"), *[F.col(a).alias(f"{a}_{role}") for a in ROLE_ATTRIBUTES], *also)
+        joined = joined.join(F.broadcast(view), F.col(f"_kind_{role}") == F.col("_known"), "left").drop("_known", f"_kind_{role}")
+    return joined
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
