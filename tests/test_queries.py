@@ -30,3 +30,9 @@ def test_entry(spark):
 def test_query(spark, duck, name):
     problems = compare(OWN[name](spark, SF), duck, entry.oracle_sql()[name])
     assert problems == (["EMPTY"] if name in EMPTY_HERE else [])
+
+
+def test_merged_sketches_are_held_against_the_stored_clean_trips(spark):
+    """The trips are joined and cleaned for the batches, and not twice more for the exact figures."""
+    read = batch_queries.merged_sketches(spark, SF).inputFiles()
+    assert read and not any("lineitem.parquet" in name for name in read)

@@ -444,18 +444,18 @@ def load_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _updated_states(spark: SparkSession, sf: str) -> str:
-    """Aggregate states of two batches, one of which was loaded before with other trips and is loaded again."""
+    """Folder of the clean trips and the aggregate states of two batches, one of which was loaded before with other trips and is loaded again."""
     root, trips, dim = scratch(spark, "states"), adapters.bronze(spark, sf), stop_dim(spark, sf)
     first = F.coalesce(F.col("source_file").endswith("S1"), F.lit(False))
     for key, part in (("late", first), ("early", first), ("late", ~first)):
         tables.put_batch(trips.filter(part), f"{root}/bronze", key)
         batch = bronze_plan.read_batch(spark, f"{root}/bronze", key)
         incremental.update_batch(batch, dim, key, f"{root}/clean", f"{root}/states")
-    return f"{root}/states"
+    return root
 
 
 def _merged(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return wall_clock(incremental.merged_table(spark, _updated_states(spark, sf), name))
+    return wall_clock(incremental.merged_table(spark, f"{_updated_states(spark, sf)}/states", name))
 
 
 def merged_volume(spark: SparkSession, sf: str) -> DataFrame:
@@ -475,12 +475,14 @@ def merged_demand(spark: SparkSession, sf: str) -> DataFrame:
 
 def merged_sketches(spark: SparkSession, sf: str) -> DataFrame:
     """Per line: is the sketched threshold within the ranks that its error allows, are the distinct counts within 3 %?"""
-    about = incremental.merged_table(spark, _updated_states(spark, sf), "lineas_aproximado")
-    counts = gold.value_counts(clean_trips(spark, sf), ["line"], "passenger_count").withColumnRenamed("line", "_line")
+    root = _updated_states(spark, sf)
+    about = incremental.merged_table(spark, f"{root}/states", "lineas_aproximado")
+    trips = tables.read(spark, f"{root}/clean")
+    counts = gold.value_counts(trips, ["line"], "passenger_count").withColumnRenamed("line", "_line")
     low, high = (gold.HIGH_DEMAND_QUANTILE + d for d in (-0.02, 0.02))
     ranks = gold.with_percentile(gold.with_percentile(counts, "_line", "passenger_count", low, "low"), "_line", "passenger_count", high, "high")
     bounds = ranks.groupBy("_line").agg(F.max("low").alias("low"), F.max("high").alias("high"))
-    exact = clean_trips(spark, sf).groupBy(F.col("line").alias("_exact")).agg(F.count_distinct("stop_id_origen").alias("o"), F.count_distinct("trip_id").alias("t"))
+    exact = trips.groupBy(F.col("line").alias("_exact")).agg(F.count_distinct("stop_id_origen").alias("o"), F.count_distinct("trip_id").alias("t"))
     joined = about.join(bounds, F.col("line") == F.col("_line")).join(exact, F.col("line") == F.col("_exact"))
     return joined.select(
         "line", "trips", F.col("p90_about").between(F.col("low"), F.col("high")).alias("threshold_within"),
