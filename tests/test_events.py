@@ -95,3 +95,13 @@ def test_salted_join_gives_the_same(spark, catalog, monkeypatch):
     salted = ev.enrich_events(df, stops, stations, salts=4)
     assert salted.columns == ["event_id", "vehicle_id", "event_time", "stop_id", "station_id", "stop_name"]
     assert sorted(salted.groupBy("station_id", "stop_name").count().collect()) == sorted(plain)
+
+
+def test_events_are_not_shuffled_where_stops_and_names_are_small(spark, catalog, monkeypatch):
+    stops, stations = catalog
+    df = spark.createDataFrame([("A1",), ("K1",), ("X",), (None,)], "stop_id string")
+    plain = ev.enrich_events(df, stops, stations)
+    monkeypatch.setattr(ev, "is_small", lambda frame, key=None: key is None)
+    narrow = ev.enrich_events(df, stops, stations)
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, plain.collect()))
+    assert narrow._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2

@@ -36,3 +36,19 @@ def test_merged_sketches_are_held_against_the_stored_clean_trips(spark):
     """The trips are joined and cleaned for the batches, and not twice more for the exact figures."""
     read = batch_queries.merged_sketches(spark, SF).inputFiles()
     assert read and not any("lineitem.parquet" in name for name in read)
+
+
+def test_late_rows_of_several_tasks(spark, tmp_path, monkeypatch):
+    """Each part of the messages is written and read by several tasks; groups that these share count once."""
+    for name in ("customer", "nation", "region"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    spark.read.parquet(f"{SF}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(stream_queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        several = stream_queries.late_rows(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((tmp_path / "late" / "in").glob("part-*"))) > 6
+    monkeypatch.undo()
+    assert several == stream_queries.late_rows(spark, SF).collect() != []

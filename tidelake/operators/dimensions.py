@@ -32,12 +32,12 @@ def join_role(trips: DataFrame, dim: DataFrame, role: str, *shared: str, small:
     return trips.join(view, F.col(f"stop_id_{role}") == F.col(f"_stop_{role}"), "left").drop(f"_stop_{role}")
 
 
-def _kinds(dim: DataFrame, attributes: list[str]) -> tuple[DataFrame, DataFrame] | None:
-    """Stops with the hash of their attributes, and the attributes of each hash; None if those are not few, or two share a hash."""
+def kinds_of(dim: DataFrame, key: str, attributes: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    """Keys with the hash of their attributes, and the attributes of each hash; None if those are not few, or two share a hash."""
     kind = F.xxhash64(*attributes, *[F.col(a).isNull() for a in attributes]).alias("_kind")
     kinds = dim.select(kind, *attributes).distinct()
     try:
-        return (dim.select("stop_id", kind), kinds) if is_small(kinds, key="_kind") else None
+        return (dim.select(key, kind), kinds) if is_small(kinds, key="_kind") else None
     except RepeatedKeyError:
         return None
 
@@ -61,7 +61,7 @@ def enrich_trips(trips: DataFrame, dim: DataFrame) -> DataFrame:
     used = dim.select("stop_id", *ROLE_ATTRIBUTES, *shared)
     if is_small(used, key="stop_id"):
         return join_role(join_role(trips, used, "origen", *shared, small=True), used, "destino", small=True)
-    found = _kinds(used, [*ROLE_ATTRIBUTES, *shared])
+    found = kinds_of(used, "stop_id", [*ROLE_ATTRIBUTES, *shared])
     if found is None:
         joined = _join_place(trips, as_role(used, "origen", *shared), "origen", False)
         return _join_place(joined, as_role(used, "destino"), "destino", False)

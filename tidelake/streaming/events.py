@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.functions.events import event_time
+from tidelake.operators.dimensions import kinds_of
 from tidelake.operators.sizing import is_small
 
 INVALID = "_invalid"
@@ -77,7 +78,8 @@ def timed_events(raw: DataFrame, delay: str | None = None) -> DataFrame:
 def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salts: int = 16) -> DataFrame:
     """Add ``station_id`` and ``stop_name``; an unknown stop stands for itself, and one that the catalog has twice is an error.
 
-    A catalog measured small, as it is joined, is broadcast. Beyond that the join must shuffle, and
+    A catalog measured small, as it is joined, is broadcast. Beyond that events get the hash of their stop's station and name, which
+    follow from a broadcast, as many stops share them. If stops and hashes are not small either, the join must shuffle, and
     streaming joins get no adaptive skew handling: ``salts`` then spreads each
     stop's events over that many tasks and repeats the catalog as often.
     """
@@ -89,7 +91,12 @@ def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salt
         F.coalesce("nombre", "station_id").alias("_name"),
     )
     match = F.col("stop_id") == F.col("_stop")
-    if is_small(view, key="_stop"):
+    small = is_small(view, key="_stop")
+    found = None if small else kinds_of(view, "_stop", ["_station", "_name"])
+    if found:
+        view = found[0]
+        small = is_small(view)
+    if small:
         view = F.broadcast(view)
     elif salts > 1:
         events = events.withColumn("_salt", F.pmod(F.xxhash64("event_id", "vehicle_id", "event_time"), F.lit(salts)))
@@ -97,6 +104,9 @@ def enrich_events(events: DataFrame, stops: DataFrame, stations: DataFrame, salt
         view = view.withColumn("_copy", copies)
         match = match & (F.col("_salt") == F.col("_copy"))
     joined = events.join(view, match, "left")
+    if found:
+        kinds = found[1].withColumnRenamed("_kind", "_known")
+        joined = joined.join(F.broadcast(kinds), F.col("_kind") == F.col("_known"), "left").drop("_kind", "_known")
     return joined.withColumns(
         {"station_id": F.coalesce("_station", "stop_id"), "stop_name": F.coalesce("_name", "stop_id")}
     ).drop("_stop", "_station", "_name", "_salt", "_copy")

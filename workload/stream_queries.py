@@ -188,22 +188,21 @@ def delay_edge_alerts_carried(spark: SparkSession, sf: str) -> DataFrame:
 def late_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that the operational query dropped, as its listener adds them up: the newer half of the messages comes first.
 
-    A file is one task (gzip is not split), so what meets the state are the distinct groups of a file. A batch drops by the
-    watermark of the batch before the last one, hence the short second file.
+    The job is started again for each part, so that a part is one batch in as many files and tasks as it needs. A batch drops by the
+    watermark after the run before it; the newest hundredth comes last. What meets the state are the distinct groups of a batch.
     """
     root, messages = scratch(spark, "late"), adapters.messages(spark, sf)
     at = F.unix_micros("timestamp")
     first, last = messages.agg(F.min(at), F.max(at)).first()
     half, end = (first + last) // 2, last - (last - first) // 100
-    for part in ((at >= half) & (at < end), at >= end, at < half):
-        messages.filter(part).coalesce(1).write.mode("append").option("compression", "gzip").json(f"{root}/in")
     listener = jobs.LateRows(spark, f"{root}/late_rows")
     spark.streams.addListener(listener)
     try:
-        raw = streams.file_stream(spark, f"{root}/in", files_per_trigger=1)
-        queries = jobs.start_all(raw, *_catalog(spark, sf), root, HOURLY)
-        jobs.await_all(queries)
-        listener.await_ended(queries)
+        for part in ((at >= half) & (at < end), at < half, at >= end):
+            messages.filter(part).write.mode("append").json(f"{root}/in")
+            queries = jobs.start_all(streams.file_stream(spark, f"{root}/in"), *_catalog(spark, sf), root, HOURLY)
+            jobs.await_all(queries)
+            listener.await_ended(queries)
     finally:
         spark.streams.removeListener(listener)
     return jobs.late_rows(spark, f"{root}/late_rows")
