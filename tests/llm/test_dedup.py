@@ -138,3 +138,43 @@ def test_components_of_stars_chains_and_cycles(spark):
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long"))))
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 200)}, 300: 300, 301: 300, 302: 300}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_of_random_graphs_against_union_find(spark):
+    import random
+
+    for size, links, seed in ((400, 150, 1), (400, 380, 2), (60, 900, 3)):
+        draw = random.Random(seed)
+        edges = [(draw.randrange(-size, size), draw.randrange(-size, size)) for _ in range(links)]
+        root = {n: n for e in edges for n in e}
+
+        def find(n, root=root):
+            while root[n] != n:
+                n = root[n]
+            return n
+
+        for a, b in edges:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        linked = {n for a, b in edges if a != b for n in (a, b)}
+        assert sorted(rows_of(components(spark.createDataFrame(edges, "a long, b long")))) == sorted((n, find(n)) for n in linked)
+
+
+def test_few_links_take_few_tasks_of_many_partitions(spark):
+    # A star, a chain and a pair: they took some 2300 tasks a round over 211 partitions, all but a handful of them without rows.
+    edges = [(i, 0) for i in range(1, 500)] + [(i, i + 1) for i in range(1000, 1040)] + [(2000, 2001)]
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    context = spark.sparkContext
+    try:
+        context.setJobGroup("few-links", "components")
+        got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long").repartition(211))))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == {**dict.fromkeys(range(500), 0), **dict.fromkeys(range(1000, 1041), 1000), 2000: 2000, 2001: 2000}
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-links") for s in tracker.getJobInfo(j).stageIds}
+    assert sum(tracker.getStageInfo(s).numCompletedTasks for s in stages if tracker.getStageInfo(s)) < 2000

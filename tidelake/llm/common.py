@@ -10,7 +10,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.session import shared_root
+from tidelake.session import scratch, shared_root
 
 #: Six white-space bytes separate words everywhere in this subpackage; ``bytes.split()`` splits at the same six.
 SPACE = r"[\x20\x09-\x0D]"
@@ -33,6 +33,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and read it back from files in the shared folder, for steps that repeat.
+
+    A settled table keeps its planned size, which joins multiply: where each round joins what the last one joined, that number
+    soon has more digits than the driver can hold. Files have the size they have.
+    """
+    path = scratch(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(settled: DataFrame) -> DataFrame:
     """A hint to broadcast a settled table of narrow rows, only if its counted rows are within the bound.
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from tidelake.llm.common import bytes_of, settle, table
+from tidelake.llm.common import bytes_of, settle, small_side, table
 from tidelake.llm.components import components
 
 SHINGLE = 4
@@ -196,7 +196,7 @@ class _Search:
 
     def _mixed(self, roots: DataFrame, number: int) -> DataFrame:
         """Postings of the lists that hold several components, with their root, the list's largest component and a member of it."""
-        placed = self.posted.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        placed = self.posted.join(small_side(roots), "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         member = F.min_by("node", F.xxhash64("node", "key", F.lit(number))).alias("member")
         groups = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"), member)
         major = groups.groupBy("key").agg(
@@ -241,13 +241,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, similarity: int = SIMIL
     classes = settle(merged.select(F.monotonically_increasing_id().alias("node"), "digest", "n", "keys", "odd", "first", "first.doc_id", "first.text_key"))
     search = _Search(docs, classes.select("node", "doc_id", "text_key", "n", "keys", "odd"), shingle, similarity)
 
-    links = search.confirmed(search.star_pairs())
-    roots = settle(components(links))
+    roots = settle(components(search.confirmed(search.star_pairs())))
     for number in range(1, ROUNDS + 1):
         more = search.confirmed(search.member_pairs(roots, number)) if number < ROUNDS else search.read(search.crossing_pairs(roots))
         if not more.isEmpty():
-            links = links.unionByName(more)
-            roots = settle(components(links))
+            held = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links that it stands for
+            roots = settle(components(held.unionByName(more)))
 
     member = classes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
     heads = member.groupBy("root").agg(F.min("first").alias("head"))
