@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -133,3 +134,26 @@ def test_simple8b_packs():
     assert len(simple8b.encode(np.full(51_200, 1000, np.uint64))) < 51_200 * 1.5
     with pytest.raises(ValueError):
         simple8b.decode(b"x" * 40)
+
+
+def test_token_stage_holds_little_beside_whole_rows(monkeypatch):
+    seen = {"words": 0, "tokens": 0}
+    recurse, decode = bpe.Bpe._recurse, bpe.Bpe._decode
+
+    def recursed(self, words):
+        seen["words"] = max(seen["words"], sum(map(len, words)))
+        return recurse(self, words)
+
+    def decoded(self, coded):
+        seen["tokens"] = max(seen["tokens"], sum(len(c) // 4 for c in coded))
+        return decode(self, coded)
+
+    texts = [" ".join(f"w{hashlib.sha256(f'{i} {j}'.encode()).hexdigest()[:12]}" for j in range(500)) for i in range(150)]
+    want = bpe.Bpe(RANKS, public_tokenizers.PATTERN).ids(texts)
+    monkeypatch.setattr(bpe.Bpe, "_recurse", recursed)
+    monkeypatch.setattr(bpe.Bpe, "_decode", decoded)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    out = pa.Table.from_batches(list(bpe._add(RANKS, public_tokenizers.PATTERN, "text")([batch])))
+    assert out["token_ids"].to_pylist() == want
+    assert out["decoded_sha256"].to_pylist() == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+    assert 0 < seen["words"] <= 100_000 and 0 < seen["tokens"] <= 150_000

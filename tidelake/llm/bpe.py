@@ -27,9 +27,10 @@ TOKENS = 500_000
 #: Bytes of a word beyond which it is contracted outside the database: a step there reads the whole word.
 LONG_WORD = 1024
 MEMORY = "200MB"
-#: Pieces held, twice: what a worker keeps between slices. Beside whole rows and what earlier stages have left, there is room for fewer.
-PIECES, FEW_PIECES = 500_000, 200_000
-FEW = 2 << 20
+#: Pieces held, twice: what a worker keeps between slices.
+PIECES = 500_000
+#: The same four beside whole rows, and beside what earlier stages have left in the executor: a worker gets by on less there.
+FEW, FEW_WORD_BYTES, FEW_TOKENS, FEW_PIECES = 512 << 10, 80_000, 100_000, 60_000
 
 # A token-position row is (word w, place p of its first byte, token t, the token nt after it, that one's place q, and the rank k of the
 # merge of both, if there is one). A step takes the least (rank, place) of each word: the row there goes, the row behind it takes its
@@ -60,7 +61,8 @@ SELECT d, unhex(array_to_string(list(h ORDER BY p), '')) AS bytes FROM tokens JO
 class Bpe:
     """The tables of a rank file in a database of this process, and a bounded table of words already encoded."""
 
-    def __init__(self, path: str, pattern: str, pieces: int = PIECES):
+    def __init__(self, path: str, pattern: str, pieces: int = PIECES, word_bytes: int = WORD_BYTES, tokens: int = TOKENS):
+        self.word_bytes, self.tokens = word_bytes, tokens
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
@@ -104,7 +106,7 @@ class Bpe:
         open_words.sort(key=lambda pair: len(pair[1]))  # words of like lengths take like numbers of steps
         part, size = [], 0
         for pair in [*open_words, None]:
-            if part and (pair is None or size + len(pair[1]) > WORD_BYTES):
+            if part and (pair is None or size + len(pair[1]) > self.word_bytes):
                 for (word, _), ids in zip(part, self._recurse([raw for _, raw in part]), strict=True):
                     self.words[word] = ids
                 part, size = [], 0
@@ -156,7 +158,7 @@ class Bpe:
         at = 0
         while at < len(coded):
             size, to = len(coded[at]) // 4, at + 1
-            while to < len(coded) and size + len(coded[to]) // 4 <= TOKENS:
+            while to < len(coded) and size + len(coded[to]) // 4 <= self.tokens:
                 size += len(coded[to]) // 4
                 to += 1
             out += self._decode(coded[at:to])
@@ -169,8 +171,8 @@ class Bpe:
         out = [b""] * len(coded)
         parts: dict[int, list[bytes]] = {}
         document = np.repeat(np.arange(len(coded), dtype=np.int32), sizes)
-        for at in range(0, len(flat), TOKENS):  # a document beyond the bound is decoded in consecutive parts
-            to = at + TOKENS
+        for at in range(0, len(flat), self.tokens):  # a document beyond the bound is decoded in consecutive parts
+            to = at + self.tokens
             self.db.register("tokens", pa.table({"d": document[at:to], "p": np.arange(len(flat[at:to]), dtype=np.int32), "t": flat[at:to]}))
             for d, text in self.db.sql(_DECODE).fetchall():
                 parts.setdefault(d, []).append(text)
@@ -181,8 +183,8 @@ class Bpe:
 
 
 @lru_cache(maxsize=2)
-def bpe(path: str, pattern: str, pieces: int = PIECES) -> Bpe:
-    return Bpe(path, pattern, pieces)
+def bpe(path: str, pattern: str, *bounds: int) -> Bpe:
+    return Bpe(path, pattern, *bounds)
 
 
 def _run(path: str, pattern: str):
@@ -214,7 +216,7 @@ ADDED = StructType([StructField("token_ids", BinaryType()), StructField("n_token
 
 def _add(path: str, pattern: str, column: str):
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = bpe(path, pattern, FEW_PIECES)
+        model = bpe(path, pattern, FEW_PIECES, FEW_WORD_BYTES, FEW_TOKENS)
         try:
             for part in slices(batches, column, FEW):  # ids and texts of one slice at a time
                 pa.default_memory_pool().release_unused()

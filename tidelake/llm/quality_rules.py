@@ -63,6 +63,10 @@ def _count(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], COUNTS)
 
 
+# A deterministic function is called again in each filter on its result, by a second worker process beside each task's first.
+_count = _count.asNondeterministic()
+
+
 def statistics(text: Column) -> Column:
     """The counts of a text as a struct; a null text has none of anything."""
     return _count(text.cast("string"))
@@ -187,13 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, **how) ->
     Several labels of one id count once (any 0 makes it 0); labels or ids that are null are left out. Without both
     kinds of label there are no rules. The bounded sample alone reaches the driver, as one row of numbers a document.
     """
-    named = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    chosen = named.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(most)
-    known = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(chosen), "doc_id")
-    counted = known.select("doc_id", "_quality", statistics(F.col("text")).alias("_c"))
-    usable = counted.filter(~base_failed(F.col("_c")))
-    one = usable.groupBy("doc_id", "_quality").agg(F.min(F.struct(*features(F.col("_c")))).alias("_f"))
-    rows = one.select("doc_id", "_quality", "_f.*").toPandas().sort_values("doc_id")
+    rows = labelled(docs, labels, most).toPandas().sort_values("doc_id")
     # A fixed shuffle, so that growing and pruning rows do not depend on the order of ids.
     rows = rows.iloc[np.random.default_rng(SEED).permutation(len(rows))]
     bad = rows["_quality"].to_numpy() == 0
@@ -202,6 +200,17 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED, **how) ->
     return learn_rules(rows[FEATURES].to_numpy(float), bad, **how)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
+    """doc_id, _quality and the features of the labelled documents that a fit looks at and that pass the base rules."""
+    named = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+    chosen = named.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(most)
+    known = docs.select(F.col("doc_id"), F.col("text")).join(F.broadcast(chosen), "doc_id")
+    counted = known.select("doc_id", "_quality", statistics(F.col("text")).alias("_c"))
+    usable = counted.filter(~base_failed(F.col("_c")))
+    one = usable.groupBy("doc_id", "_quality").agg(F.min(F.struct(*features(F.col("_c")))).alias("_f"))
+    return one.select("doc_id", "_quality", "_f.*")
+
+
 def verdict(counts: Column, rules: Sequence[Rule]) -> Column:
     """Place in the list of the first rule that rejects a document, from 1; 0 if none does."""
     named = dict(zip(FEATURES, features(counts), strict=True))
