@@ -123,3 +123,71 @@ def test_labels_too_large_to_broadcast(spark, monkeypatch, salts):
     flags = spark.createDataFrame([(i, 1) for i in range(0, 50, 2)], "_labelled long, label int")
     got = {r.doc_id: r.label for r in filter_audit.with_labels(rows, flags, salts).collect()}
     assert got == {i: int(i % 2 == 0) for i in range(50)}
+
+
+def narrow(df, doc_id, rank=filter_audit.PRESENT):
+    values = {"rank": F.lit(rank), "doc_id": doc_id, "part": F.lit("p"), "mask": F.lit(0), "high": F.lit(7).cast("long"), "low": F.lit(0).cast("long")}
+    return df.select(*[c.alias(name) for name, c in values.items()])
+
+
+def test_many_labels_are_not_sent_through_the_driver(spark):
+    """Labels whose number follows the table's are shuffled, whatever the planner expects of their files."""
+    path = scratch(spark, "audit-labels")
+    spark.range(100_000).select(F.col("id").alias("_labelled"), F.lit(1).alias("label")).write.parquet(path)
+    joined = filter_audit.with_labels(narrow(spark.range(100_100), F.col("id")), spark.read.parquet(path))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.filter("label = 1").count() == 100_000 and joined.count() == 100_100
+    few = filter_audit.with_labels(narrow(spark.range(10), F.col("id")), spark.createDataFrame([(3, 1)], "_labelled long, label int"))
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_ids_and_rows_without_id_are_dealt_out(spark, monkeypatch):
+    """One text under one id, and without an id: labels stay right, and no task gets more than its share."""
+    monkeypatch.setattr(filter_audit, "broadcast_if_small", lambda df: df)
+    hot, none = narrow(spark.range(2000), F.lit(5).cast("long")), narrow(spark.range(2000), F.lit(0).cast("long"), filter_audit.ABSENT)
+    rows = hot.unionByName(none).unionByName(narrow(spark.range(100), F.col("id")))
+    flags = spark.createDataFrame([(0, 2), (5, 3), (7, 1)], "_labelled long, label int")
+    adaptive, partitions = (spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"))
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        joined = filter_audit.with_labels(rows, flags, hot=lambda: [5])
+        got = {(r["rank"], r["doc_id"], r["label"]): r["count"] for r in joined.groupBy("rank", "doc_id", "label").count().collect()}
+        most = max(joined.groupBy(F.spark_partition_id()).count().select("count").collect())[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    want = {(0, i, {0: 2, 7: 1}.get(i, 0)): 1 for i in range(100) if i != 5} | {(0, 5, 3): 2001, (1, 0, 0): 2000}
+    assert got == want and most < 1000
+
+
+def test_ids_that_are_hot(spark):
+    docs = spark.range(5000).select(F.when(F.col("id") < 4000, F.col("id")).when(F.col("id") < 4500, 1).when(F.col("id") < 4504, 2).alias("doc_id"))
+    assert filter_audit.hot_ids(docs, 5000) == [1]
+
+
+def test_large_labels_in_the_stream(spark, small_docs, monkeypatch):
+    """The shuffled labels give what brute force gives, in micro-batches too."""
+    monkeypatch.setattr(filter_audit, "broadcast_if_small", lambda df: df)
+    labels = rows_of(spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality", "toxic"))
+    docs = rows_of(small_docs.select("doc_id", "lang", "text")) + [(None, "en", "few words")] * 3 + [(labels[0][0], "en", "few words")] * 5
+    compare(spark, docs, labels, [docs[100:], docs[:100]], batches=2)
+
+
+def test_state_in_as_many_partitions_as_its_rows_need(spark):
+    """What tasks tell the driver grows with the square of the partitions, so a session's thousands are not taken up for few rows."""
+    assert filter_audit.store_partitions(3_000_000, 6, 610) == 60 and filter_audit.store_partitions(10, 6, 610) == 12
+    assert filter_audit.store_partitions(3_000_000, 6, 16) == 16 and filter_audit.store_partitions(10**9, 6, 10**5) == 1000
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    path, root = scratch(spark, "audit-docs"), scratch(spark, "audit")
+    spark.createDataFrame([(1, "en", "few words")], "doc_id long, lang string, text string").write.parquet(path)
+    spark.conf.set(name, "60")
+    try:
+        assert filter_audit.audit(spark, path, spark.createDataFrame([(1, 1, 0)], LABELS), root).count() == 600
+        assert spark.conf.get(name) == "60"
+    finally:
+        spark.conf.set(name, before)
+    stores = spark.read.format("state-metadata").load(f"{root}/checkpoint").select("numPartitions").collect()
+    assert [r[0] for r in stores] == [min(60, 2 * spark.sparkContext.defaultParallelism)]

@@ -6,7 +6,8 @@ import json
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from hashlib import sha256
 from itertools import permutations
 
@@ -16,10 +17,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidelake import schemas
 from tidelake.llm.common import bytes_of, settle, slices, table
-from tidelake.operators.sizing import broadcast_if_small
+from tidelake.operators import sizing
 from tidelake.session import scratch
 from tidelake.sources import tables
 
@@ -33,8 +35,13 @@ SLICE = 4 << 20
 #: Bytes of a text whose words are split at once; rows that a task combines at once.
 CHUNK = 1 << 20
 COMBINE = 100_000
-#: Salts for labels too large to broadcast.
-SALTS = 16
+#: Labels that a broadcast may hold: each micro-batch makes one of its own, and the driver holds several of them at a time.
+broadcast_if_small = partial(sizing.broadcast_if_small, most=4 << 20)
+#: Salts for ids with more than this part of all rows, where labels are too large to broadcast.
+SALTS, HOT = 16, 1000
+#: Rows of the documents to a partition of the state, and most partitions: each task of a stream tells the driver a number of every
+#: partition (some 180 bytes), so what the driver gets grows with their square.
+STORE_ROWS, MAX_STORES = 50_000, 1000
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _SYMBOL = re.compile(rb"[#$%&*|]")
@@ -101,15 +108,33 @@ def label_flags(labels: DataFrame) -> DataFrame:
     return flags.filter("label > 0")
 
 
-def with_labels(rows: DataFrame, flags: DataFrame, salts: int = SALTS) -> DataFrame:
-    """``rows`` with their label, 0 if they have none. Settled flags measured small are broadcast; larger ones are repeated
-    for ``salts`` parts of the rows, as a stream's joins get no adaptive splitting of a hot id."""
-    same = (F.col("doc_id") == F.col("_labelled")) & (F.col("rank") == PRESENT)
+def hot_ids(docs: DataFrame, rows: int) -> list[int]:
+    """Ids with more than a thousandth of the ``rows`` of the documents, so less than a thousand of them; only ids are read."""
+    counts = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count()
+    return [r["doc_id"] for r in counts.filter(F.col("count") * HOT > rows).select("doc_id").collect()]
+
+
+def with_labels(rows: DataFrame, flags: DataFrame, salts: int = SALTS, hot: Callable[[], list[int]] = list) -> DataFrame:
+    """``rows`` with their label, 0 if they have none. Settled flags measured small are broadcast; larger ones are shuffled.
+
+    A stream's joins get no adaptive splitting, so flags of the ids that ``hot`` returns are repeated for ``salts`` parts of
+    their rows, and rows without an id, which have no label, go anywhere.
+    """
+    present = F.col("rank") == PRESENT
     side = broadcast_if_small(flags)
     if side is flags:
-        rows = rows.withColumn("_salt", F.pmod("high", F.lit(salts)))
-        side = flags.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        same = same & (F.col("_salt") == F.col("_copy"))
+        found = hot()
+        dealt, copies = F.lit(0).cast("long"), F.lit(0).cast("long")
+        if found:
+            dealt = F.when(F.col("doc_id").isin(found), F.pmod("_draw", F.lit(salts))).otherwise(dealt)
+            copies = F.when(F.col("_labelled").isin(found), F.lit(salts - 1).cast("long")).otherwise(copies)
+        rows = rows.withColumn("_draw", (F.rand(0) * F.lit(1 << 40)).cast("long"))
+        rows = rows.withColumns({"_id": F.when(present, F.col("doc_id")).otherwise(F.col("_draw")), "_salt": dealt})
+        # the planner takes flags for as small as the files that they come from, and would broadcast them
+        side = flags.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), copies))).hint("merge")
+        same = (F.col("_id") == F.col("_labelled")) & (F.col("_salt") == F.col("_copy")) & present
+    else:
+        same = (F.col("doc_id") == F.col("_labelled")) & present
     return rows.join(side, same, "left").select("rank", "doc_id", "part", "mask", "high", "low", F.coalesce("label", F.lit(0)).alias("label"))
 
 
@@ -198,18 +223,36 @@ def stored_stream(spark: SparkSession, path: str, batches: int) -> DataFrame:
     return reader.parquet(path)
 
 
+def store_partitions(rows: int, cores: int, most: int) -> int:
+    """Partitions for a state of so many rows, ``most`` being what the session names."""
+    return min(most, MAX_STORES, max(2 * cores, -(-rows // STORE_ROWS)))
+
+
+def started(spark: SparkSession, partitions: int, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """A stream started with so many shuffle partitions. It keeps the settings of its start; the session's are put back."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, partitions)
+    try:
+        return start()
+    finally:
+        spark.conf.set(name, before)
+
+
 def count_masks(spark: SparkSession, path: str, labels: DataFrame, root: str, batches: int = BATCHES) -> DataFrame:
     """part, mask, label and n: rows of the documents at ``path`` by the set of filters that they fail.
 
     A stream reads all files there are, in about ``batches`` micro-batches. Its state has every text by its key, some 256 texts a
     row and 40 bytes a text, in the store that the session names (``build_session``: RocksDB, beyond memory); copies are combined in
-    their task before they meet it. Each micro-batch writes its changes of the counters in place of
+    their task before they meet it. The state has as many partitions as its rows need, within those that the session names. Each
+    micro-batch writes its changes of the counters in place of
     those that it may have written before, so a replay after a failure changes nothing. The counters are their sum.
     """
     flags = settle(label_flags(labels))
-    buckets = max(1, spark.read.parquet(path).count() // TEXTS)  # from the files' footers
-    masked = with_labels(text_masks(stored_stream(spark, path, batches)), flags)
-    rows = masked.mapInArrow(_combine(buckets), COMBINED)
+    docs = spark.read.parquet(path)
+    number = docs.count()  # from the files' footers
+    masked = with_labels(text_masks(stored_stream(spark, path, batches)), flags, hot=lambda: hot_ids(docs, number))
+    rows = masked.mapInArrow(_combine(max(1, number // TEXTS)), COMBINED)
     deltas = rows.groupBy("bucket").applyInPandasWithState(_update, DELTAS, STATE, "update", "NoTimeout")
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -217,7 +260,8 @@ def count_masks(spark: SparkSession, path: str, labels: DataFrame, root: str, ba
         tables.put_batch(changes, f"{root}/counters", str(batch_id))
 
     stream = deltas.writeStream.outputMode("update").option("checkpointLocation", f"{root}/checkpoint")
-    stream.foreachBatch(add).trigger(availableNow=True).start().awaitTermination()
+    partitions = store_partitions(number, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    started(spark, partitions, stream.foreachBatch(add).trigger(availableNow=True).start).awaitTermination()
     counters = tables.read(spark, f"{root}/counters", tables.batched(schemas.struct(DELTAS)))
     return counters.groupBy("part", "mask", "label").agg(F.sum("n").alias("n")).filter("n <> 0")
 
